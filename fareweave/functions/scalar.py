@@ -160,9 +160,10 @@ def quarter_sequence(start: tuple[int, int], end: tuple[int, int]) -> Column:
 def trend_text(diff: Column | str) -> Column:
     """``stable`` if |diff| < 1, else ``up £x`` / ``down £x``."""
     d = _c(diff)
+    whole = F.bround(F.abs(d), 0)  # Python's "%.0f" rounds half to even
     return (F.when(F.abs(d) < 1, F.lit("stable"))
-            .when(d > 0, F.format_string("up £%.0f", d))
-            .otherwise(F.format_string("down £%.0f", F.abs(d))))
+            .when(d > 0, F.format_string("up £%.0f", whole))
+            .otherwise(F.format_string("down £%.0f", whole)))
 
 
 def outlook(prob: Column | str, threshold: float = 0.45, short: bool = False) -> Column:

@@ -151,3 +151,12 @@ def with_views(sql: str, *names: str) -> str:
     if head[:5].lower() == "with " or head[:5].lower() == "with\n":
         return f"with {ctes},\n{head[5:]}"
     return f"with {ctes}\n{sql}"
+
+
+def _register_dims() -> None:
+    from .dims import DUCKDB_AIRPORTS, DUCKDB_ROUTES
+    DUCKDB_VIEWS["airports"] = DUCKDB_AIRPORTS
+    DUCKDB_VIEWS["routes_dim"] = DUCKDB_ROUTES
+
+
+_register_dims()
