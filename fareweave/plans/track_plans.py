@@ -1 +1,104 @@
-"""(filled in below)"""
+"""Tracked trips on the ``track_events`` log and the calendar prices."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as TX
+from ..functions.numeric import r4
+from ..operators import tracks as TR
+from ..sources import fixtures as fx
+from .registry import register
+
+AS_OF = "2024-01-25 09:00:00"
+
+
+def _r4sql(e: str) -> str:
+    return f"floor(({e}) * 10000 + 0.5) / 10000"
+
+
+def tracks(spark: SparkSession, sf: str) -> DataFrame:
+    return TR.track_state(fx.track_events(spark, sf))
+
+
+fx.DUCKDB_VIEWS["tracks"] = """select min(seq) filter (where op = 'track') as id, user_id, origin, destination, departure_date,
+arg_max(baseline_price, seq) filter (where op = 'track') as baseline_price, arg_max(op, seq) = 'track' as active,
+cast(null as double) as last_notified_price, max(seq) filter (where op = 'track') as tracked_seq
+from track_events group by user_id, origin, destination, departure_date
+having count(*) filter (where op = 'track') > 0"""
+TV = ("track_events", "tracks")
+
+
+@register("src_tracks", "select * from tracks", views=TV)
+def src_tracks(spark, sf):
+    """The tracks table (state of the event log)."""
+    return tracks(spark, sf)
+
+
+@register("st_track_state", """select id, user_id, origin, destination, departure_date, baseline_price, active from tracks""",
+          views=TV)
+def st_track_state(spark, sf):
+    return tracks(spark, sf).select("id", "user_id", "origin", "destination", "departure_date",
+                                    "baseline_price", "active")
+
+
+@register("st_track_expiry", f"""select id, active and not (cast(departure_date as timestamp) < timestamp '{AS_OF}') as active
+from tracks""", views=TV)
+def st_track_expiry(spark, sf):
+    return TR.expire(tracks(spark, sf), AS_OF).select("id", "active")
+
+
+@register("sort_user_tracks", """select user_id, departure_date, origin, destination, baseline_price from tracks
+where active order by user_id, departure_date, origin, destination""", views=TV)
+def sort_user_tracks(spark, sf):
+    return TR.user_tracks(tracks(spark, sf)).select("user_id", "departure_date", "origin", "destination",
+                                                    "baseline_price")
+
+
+fx.DUCKDB_VIEWS["cur_price"] = f"""select origin, destination, departure_date, arg_max(price, collected_at) as current_price,
+max(collected_at) as price_at from calendar where cast(collected_at as date) <= date '{AS_OF[:10]}'
+group by origin, destination, departure_date"""
+
+
+@register("join_track_price", """select t.id, t.user_id, t.origin, t.destination, t.departure_date, t.baseline_price,
+p.current_price, p.price_at from tracks t join cur_price p using (origin, destination, departure_date)
+where t.active and not (cast(t.departure_date as timestamp) < timestamp '""" + AS_OF + "')",
+          views=TV + ("calendar", "cur_price"))
+def join_track_price(spark, sf):
+    """Active, unexpired tracks with the latest price observed by ``as_of``."""
+    t = TR.expire(tracks(spark, sf), AS_OF).filter(F.col("active"))
+    p = TR.current_prices(fx.calendar(spark, sf), AS_OF[:10])
+    return t.join(p, ["origin", "destination", "departure_date"]).select(
+        "id", "user_id", "origin", "destination", "departure_date", "baseline_price", "current_price", "price_at")
+
+
+fx.DUCKDB_VIEWS["alerts_sql"] = """select * from (select t.id, t.user_id, t.origin, t.destination, t.departure_date,
+t.baseline_price, c.collected_at, c.price,
+(t.baseline_price - c.price) / t.baseline_price >= 0.05 as q,
+coalesce(nullif(min(case when (t.baseline_price - c.price) / t.baseline_price >= 0.05 then c.price end)
+  over (partition by t.id order by c.collected_at rows between unbounded preceding and 1 preceding), 0.0), t.baseline_price) as last
+from tracks t join calendar c using (origin, destination, departure_date) where t.active)
+where q and price < last"""
+
+
+@register("st_price_alerts", f"""select id, user_id, collected_at, price, {_r4sql('(baseline_price - price) / baseline_price * 100')} as drop_pct
+from alerts_sql""", views=TV + ("calendar", "alerts_sql"))
+def st_price_alerts(spark, sf):
+    """Batch twin of the stateful alert stream (see ``streaming.alerts``)."""
+    a = TR.alerts(tracks(spark, sf), fx.calendar(spark, sf))
+    return a.select("id", "user_id", "collected_at", "price", r4("drop_pct").alias("drop_pct"))
+
+
+@register("fn_alert_text", """select id, collected_at, printf('*Price Drop Alert*
+%s-%s on %s
+
+Was £%.0f -> now £%.0f (down %.0f%%)
+
+/optimise %s-%s %s to book.', origin, destination, strftime(departure_date, '%d/%m/%Y'), round_even(baseline_price, 0),
+round_even(price, 0), round_even((baseline_price - price) / baseline_price * 100, 0), origin, destination,
+strftime(departure_date, '%Y-%m-%d')) as text from alerts_sql""", views=TV + ("calendar", "alerts_sql"))
+def fn_alert_text(spark, sf):
+    a = TR.alerts(tracks(spark, sf), fx.calendar(spark, sf))
+    return a.select("id", "collected_at", TX.alert_text("origin", "destination", "departure_date",
+                                                        "baseline_price", "price").alias("text"))
