@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+_RAW: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
 def register(key: str, oracle: str | None = None, views: tuple[str, ...] = ()):
@@ -28,7 +29,7 @@ def register(key: str, oracle: str | None = None, views: tuple[str, ...] = ()):
             raise ValueError(f"duplicate query key {key!r}")
         QUERIES[key] = fn
         if oracle is not None:
-            ORACLES[key] = with_views(oracle, *views)
+            _RAW[key] = (oracle, views)
         return fn
 
     return deco
@@ -38,3 +39,6 @@ def load_all() -> None:
     """Import every plan module so that its queries register."""
     from . import (calendar_plans, itinerary_plans, market_plans,  # noqa: F401
                    model_plans, source_plans, stream_plans, track_plans)
+    # views are resolved only now: a plan module may use views another defines
+    for key, (sql, views) in _RAW.items():
+        ORACLES[key] = with_views(sql, *views)
