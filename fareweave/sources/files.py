@@ -59,7 +59,11 @@ def read_market_csv(spark: SparkSession, path: str, columns: Sequence[str] | Non
     # referencing a data column next to the corrupt-record column is required
     # by Spark (a query on the corrupt column alone is refused)
     parsed = F.col(CORRUPT).isNull() & F.col("ItinID").isNotNull()
-    bad = F.col(CORRUPT).isNotNull() & F.coalesce(F.col("ItinID"), F.lit(0)).isNotNull()
+    # a rejected line is one where *any* field fails to parse, so the reject
+    # path must make the parser look at every field (CSV column pruning
+    # would otherwise skip the unrequested ones)
+    every = F.array(*[F.col(n).cast("string") for n, _ in MARKET_FIELDS])
+    bad = F.col(CORRUPT).isNotNull() & (F.size(every) == len(MARKET_FIELDS))
     good = drop_phantom(raw.filter(parsed).drop(CORRUPT))
     if columns is not None:
         good = good.select(*[c for c in columns if c in good.columns])
