@@ -459,3 +459,17 @@ from itineraries""", views=("itineraries",))
 def fn_round_hours(spark, sf):
     i = itins(spark, sf)
     return i.select("itinerary_id", (F.bround(F.col("duration_minutes") / 60 * 10, 0) / 10).alias("duration_hrs"))
+
+
+@register("fn_deal_card")
+def fn_deal_card(spark, sf):
+    """Full message card of the 5 cheapest deals per route (rows-only check;
+    pytest checks the card text of the reference's sample deal)."""
+    from pyspark.sql import Window
+    d = deals(spark, sf)
+    w = Window.partitionBy("out_origin", "out_destination").orderBy("price_gbp", "flight_id")
+    top = IT.top_n(d, 5, [F.col("price_gbp"), F.col("flight_id")], by=["out_origin", "out_destination"])
+    top = top.withColumn("rank", F.row_number().over(w))
+    card = TX.deal_card(F.col("rank"), F.col("out_origin"), F.col("out_destination"),
+                        F.col("out_departure_date"), F.col("ret_departure_date"))
+    return top.select("flight_id", "rank", card.alias("card"))

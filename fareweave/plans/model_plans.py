@@ -1 +1,107 @@
-"""(filled in below)"""
+"""Model fits, evaluation and artefact files (rows-only checks: a fitted
+boosted-tree model has no SQL oracle; pytest checks the pieces)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.numeric import r4
+from ..operators import metrics as M
+from ..operators import models as MD
+from ..operators import timeseries as TS
+from ..sources import fixtures as fx
+from ..sources.landing import land_once
+from .registry import register
+
+
+def split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return TS.temporal_split(TS.training_frame(fx.calendar(spark, sf)))
+
+
+def fitted(spark: SparkSession, sf: str):
+    train, test = split(spark, sf)
+    reg = MD.price_pipeline().fit(train)
+    clf = MD.wait_pipeline().fit(train)
+    return reg, clf, test
+
+
+@register("ml_price_model")
+def ml_price_model(spark, sf):
+    """Gradient-boosted price regressor (route indexed, 8 features) scored on
+    the temporal test split."""
+    train, test = split(spark, sf)
+    model = MD.price_pipeline().fit(train)
+    return model.transform(test).select("route", "departure_date", "collected_date", "price",
+                                        r4("estimated_price").alias("estimated_price"))
+
+
+@register("ml_wait_model")
+def ml_wait_model(spark, sf):
+    """Gradient-boosted wait classifier; probability of class 1 and the
+    outlook at the 0.45 threshold."""
+    train, test = split(spark, sf)
+    model = MD.wait_pipeline().fit(train)
+    p = MD.wait_probability(model.transform(test))
+    return p.select("route", "departure_date", "collected_date", "should_wait",
+                    r4("wait_probability").alias("wait_probability"),
+                    (F.col("wait_probability") >= MD.WAIT_THRESHOLD).cast("int").alias("predicted"))
+
+
+def evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    reg, clf, test = fitted(spark, sf)
+    scored = MD.wait_probability(clf.transform(reg.transform(test).drop("features", "route_idx")))
+    rm = M.regression_metrics(scored, "price", "estimated_price").withColumnRenamed("n", "n_test")
+    cm = M.classification_metrics(scored, "should_wait", "wait_probability", MD.WAIT_THRESHOLD).drop("n")
+    au = M.auc(scored, "should_wait", "wait_probability")
+    k = F.lit(1)
+    return (rm.withColumn("_k", k).join(cm.withColumn("_k", k), "_k").join(au.withColumn("_k", k), "_k")
+            .drop("_k"))
+
+
+@register("ml_evaluate")
+def ml_evaluate(spark, sf):
+    """MAE, RMSE, R², MAPE, AUC, accuracy, precision, recall on the test split."""
+    e = evaluation(spark, sf)
+    return e.select(*[r4(c).alias(c) for c in ("mae", "rmse", "r2", "mape", "auc", "accuracy", "precision",
+                                               "recall")], "n_test")
+
+
+def importance_frame(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = split(spark, sf)
+    model = MD.price_pipeline().fit(train)
+    rows = MD.feature_importance(model, MD.PRICE_FEATURES)
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+@register("ml_importance")
+def ml_importance(spark, sf):
+    """Regressor feature importances (normalised gain; the reference's are
+    split counts, so the ranking is comparable, the values are not)."""
+    return importance_frame(spark, sf).select("feature", r4("importance").alias("importance"))
+
+
+@register("topk_features")
+def topk_features(spark, sf):
+    """The 5 most important features, ascending for display."""
+    top = importance_frame(spark, sf).orderBy(F.col("importance").desc(), "feature").limit(5)
+    return top.orderBy("importance", "feature").select("feature", r4("importance").alias("importance"))
+
+
+@register("snk_metrics")
+def snk_metrics(spark, sf):
+    """Metrics written as JSON next to the model and read back."""
+    e = evaluation(spark, sf).withColumn("evaluated_at", F.lit("2024-02-01T00:00:00"))
+    path = land_once(spark, sf, "metrics_json", lambda p: e.coalesce(1).write.mode("overwrite").json(p))
+    return spark.read.schema(e.schema).json(path)
+
+
+@register("snk_importance")
+def snk_importance(spark, sf):
+    """Feature importances written as CSV with a header and read back."""
+    imp = importance_frame(spark, sf)
+    path = land_once(spark, sf, "importance_csv",
+                     lambda p: imp.coalesce(1).write.mode("overwrite").option("header", True).csv(p))
+    return spark.read.schema("feature string, importance double").option("header", True).csv(path)
