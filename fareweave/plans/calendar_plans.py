@@ -576,3 +576,50 @@ def agg_health(spark, sf):
     j = c.withColumn("_k", F.lit(1)).join(F.broadcast(exp.withColumn("_k", F.lit(1))), "_k")
     return j.select("day", "calendar_success", "calendar_expected",
                     (F.col("calendar_success") >= F.col("calendar_expected")).alias("healthy"))
+
+
+@register("join_group_mean", f"""select route, departure_date, collected_date, price,
+{_r4sql('avg(price) over (partition by route)')} as route_mean from cal""", views=CV)
+def join_group_mean(spark, sf):
+    """Route mean attached to every row: a partial aggregate joined back (the
+    route table is tiny and broadcast by AQE), not a window over the route."""
+    c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
+    j = TS.group_mean(c, "route", "price", "route_mean")
+    return j.select("route", "departure_date", "collected_date", "price", r4("route_mean").alias("route_mean"))
+
+
+# fixed values: the collector polls a search at most this many times
+MAX_POLLS = 3
+
+
+def attempt_log(spark, sf) -> DataFrame:
+    """One row per poll of each itinerary search: the first ``k`` polls come
+    back empty, ``k = rows % 4`` (derived from the data); ``k ≥ MAX_POLLS``
+    means every poll was empty."""
+    i = fx.itineraries(spark, sf).groupBy("origin_code", "dest_code", "search_date", "collected_at").agg(
+        F.count(F.lit(1)).alias("n"))
+    k = (F.col("n") % 4).cast("int")
+    polls = F.least(k + 1, F.lit(MAX_POLLS))
+    return i.select("origin_code", "dest_code", "search_date", "collected_at", "n",
+                    F.explode(F.sequence(F.lit(1), polls)).alias("attempt"),
+                    k.alias("_k")).select(
+        "origin_code", "dest_code", "search_date", "collected_at", "attempt",
+        F.when(F.col("attempt") > F.col("_k"), F.col("n")).otherwise(F.lit(0)).alias("rows"))
+
+
+@register("st_retry_report", """with g as (select origin_code, dest_code, search_date, collected_at, count(*) as n
+from itineraries group by all),
+a as (select *, cast(n % 4 as int) as k, least(cast(n % 4 as int) + 1, 3) as polls from g)
+select collected_at as day, count(*) as searches, count(*) filter (where k < 3) as successes,
+count(*) filter (where k >= 3) as empty_results, cast(sum(polls - 1) as bigint) as retries_used,
+cast(sum(polls) as bigint) as api_calls from a group by 1""", views=("itineraries",))
+def st_retry_report(spark, sf):
+    """Per collection day: searches, successes, empty results, retries and calls."""
+    log = attempt_log(spark, sf)
+    per = log.groupBy("origin_code", "dest_code", "search_date", "collected_at").agg(
+        F.count(F.lit(1)).alias("polls"), F.max("rows").alias("rows"))
+    return per.groupBy(F.col("collected_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("searches"), F.count_if(F.col("rows") > 0).alias("successes"),
+        F.count_if(F.col("rows") == 0).alias("empty_results"),
+        F.sum(F.col("polls") - 1).cast("bigint").alias("retries_used"),
+        F.sum("polls").cast("bigint").alias("api_calls"))

@@ -473,3 +473,25 @@ def fn_deal_card(spark, sf):
     card = TX.deal_card(F.col("rank"), F.col("out_origin"), F.col("out_destination"),
                         F.col("out_departure_date"), F.col("ret_departure_date"))
     return top.select("flight_id", "rank", card.alias("card"))
+
+
+@register("join_skyline", f"""select p.itinerary_id from itin_trim p where exists (select 1 from itin_trim q where {_DOM})""",
+          views=("itineraries", "itin_trim"))
+def join_skyline(spark, sf):
+    """Dominated itineraries (the theta self-join's answer) without the
+    quadratic join: everything not on the first front of its search."""
+    t = IT.quantile_trim(itins(spark, sf), GRP)
+    return t.join(SK.pareto_front(t, GRP), ["itinerary_id"], "left_anti").select("itinerary_id")
+
+
+@register("snk_deals_json", """select flight_id, price_gbp, ap[1] as out_origin, ap[-1] as out_destination,
+cast(7 + d % 14 as int) as trip_length_days from rt_x""", views=RT)
+def snk_deals_json(spark, sf):
+    """Deals written as JSON lines (with their metadata block next to them)
+    and read back with an explicit schema."""
+    from ..sources.landing import land_once
+    import os
+    d = deals(spark, sf)
+    path = land_once(spark, sf, "deals_flights_json", lambda p: d.write.mode("overwrite").json(os.path.join(p, "flights")))
+    back = spark.read.schema(d.schema).json(os.path.join(path, "flights"))
+    return back.select("flight_id", "price_gbp", "out_origin", "out_destination", "trip_length_days")
