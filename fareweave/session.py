@@ -44,11 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is; a machine-local temporary folder is only taken when nothing is set
     (tests, local runs).
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        path = path or spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext handle (e.g. a Connect session)
+        pass
     if not path:
         path = tempfile.mkdtemp(prefix="fareweave-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:
+        pass
     return path
 
 

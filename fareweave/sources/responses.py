@@ -350,26 +350,17 @@ def landed_documents(spark, sf_dir: str, kind: str, build) -> DataFrame:
     the builder's output in the same plan) also stops the optimizer from
     folding ``from_json(to_json(struct))`` and inlining the builder into
     every parsed column."""
-    import hashlib
-    import os
-
-    from ..session import scratch_path
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    path = scratch_path(spark, f"responses_v1_{kind}_{tag}")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-        docs = build()
-        keep = [c for c in docs.columns if c != "json"]
-        try:
-            (docs.select(F.to_json(F.struct(*keep, "json")).alias("value")) if keep else
-             docs.select(F.col("json").alias("value"))).write.mode("overwrite").text(path)
-        except Exception:  # a concurrent writer finished first: fall through and read
-            if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-                raise
-    raw = spark.read.text(path)
-    docs_schema = build().schema
-    keep = [f for f in docs_schema.fields if f.name != "json"]
+    from .landing import land_once
+
+    docs = build()
+    keep = [f for f in docs.schema.fields if f.name != "json"]
+
+    def write(path: str) -> None:
+        out = (docs.select(F.to_json(F.struct(*[f.name for f in keep], "json")).alias("value")) if keep
+               else docs.select(F.col("json").alias("value")))
+        out.write.mode("overwrite").text(path)
+
+    raw = spark.read.text(land_once(spark, sf_dir, f"responses_{kind}", write))
     if not keep:
         return raw.select(F.col("value").alias("json"))
     wrapper = T.StructType(keep + [T.StructField("json", T.StringType())])
