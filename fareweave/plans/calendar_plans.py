@@ -25,7 +25,7 @@ def _r2sql(e: str) -> str:
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.calendar(spark, sf)
+    return fx.stored(spark, sf, "calendar")
 
 
 def cal_loaded(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,7 +258,7 @@ def agg_kpis(spark, sf):
               F.count_distinct("origin", "destination").alias("distinct_routes"),
               F.count_distinct(F.to_date("collected_at")).alias("collection_days"),
               F.min("collected_at").alias("first_collected"), F.max("collected_at").alias("last_collected"))
-    n_itin = fx.itineraries(spark, sf).agg(F.count(F.lit(1)).alias("itinerary_records"))
+    n_itin = fx.stored(spark, sf, "itineraries").agg(F.count(F.lit(1)).alias("itinerary_records"))
     # two one-row aggregates side by side: a 1×1 join on a constant key
     return (k.withColumn("_k", F.lit(1)).join(n_itin.withColumn("_k", F.lit(1)), "_k")
             .select("calendar_records", "itinerary_records", "routes_tracked", "distinct_routes",
@@ -512,7 +512,7 @@ def agg_collection_inventory(spark, sf):
     """Per collection day: calendar rows, itinerary rows, route-date combos."""
     c = calendar(spark, sf).groupBy(F.to_date("collected_at").alias("day")).agg(
         F.count(F.lit(1)).alias("calendar_rows"))
-    i = fx.itineraries(spark, sf).groupBy(F.col("collected_at").alias("day")).agg(
+    i = fx.stored(spark, sf, "itineraries").groupBy(F.col("collected_at").alias("day")).agg(
         F.count(F.lit(1)).alias("itinerary_rows"),
         F.count_distinct("origin_code", "dest_code", "search_date").alias("route_date_combos"))
     j = c.join(i, "day", "full_outer")
@@ -524,7 +524,7 @@ def agg_collection_inventory(spark, sf):
 count(distinct (origin_code, dest_code)) as routes from itineraries group by 1, 2""", views=("itineraries",))
 def agg_search_inventory(spark, sf):
     """Per collection day and search date: rows and routes."""
-    return fx.itineraries(spark, sf).groupBy(F.col("collected_at").alias("day"), "search_date").agg(
+    return fx.stored(spark, sf, "itineraries").groupBy(F.col("collected_at").alias("day"), "search_date").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("origin_code", "dest_code").alias("routes"))
 
 
@@ -536,7 +536,7 @@ def join_daily_pairs(spark, sf):
     """Calendar and itinerary files of the same day, side by side."""
     c = calendar(spark, sf).groupBy(F.to_date("collected_at").alias("day")).agg(
         F.count(F.lit(1)).alias("calendar_rows")).withColumn("_c", F.lit(True))
-    i = fx.itineraries(spark, sf).groupBy(F.col("collected_at").alias("day")).agg(
+    i = fx.stored(spark, sf, "itineraries").groupBy(F.col("collected_at").alias("day")).agg(
         F.count(F.lit(1)).alias("itinerary_rows")).withColumn("_i", F.lit(True))
     j = c.join(i, "day", "full_outer")
     return j.select("day", "calendar_rows", "itinerary_rows",
@@ -596,7 +596,7 @@ def attempt_log(spark, sf) -> DataFrame:
     """One row per poll of each itinerary search: the first ``k`` polls come
     back empty, ``k = rows % 4`` (derived from the data); ``k ≥ MAX_POLLS``
     means every poll was empty."""
-    i = fx.itineraries(spark, sf).groupBy("origin_code", "dest_code", "search_date", "collected_at").agg(
+    i = fx.stored(spark, sf, "itineraries").groupBy("origin_code", "dest_code", "search_date", "collected_at").agg(
         F.count(F.lit(1)).alias("n"))
     k = (F.col("n") % 4).cast("int")
     polls = F.least(k + 1, F.lit(MAX_POLLS))

@@ -21,7 +21,7 @@ def _r4sql(e: str) -> str:
 
 
 def itins(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.itineraries(spark, sf)
+    return fx.stored(spark, sf, "itineraries")
 
 
 def search_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,7 +251,7 @@ strftime(departure_date, '%Y-%m-%d') as departure_date, price,
 case when price < 310 then 'low' when price < 320 then 'medium' else 'high' end as "group"
 from calendar qualify departure_date >= cast(collected_at as date)""", views=("calendar",))
 def src_calendar_json(spark, sf):
-    docs = RS.landed_documents(spark, sf, "calendar", lambda: RS.calendar_documents(fx.calendar(spark, sf)))
+    docs = RS.landed_documents(spark, sf, "calendar", lambda: RS.calendar_documents(fx.stored(spark, sf, "calendar")))
     return RS.parse_calendar(docs)
 
 

@@ -22,7 +22,7 @@ MC = ("market", "market_clean")
 
 
 def market(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.market(spark, sf)
+    return fx.stored(spark, sf, "market")
 
 
 def market_clean(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,7 +18,7 @@ from .registry import register
 
 
 def split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return TS.temporal_split(TS.training_frame(fx.calendar(spark, sf)))
+    return TS.temporal_split(TS.training_frame(fx.stored(spark, sf, "calendar")))
 
 
 def fitted(spark: SparkSession, sf: str):

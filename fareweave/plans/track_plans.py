@@ -68,7 +68,7 @@ where t.active and not (cast(t.departure_date as timestamp) < timestamp '""" + A
 def join_track_price(spark, sf):
     """Active, unexpired tracks with the latest price observed by ``as_of``."""
     t = TR.expire(tracks(spark, sf), AS_OF).filter(F.col("active"))
-    p = TR.current_prices(fx.calendar(spark, sf), AS_OF[:10])
+    p = TR.current_prices(fx.stored(spark, sf, "calendar"), AS_OF[:10])
     return t.join(p, ["origin", "destination", "departure_date"]).select(
         "id", "user_id", "origin", "destination", "departure_date", "baseline_price", "current_price", "price_at")
 
@@ -86,7 +86,7 @@ where q and price < last"""
 from alerts_sql""", views=TV + ("calendar", "alerts_sql"))
 def st_price_alerts(spark, sf):
     """Batch twin of the stateful alert stream (see ``streaming.alerts``)."""
-    a = TR.alerts(tracks(spark, sf), fx.calendar(spark, sf))
+    a = TR.alerts(tracks(spark, sf), fx.stored(spark, sf, "calendar"))
     return a.select("id", "user_id", "collected_at", "price", r4("drop_pct").alias("drop_pct"))
 
 
@@ -99,7 +99,7 @@ Was £%.0f -> now £%.0f (down %.0f%%)
 round_even(price, 0), round_even((baseline_price - price) / baseline_price * 100, 0), origin, destination,
 strftime(departure_date, '%Y-%m-%d')) as text from alerts_sql""", views=TV + ("calendar", "alerts_sql"))
 def fn_alert_text(spark, sf):
-    a = TR.alerts(tracks(spark, sf), fx.calendar(spark, sf))
+    a = TR.alerts(tracks(spark, sf), fx.stored(spark, sf, "calendar"))
     return a.select("id", "collected_at", TX.alert_text("origin", "destination", "departure_date",
                                                         "baseline_price", "price").alias("text"))
 

@@ -127,6 +127,31 @@ def track_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- stored views ------------------------------------------------------------
+
+# partition layout of each stored view (the reference keeps one file per
+# quarter for the market table and one file per day for collected data)
+STORED_LAYOUT = {"market": ("Year", "Quarter"), "calendar": ("collected_date",),
+                 "itineraries": ("collected_at",)}
+
+
+def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Write the view once as Parquet partitioned by its layout; return the path."""
+    from .landing import land_parquet
+    build = {"market": market, "calendar": calendar, "itineraries": itineraries}[name]
+    return land_parquet(spark, sf_dir, f"view_{name}", lambda: build(spark, sf_dir),
+                        partition_by=STORED_LAYOUT[name])
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The view as stored files: later queries scan it (with partition and
+    column pruning) instead of recomputing its joins and aggregation."""
+    build = {"market": market, "calendar": calendar, "itineraries": itineraries}[name]
+    schema = build(spark, sf_dir).schema  # analysis only, nothing runs
+    path = stored_path(spark, sf_dir, name)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 # --- DuckDB text of the same views (the oracle side) -------------------------
 
 DUCKDB_VIEWS = {

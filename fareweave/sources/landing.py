@@ -23,9 +23,22 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _input_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the input folder: its path plus name, size and modification
+    time of every file in it, so a landing is redone when the inputs change."""
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        for st in sorted(fs.listStatus(p), key=lambda x: x.getPath().getName()):
+            h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+    except Exception:  # unreadable listing: fall back to the path alone
+        pass
+    return h.hexdigest()[:12]
+
+
 def landed_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return scratch_path(spark, f"landed_v1_{kind}_{tag}")
+    return scratch_path(spark, f"landed_v1_{kind}_{_input_tag(spark, sf_dir)}")
 
 
 def land_once(spark: SparkSession, sf_dir: str, kind: str,
