@@ -33,6 +33,17 @@ def median(c: Column | str, approx: bool = False) -> Column:
     return quantile(c, 0.5, approx)
 
 
+def median_by(df: DataFrame, by: Sequence[str], value: str, name: str = "median",
+              approx: bool = False) -> DataFrame:
+    """Per-group median as a table (by..., name) for values with unboundedly
+    many distinct values: exact via range-bucketed ranking (no group's
+    values are held by one task), or a fixed-size sketch with ``approx``."""
+    if approx:
+        return df.groupBy(*by).agg(F.percentile_approx(value, 0.5, 10000).alias(name))
+    from .ranked import exact_group_quantiles
+    return exact_group_quantiles(df, by, value, [0.5], [name])
+
+
 # --- spec translators ---------------------------------------------------------
 
 _FUNCS = {
@@ -176,11 +187,14 @@ def route_competition(df: DataFrame, route: str = "Route", fare: str = "MktFare"
 def carrier_tiers(df: DataFrame, carrier: str = "RPCarrier", fare: str = "MktFare",
                   fpm: str = "FarePerMile", distance: str = "MktDistance",
                   min_records: int = 1000, approx: bool = False) -> DataFrame:
-    return (df.filter(F.col(carrier).isNotNull()).groupBy(carrier)
-            .agg(F.count(F.col(fare)).cast("bigint").alias("records"),
-                 median(fpm, approx).alias("median_fpm"),
-                 F.avg(distance).alias("mean_distance"))
-            .filter(F.col("records") >= min_records))
+    """Per carrier: records, median fare-per-mile, mean distance (records ≥ n).
+    Fare per mile is continuous, so its median comes from ``median_by``."""
+    base = df.filter(F.col(carrier).isNotNull())
+    g = (base.groupBy(carrier)
+         .agg(F.count(F.col(fare)).cast("bigint").alias("records"), F.avg(distance).alias("mean_distance"))
+         .filter(F.col("records") >= min_records))
+    med = median_by(base.join(g.select(carrier), carrier, "left_semi"), [carrier], fpm, "median_fpm", approx)
+    return g.join(med, carrier, "left").select(carrier, "records", "median_fpm", "mean_distance")
 
 
 def tier_spread(tiers: DataFrame, value: str = "median_fpm") -> DataFrame:
@@ -248,8 +262,9 @@ def fare_quality(df: DataFrame, fare: str = "MktFare", lo: float = 10.0,
 def premium_pivot(df: DataFrame, band: str, direct: str, value: str,
                   approx: bool = False) -> DataFrame:
     """Median ``value`` by band × direct flag pivoted to Direct/Connecting + ratio."""
-    p = (df.filter(F.col(band).isNotNull() & F.col(direct).isNotNull())
-         .groupBy(band).pivot(direct, [True, False]).agg(median(value, approx)))
+    base = df.filter(F.col(band).isNotNull() & F.col(direct).isNotNull())
+    med = median_by(base, [band, direct], value, "_med", approx)
+    p = med.groupBy(band).pivot(direct, [True, False]).agg(F.first("_med"))
     return p.select(band, F.col("true").alias("Direct"), F.col("false").alias("Connecting"),
                     F.try_divide(F.col("true"), F.col("false")).alias("Premium"))
 

@@ -53,3 +53,60 @@ def ordered_cumsum(df: DataFrame, key: str, sum_cols: Sequence[str],
     out = local.join(F.broadcast(offsets), "_bucket")
     return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_local_{c}")).alias(c + suffix)
                                      for c in sum_cols])
+
+
+def exact_group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
+                          names: Sequence[str] | None = None, accuracy: int = 100000,
+                          margin: float = 10.0) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``value`` per group, for
+    values with unboundedly many distinct values (Spark's ``percentile``
+    keeps a whole group's distinct values in one task).
+
+    1. a fixed-size sketch per group (``percentile_approx``, rank error
+       ≤ n/accuracy) brackets every wanted rank between two values taken
+       ``margin``/accuracy below and above it;
+    2. one pass counts, per group, the rows below each bracket and keeps
+       only the rows inside it (≈ 2·margin·n/accuracy rows per quantile);
+    3. the bracketed rows alone are ranked, and the order statistics at the
+       floor and ceiling of ``q·(n−1)`` are interpolated as ``percentile``
+       does.
+    """
+    by = list(by)
+    names = list(names or [f"q{i}" for i in range(len(qs))])
+    eps = margin / accuracy
+    x = df.filter(F.col(value).isNotNull() & _all_not_null(by))
+    probes = []
+    for q in qs:
+        probes += [max(0.0, q - eps), min(1.0, q + eps)]
+    sk = x.groupBy(*by).agg(F.percentile_approx(value, probes, accuracy).alias("_p"),
+                            F.count(F.lit(1)).alias("_n"), F.min(value).alias("_mn"), F.max(value).alias("_mx"))
+    parts = []
+    for i, q in enumerate(qs):
+        lo = F.when(F.lit(q - eps) <= 0, F.col("_mn")).otherwise(F.col("_p")[2 * i])
+        hi = F.when(F.lit(q + eps) >= 1, F.col("_mx")).otherwise(F.col("_p")[2 * i + 1])
+        parts.append(F.struct(F.lit(i).alias("qi"), lo.alias("lo"), hi.alias("hi"),
+                              (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos")))
+    br = sk.select(*by, F.explode(F.array(*parts)).alias("b")).select(*by, "b.*")
+    j = x.select(*by, value).join(br, by)
+    below = j.groupBy(*by, "qi").agg(F.count_if(F.col(value) < F.col("lo")).alias("_below"))
+    band = j.filter(F.col(value).between(F.col("lo"), F.col("hi")))
+    w = Window.partitionBy(*by, "qi").orderBy(value)
+    band = band.withColumn("_rn", F.row_number().over(w) - 1).join(below, [*by, "qi"])
+    rank = F.col("_below") + F.col("_rn")
+    pick = band.filter((rank == F.floor("pos")) | (rank == F.ceil("pos")))
+    per_q = pick.groupBy(*by, "qi").agg(
+        F.max(F.when(rank == F.floor("pos"), F.col(value))).alias("_lo"),
+        F.max(F.when(rank == F.ceil("pos"), F.col(value))).alias("_hi"),
+        F.first("pos").alias("_pos"))
+    lo_p, hi_p = F.floor("_pos"), F.ceil("_pos")
+    val = F.when(lo_p == hi_p, F.col("_lo")).otherwise(
+        (hi_p - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - lo_p) * F.col("_hi"))
+    out = per_q.groupBy(*by).pivot("qi", list(range(len(qs)))).agg(F.first(val))
+    return out.select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+
+
+def _all_not_null(cols: Sequence[str]):
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond

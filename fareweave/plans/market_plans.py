@@ -26,8 +26,10 @@ def market(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def market_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """Basic-cleaned market rows with the computed analysis columns."""
-    return (C.basic_clean(market(spark, sf))
+    """Basic-cleaned market rows with the computed analysis columns (string
+    trimming belongs to ingest — see ``snk_market_parquet`` — not to every
+    analysis query)."""
+    return (C.basic_clean(market(spark, sf), trim=False)
             .withColumn("FarePerMile", S.fare_per_mile("MktFare", "MktDistance"))
             .withColumn("Route", S.route_key("Origin", "Dest"))
             .withColumn("IsDirect", S.is_direct_coupons("MktCoupons")))
@@ -47,7 +49,7 @@ def market_quarters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("src_market_quarters", """select MktID, Year, Quarter, MktFare from market
-where ItinID % 997 <> 0 and Year between 1993 and 1995 and Year * 4 + Quarter - 1 between 1993 * 4 + 1 and 1995 * 4 + 2""",
+where ItinID % 997 <> 0 and MktFare > 0 and Passengers > 0 and Year between 1993 and 1995 and Year * 4 + Quarter - 1 between 1993 * 4 + 1 and 1995 * 4 + 2""",
           views=("market",))
 def src_market_quarters(spark, sf):
     """One scan over a quarter range: ``PartitionFilters`` on Year/Quarter."""
@@ -66,7 +68,7 @@ def src_project_filter(spark, sf):
 
 
 @register("src_route_extract", """select MktID, Origin, Dest, Year, Quarter, MktFare from market
-where ItinID % 997 <> 0 and Origin in ('N05', 'N07') and Dest in ('N10', 'N11', 'N12')
+where ItinID % 997 <> 0 and MktFare > 0 and Passengers > 0 and Origin in ('N05', 'N07') and Dest in ('N10', 'N11', 'N12')
 and Year * 4 + Quarter - 1 between 1994 * 4 and 1997 * 4 + 3 and Year between 1994 and 1997""",
           views=("market",))
 def src_route_extract(spark, sf):
@@ -427,11 +429,13 @@ count(FarePerMile) as count, {_r4sql('median(FarePerMile)')} as median_fpm, {_r4
 from market_clean group by 1) where DistanceBand is not null""", views=MC)
 def agg_distance_band(spark, sf):
     m = market_clean(spark, sf).withColumn("DistanceBand", S.cut_labels("MktDistance", *S.DISTANCE_BANDS))
-    g = (m.filter(F.col("DistanceBand").isNotNull()).groupBy("DistanceBand")
-         .agg(F.count("FarePerMile").alias("count"), r4(A.median("FarePerMile")).alias("median_fpm"),
-              r4(F.avg("FarePerMile")).alias("mean_fpm"), r4(A.median("MktFare")).alias("median_fare"),
-              r4(F.avg("MktDistance")).alias("mean_distance")))
-    return g
+    m = m.filter(F.col("DistanceBand").isNotNull())
+    g = (m.groupBy("DistanceBand")
+         .agg(F.count("FarePerMile").alias("count"), r4(F.avg("FarePerMile")).alias("mean_fpm"),
+              r4(A.median("MktFare")).alias("median_fare"), r4(F.avg("MktDistance")).alias("mean_distance")))
+    med = A.median_by(m, ["DistanceBand"], "FarePerMile", "median_fpm")
+    return g.join(med, "DistanceBand").select("DistanceBand", "count", r4("median_fpm").alias("median_fpm"),
+                                              "mean_fpm", "median_fare", "mean_distance")
 
 
 @register("agg_bulk", f"""select BulkFare, count(MktFare) as count, {_r4sql('avg(MktFare)')} as mean,
@@ -493,11 +497,14 @@ def agg_carrier_spread(spark, sf):
 from market_clean where MktDistance > 0 and MktDistance <= 5900 group by 1, 2) where count >= 50""", views=MC)
 def agg_distance_curve(spark, sf):
     m = market_clean(spark, sf).withColumn("dist_bin", S.cut_regular_bin("MktDistance", 100.0, 0.0, 5900.0))
-    g = (m.filter(F.col("dist_bin").isNotNull()).groupBy("dist_bin")
-         .agg(r4(A.median("MktFare")).alias("median_fare"), r4(A.median("FarePerMile")).alias("median_fpm"),
-              F.count("MktFare").alias("count"))
+    m = m.filter(F.col("dist_bin").isNotNull())
+    g = (m.groupBy("dist_bin")
+         .agg(r4(A.median("MktFare")).alias("median_fare"), F.count("MktFare").alias("count"))
          .filter(F.col("count") >= 50))
-    return g.select("dist_bin", S.bin_midpoint("dist_bin").alias("bin_mid"), "median_fare", "median_fpm", "count")
+    med = A.median_by(m.join(g.select("dist_bin"), "dist_bin", "left_semi"), ["dist_bin"], "FarePerMile", "median_fpm")
+    g = g.join(med, "dist_bin")
+    return g.select("dist_bin", S.bin_midpoint("dist_bin").alias("bin_mid"), "median_fare",
+                    r4("median_fpm").alias("median_fpm"), "count")
 
 
 @register("agg_premium_pivot", f"""with p as (select {_cut_sql('MktDistance', *S.PREMIUM_BANDS)} as DistanceBand,
