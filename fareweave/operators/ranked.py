@@ -66,7 +66,8 @@ def exact_group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequ
        ≤ n/accuracy) brackets every wanted rank between two values taken
        ``margin``/accuracy below and above it;
     2. one pass counts, per group, the rows below each bracket and keeps
-       only the rows inside it (≈ 2·margin·n/accuracy rows per quantile);
+       only the rows inside it (≈ 2·margin·n/accuracy rows per quantile;
+       a group of at most ``accuracy`` rows is kept whole);
     3. the bracketed rows alone are ranked, and the order statistics at the
        floor and ceiling of ``q·(n−1)`` are interpolated as ``percentile``
        does.
@@ -82,8 +83,12 @@ def exact_group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequ
                             F.count(F.lit(1)).alias("_n"), F.min(value).alias("_mn"), F.max(value).alias("_mx"))
     parts = []
     for i, q in enumerate(qs):
-        lo = F.when(F.lit(q - eps) <= 0, F.col("_mn")).otherwise(F.col("_p")[2 * i])
-        hi = F.when(F.lit(q + eps) >= 1, F.col("_mx")).otherwise(F.col("_p")[2 * i + 1])
+        # groups of at most ``accuracy`` rows are ranked whole: there the
+        # sketch's rank error (n/accuracy) need not cover the ±1 rank between
+        # the floor and ceiling of the position
+        small = F.col("_n") <= accuracy
+        lo = F.when(small | (F.lit(q - eps) <= 0), F.col("_mn")).otherwise(F.col("_p")[2 * i])
+        hi = F.when(small | (F.lit(q + eps) >= 1), F.col("_mx")).otherwise(F.col("_p")[2 * i + 1])
         parts.append(F.struct(F.lit(i).alias("qi"), lo.alias("lo"), hi.alias("hi"),
                               (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos")))
     br = sk.select(*by, F.explode(F.array(*parts)).alias("b")).select(*by, "b.*")

@@ -230,3 +230,37 @@ def test_sample_deal_card(spark):
     assert "Flight(s): CA938, CA938" in card and "Duration: 21h 45m" in card
     r = rt.first()
     assert r.trip_length_days == 13 and r.total_stops == 2 and r.out_transit_airports == ["PEK"]
+
+
+def test_exact_group_quantiles_skewed(spark):
+    """A hot group holding most rows, a tiny group, ties; equal to ``percentile``."""
+    from fareweave.operators.ranked import exact_group_quantiles
+    rnd = random.Random(11)
+    rows = [("hot", rnd.randint(0, 900) / 7.0) for _ in range(6000)]
+    rows += [("cold", float(i)) for i in range(3)] + [("one", 5.0)] + [("hot", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.95, 1.0]
+    got = {r.g: [r[f"q{i}"] for i in range(len(qs))] for r in
+           exact_group_quantiles(df, ["g"], "v", qs, accuracy=500).collect()}
+    want = {r.g: list(r.p) for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12), g
+
+
+def test_top_n_and_cheapest_path_on_hot_group(spark):
+    from fareweave.operators import itinerary as IT
+    rnd = random.Random(4)
+    rows = [("hot" if rnd.random() < 0.8 else f"g{rnd.randint(0, 3)}", f"p{rnd.randint(0, 5)}",
+             float(rnd.randint(1, 400)), f"id{i}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, path string, price_raw double, itinerary_id string").repartition(7)
+    got = sorted((r.g, r.itinerary_id) for r in IT.top_n(df, 3, [F.col("price_raw"), F.col("itinerary_id")],
+                                                          by=["g"]).collect())
+    want = []
+    for g in {r[0] for r in rows}:
+        want += [(g, r[3]) for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[2], r[3]))[:3]]
+    assert got == sorted(want)
+    best = {(r.g, r.path): r.itinerary_id for r in IT.cheapest_per_path(df, ["g"], path="path", n=None).collect()}
+    for (g, p), iid in best.items():
+        cands = sorted((r for r in rows if r[0] == g and r[1] == p), key=lambda r: (r[2], r[3]))
+        assert iid == cands[0][3]
