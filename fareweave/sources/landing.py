@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+# bumped whenever the layout of a landed input changes, so an old landing in
+# a long-lived shared folder is never read with a new reader
+LANDING_VERSION = "v2"
+
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -38,7 +42,7 @@ def _input_tag(spark: SparkSession, sf_dir: str) -> str:
 
 
 def landed_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    return scratch_path(spark, f"landed_v1_{kind}_{_input_tag(spark, sf_dir)}")
+    return scratch_path(spark, f"landed_{LANDING_VERSION}_{kind}_{_input_tag(spark, sf_dir)}")
 
 
 def land_once(spark: SparkSession, sf_dir: str, kind: str,

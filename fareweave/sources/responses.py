@@ -344,24 +344,26 @@ def calendar_documents(cal: DataFrame) -> DataFrame:
 # --- landing the derived documents as files -------------------------------------------
 
 def landed_documents(spark, sf_dir: str, kind: str, build) -> DataFrame:
-    """JSON-lines files of derived response documents, written once per input
-    directory under the session's shared checkpoint folder and then read as
-    text — how real responses arrive. Reading them back (instead of parsing
-    the builder's output in the same plan) also stops the optimizer from
-    folding ``from_json(to_json(struct))`` and inlining the builder into
+    """Derived response documents landed once per input directory under the
+    session's shared checkpoint folder, then read back — how real responses
+    arrive. Documents without side columns are JSON-lines text; documents
+    with side columns (collection time, search date) land as Parquet rows
+    holding the JSON text next to them. Reading them back (instead of
+    parsing the builder's output in the same plan) also stops the optimizer
+    from folding ``from_json(to_json(struct))`` and inlining the builder into
     every parsed column."""
     from .landing import land_once
 
     docs = build()
-    keep = [f for f in docs.schema.fields if f.name != "json"]
+    keep = [f.name for f in docs.schema.fields if f.name != "json"]
 
     def write(path: str) -> None:
-        out = (docs.select(F.to_json(F.struct(*[f.name for f in keep], "json")).alias("value")) if keep
-               else docs.select(F.col("json").alias("value")))
-        out.write.mode("overwrite").text(path)
-
-    raw = spark.read.text(land_once(spark, sf_dir, f"responses_{kind}", write))
-    if not keep:
-        return raw.select(F.col("value").alias("json"))
-    wrapper = T.StructType(keep + [T.StructField("json", T.StringType())])
-    return raw.select(F.from_json("value", wrapper).alias("r")).select("r.*")
+        if keep:
+            docs.write.mode("overwrite").parquet(path)
+        else:
+            docs.select(F.col("json").alias("value")).write.mode("overwrite").text(path)
+
+    path = land_once(spark, sf_dir, f"responses_{kind}", write)
+    if keep:
+        return spark.read.schema(docs.schema).parquet(path)
+    return spark.read.text(path).select(F.col("value").alias("json"))
