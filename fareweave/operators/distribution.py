@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregate import median, quantile
-from .ranked import ordered_cumsum
+from .ranked import exact_group_quantiles, ordered_cumsum
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 
@@ -33,19 +33,25 @@ def sample_kurtosis(x: Column | str) -> Column:
 
 def fare_summary(df: DataFrame, value: str = "MktFare", approx: bool = False) -> DataFrame:
     """count, mean, std, skewness, kurtosis, min, p1..p99, max, iqr, cv as
-    (statistic, value) rows — one aggregation pass."""
+    (statistic, value) rows. Moments come from one aggregation pass; the
+    percentiles from ``exact_group_quantiles`` (no task ever holds all
+    distinct values), or a sketch with ``approx``."""
     qs = [p / 100 for p in PERCENTILES]
-    wide = df.agg(F.count(value).cast("double").alias("count"), F.avg(value).alias("mean"),
-                  F.stddev_samp(value).alias("std"), sample_skew(value).alias("skewness"),
-                  sample_kurtosis(value).alias("kurtosis"), F.min(value).alias("min"),
-                  quantile(value, qs, approx).alias("_q"), F.max(value).alias("max"))
+    qn = [f"p{p}" for p in PERCENTILES]
+    mom = df.agg(F.count(value).cast("double").alias("count"), F.avg(value).alias("mean"),
+                 F.stddev_samp(value).alias("std"), sample_skew(value).alias("skewness"),
+                 sample_kurtosis(value).alias("kurtosis"), F.min(value).alias("min"),
+                 F.max(value).alias("max"))
+    if approx:
+        qt = df.agg(F.percentile_approx(value, qs, 10000).alias("_q")).select(
+            *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
+    else:
+        qt = exact_group_quantiles(df, [], value, qs, qn)
+    wide = mom.withColumn("_k", F.lit(1)).join(qt.withColumn("_k", F.lit(1)), "_k")
     cols = ["count", "mean", "std", "skewness", "kurtosis", "min"]
-    exprs = [F.col(c).cast("double") for c in cols]
-    names = list(cols)
-    for i, p in enumerate(PERCENTILES):
-        exprs.append(F.col("_q")[i].cast("double"))
-        names.append(f"p{p}")
-    exprs += [F.col("max").cast("double"), (F.col("_q")[5] - F.col("_q")[3]),
+    exprs = [F.col(c).cast("double") for c in cols] + [F.col(n).cast("double") for n in qn]
+    names = cols + qn
+    exprs += [F.col("max").cast("double"), (F.col("p75") - F.col("p25")),
               F.try_divide(F.col("std"), F.col("mean"))]
     names += ["max", "iqr", "cv"]
     pairs = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(n).alias("statistic"), e.alias("value"))
@@ -106,9 +112,11 @@ def box_stats(df: DataFrame, value: str, upper: float | None = None,
     and outlier count, on values capped at ``upper``."""
     x = F.least(F.col(value), F.lit(float(upper))) if upper is not None else F.col(value)
     capped = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
-    q = capped.agg(quantile("_x", [0.25, 0.5, 0.75], approx).alias("q")).first()["q"]
-    if q is None:
-        q = [None, None, None]
+    if approx:
+        q = capped.agg(quantile("_x", [0.25, 0.5, 0.75], True).alias("q")).first()["q"] or [None] * 3
+    else:
+        r = exact_group_quantiles(capped, [], "_x", [0.25, 0.5, 0.75], ["q1", "q2", "q3"]).first()
+        q = [r["q1"], r["q2"], r["q3"]] if r is not None else [None] * 3
     q1, q2, q3 = q
     iqr = (q3 - q1) if q1 is not None else None
     lo_f = q1 - 1.5 * iqr if iqr is not None else 0.0
@@ -125,7 +133,9 @@ def box_stats(df: DataFrame, value: str, upper: float | None = None,
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              approx: bool = False) -> DataFrame:
     """count/mean/std/min/25%/50%/75%/max per numeric column, exact quantiles
-    by default (Spark's ``summary`` is approximate). One pass, long output."""
+    by default (Spark's ``summary`` is approximate). Moments in one pass; the
+    quartiles of every column from one ``exact_group_quantiles`` over the
+    (column, value) pairs — the column name is the group."""
     num = ("int", "bigint", "smallint", "tinyint", "double", "float")
     columns = columns or [f.name for f in df.schema.fields
                           if f.dataType.simpleString() in num or
@@ -135,16 +145,21 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 quantile(x, [0.25, 0.5, 0.75], approx).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(
+    mom = wide.select(F.inline(F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"{c}__count").cast("bigint").alias("count"),
         F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-        F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("p25"),
-        F.col(f"{c}__q")[1].alias("p50"), F.col(f"{c}__q")[2].alias("p75"),
-        F.col(f"{c}__max").alias("max")) for c in columns])
-    return wide.select(F.inline(rows))
+        F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in columns])))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                         for c in columns])).alias("p")).select("p.*")
+    if approx:
+        qt = long.groupBy("column").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 10000).alias("q")).select(
+            "column", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
+    else:
+        qt = exact_group_quantiles(long, ["column"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return mom.join(qt, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50",
+                                                 "p75", "max")
 
 
 def grouped_density(df: DataFrame, value: str, by: str, bins: int, lo: float, hi: float,

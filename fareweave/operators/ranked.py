@@ -74,39 +74,48 @@ def exact_group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequ
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(qs))])
+    if not by:  # one global group: a constant key keeps every join an equi-join
+        out = exact_group_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, qs, names,
+                                    accuracy, margin)
+        return out.drop("_all")
     eps = margin / accuracy
+    k = len(qs)
     x = df.filter(F.col(value).isNotNull() & _all_not_null(by))
     probes = []
     for q in qs:
         probes += [max(0.0, q - eps), min(1.0, q + eps)]
     sk = x.groupBy(*by).agg(F.percentile_approx(value, probes, accuracy).alias("_p"),
                             F.count(F.lit(1)).alias("_n"), F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    parts = []
+    # groups of at most ``accuracy`` rows are ranked whole: there the sketch's
+    # rank error (n/accuracy) need not cover the ±1 rank between the floor
+    # and ceiling of the position
+    small = F.col("_n") <= accuracy
+    los, his = [], []
     for i, q in enumerate(qs):
-        # groups of at most ``accuracy`` rows are ranked whole: there the
-        # sketch's rank error (n/accuracy) need not cover the ±1 rank between
-        # the floor and ceiling of the position
-        small = F.col("_n") <= accuracy
-        lo = F.when(small | (F.lit(q - eps) <= 0), F.col("_mn")).otherwise(F.col("_p")[2 * i])
-        hi = F.when(small | (F.lit(q + eps) >= 1), F.col("_mx")).otherwise(F.col("_p")[2 * i + 1])
-        parts.append(F.struct(F.lit(i).alias("qi"), lo.alias("lo"), hi.alias("hi"),
-                              (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos")))
-    br = sk.select(*by, F.explode(F.array(*parts)).alias("b")).select(*by, "b.*")
-    j = x.select(*by, value).join(br, by)
-    below = j.groupBy(*by, "qi").agg(F.count_if(F.col(value) < F.col("lo")).alias("_below"))
-    band = j.filter(F.col(value).between(F.col("lo"), F.col("hi")))
+        los.append(F.when(small | (F.lit(q - eps) <= 0), F.col("_mn")).otherwise(F.col("_p")[2 * i]))
+        his.append(F.when(small | (F.lit(q + eps) >= 1), F.col("_mx")).otherwise(F.col("_p")[2 * i + 1]))
+    sk = sk.select(*by, "_n", F.array(*los).alias("_lo"), F.array(*his).alias("_hi"))
+    # one row per group: no row is multiplied by the number of quantiles
+    j = x.select(*by, value).join(sk, by)
+    below = j.groupBy(*by).agg(*[F.count_if(F.col(value) < F.col("_lo")[i]).alias(f"_b{i}") for i in range(k)])
+    hits = F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
+                    lambda i: F.col(value).between(F.element_at("_lo", i + 1), F.element_at("_hi", i + 1)))
+    band = j.select(*by, value, "_n", F.explode(hits).alias("qi"))
     w = Window.partitionBy(*by, "qi").orderBy(value)
-    band = band.withColumn("_rn", F.row_number().over(w) - 1).join(below, [*by, "qi"])
-    rank = F.col("_below") + F.col("_rn")
-    pick = band.filter((rank == F.floor("pos")) | (rank == F.ceil("pos")))
+    band = band.withColumn("_rn", F.row_number().over(w) - 1).join(below, by)
+    b_of_q = F.element_at(F.array(*[F.col(f"_b{i}") for i in range(k)]), F.col("qi") + 1)
+    pos = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("qi") + 1) * (F.col("_n") - 1)
+    band = band.withColumn("_pos", pos).withColumn("_rank", b_of_q + F.col("_rn"))
+    rank = F.col("_rank")
+    pick = band.filter((rank == F.floor("_pos")) | (rank == F.ceil("_pos")))
     per_q = pick.groupBy(*by, "qi").agg(
-        F.max(F.when(rank == F.floor("pos"), F.col(value))).alias("_lo"),
-        F.max(F.when(rank == F.ceil("pos"), F.col(value))).alias("_hi"),
-        F.first("pos").alias("_pos"))
+        F.max(F.when(rank == F.floor("_pos"), F.col(value))).alias("_lo"),
+        F.max(F.when(rank == F.ceil("_pos"), F.col(value))).alias("_hi"),
+        F.first("_pos").alias("_pos"))
     lo_p, hi_p = F.floor("_pos"), F.ceil("_pos")
     val = F.when(lo_p == hi_p, F.col("_lo")).otherwise(
         (hi_p - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - lo_p) * F.col("_hi"))
-    out = per_q.groupBy(*by).pivot("qi", list(range(len(qs)))).agg(F.first(val))
+    out = per_q.groupBy(*by).pivot("qi", list(range(k))).agg(F.first(val))
     return out.select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
 
 
