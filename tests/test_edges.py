@@ -264,3 +264,22 @@ def test_top_n_and_cheapest_path_on_hot_group(spark):
     for (g, p), iid in best.items():
         cands = sorted((r for r in rows if r[0] == g and r[1] == p), key=lambda r: (r[2], r[3]))
         assert iid == cands[0][3]
+
+
+def test_closed_form_ols_equals_spark_ml(spark):
+    """Two-regressor OLS from moments equals LinearRegression(solver='normal')."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from fareweave.operators.regression import ols2
+    rnd = random.Random(2)
+    rows = [(float(rnd.randint(1, 9)), float(rnd.randint(100, 6000))) for _ in range(300)]
+    rows = [(c, d, 50 + 12 * c + 0.03 * d + rnd.gauss(0, 20)) for c, d in rows]
+    df = spark.createDataFrame(rows, "carriers double, dist double, y double")
+    mine = ols2(df, "y", "carriers", "dist", ("b1", "b2")).first()
+    vec = VectorAssembler(inputCols=["carriers", "dist"], outputCol="f").transform(df)
+    lr = LinearRegression(featuresCol="f", labelCol="y", solver="normal", regParam=0.0).fit(vec)
+    assert mine.b1 == pytest.approx(lr.coefficients[0], rel=1e-9)
+    assert mine.b2 == pytest.approx(lr.coefficients[1], rel=1e-9)
+    assert mine.intercept == pytest.approx(lr.intercept, rel=1e-9)
+    assert mine.r2 == pytest.approx(lr.summary.r2, rel=1e-9)
