@@ -40,8 +40,8 @@ def median_by(df: DataFrame, by: Sequence[str], value: str, name: str = "median"
     values are held by one task), or a fixed-size sketch with ``approx``."""
     if approx:
         return df.groupBy(*by).agg(F.percentile_approx(value, 0.5, 10000).alias(name))
-    from .ranked import exact_group_quantiles
-    return exact_group_quantiles(df, by, value, [0.5], [name])
+    from .ranked import group_quantiles
+    return group_quantiles(df, by, value, [0.5], [name])
 
 
 # --- spec translators ---------------------------------------------------------

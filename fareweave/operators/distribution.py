@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregate import median, quantile
-from .ranked import exact_group_quantiles, ordered_cumsum
+from .ranked import group_quantiles, ordered_cumsum
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 
@@ -34,7 +34,7 @@ def sample_kurtosis(x: Column | str) -> Column:
 def fare_summary(df: DataFrame, value: str = "MktFare", approx: bool = False) -> DataFrame:
     """count, mean, std, skewness, kurtosis, min, p1..p99, max, iqr, cv as
     (statistic, value) rows. Moments come from one aggregation pass; the
-    percentiles from ``exact_group_quantiles`` (no task ever holds all
+    percentiles from ``group_quantiles`` (no task ever holds all
     distinct values), or a sketch with ``approx``."""
     qs = [p / 100 for p in PERCENTILES]
     qn = [f"p{p}" for p in PERCENTILES]
@@ -46,7 +46,7 @@ def fare_summary(df: DataFrame, value: str = "MktFare", approx: bool = False) ->
         qt = df.agg(F.percentile_approx(value, qs, 10000).alias("_q")).select(
             *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
     else:
-        qt = exact_group_quantiles(df, [], value, qs, qn)
+        qt = group_quantiles(df, [], value, qs, qn)
     wide = mom.withColumn("_k", F.lit(1)).join(qt.withColumn("_k", F.lit(1)), "_k")
     cols = ["count", "mean", "std", "skewness", "kurtosis", "min"]
     exprs = [F.col(c).cast("double") for c in cols] + [F.col(n).cast("double") for n in qn]
@@ -115,7 +115,7 @@ def box_stats(df: DataFrame, value: str, upper: float | None = None,
     if approx:
         q = capped.agg(quantile("_x", [0.25, 0.5, 0.75], True).alias("q")).first()["q"] or [None] * 3
     else:
-        r = exact_group_quantiles(capped, [], "_x", [0.25, 0.5, 0.75], ["q1", "q2", "q3"]).first()
+        r = group_quantiles(capped, [], "_x", [0.25, 0.5, 0.75], ["q1", "q2", "q3"]).first()
         q = [r["q1"], r["q2"], r["q3"]] if r is not None else [None] * 3
     q1, q2, q3 = q
     iqr = (q3 - q1) if q1 is not None else None
@@ -134,7 +134,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
              approx: bool = False) -> DataFrame:
     """count/mean/std/min/25%/50%/75%/max per numeric column, exact quantiles
     by default (Spark's ``summary`` is approximate). Moments in one pass; the
-    quartiles of every column from one ``exact_group_quantiles`` over the
+    quartiles of every column from one ``group_quantiles`` over the
     (column, value) pairs — the column name is the group."""
     num = ("int", "bigint", "smallint", "tinyint", "double", "float")
     columns = columns or [f.name for f in df.schema.fields
@@ -157,7 +157,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
         qt = long.groupBy("column").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 10000).alias("q")).select(
             "column", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
     else:
-        qt = exact_group_quantiles(long, ["column"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+        qt = group_quantiles(long, ["column"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return mom.join(qt, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50",
                                                  "p75", "max")
 

@@ -124,3 +124,27 @@ def _all_not_null(cols: Sequence[str]):
     for c in cols:
         cond = cond & F.col(c).isNotNull()
     return cond
+
+
+# a group whose distinct values stay under this keeps Spark's ``percentile``:
+# its state is a value → count map (≈ 100 bytes per distinct value)
+MAX_MAP_DISTINCT = 1_000_000
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
+                    names: Sequence[str] | None = None,
+                    max_distinct: int = MAX_MAP_DISTINCT) -> DataFrame:
+    """Exact per-group quantiles, choosing the plan by the data: one HLL pass
+    measures the largest number of distinct values in any group (a scalar);
+    if every group's value→count map stays under ``max_distinct`` the single
+    ``percentile`` aggregation is used, otherwise ``exact_group_quantiles``,
+    whose per-task state does not grow with a group."""
+    by = list(by)
+    names = list(names or [f"q{i}" for i in range(len(qs))])
+    x = df.filter(F.col(value).isNotNull() & _all_not_null(by))
+    card = (x.groupBy(*by).agg(F.approx_count_distinct(value).alias("_d"))
+            .agg(F.max("_d")).first()[0] or 0)
+    if card <= max_distinct:
+        agg = x.groupBy(*by).agg(F.percentile(value, list(qs)).alias("_q"))
+        return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return exact_group_quantiles(x, by, value, qs, names)

@@ -19,7 +19,7 @@ from ..session import scratch_path
 
 # bumped whenever the layout of a landed input changes, so an old landing in
 # a long-lived shared folder is never read with a new reader
-LANDING_VERSION = "v2"
+LANDING_VERSION = "v3"
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:

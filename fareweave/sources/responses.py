@@ -358,10 +358,12 @@ def landed_documents(spark, sf_dir: str, kind: str, build) -> DataFrame:
     keep = [f.name for f in docs.schema.fields if f.name != "json"]
 
     def write(path: str) -> None:
+        # spread the documents over enough files for a parallel read
+        out = docs.repartition(2 * spark.sparkContext.defaultParallelism)
         if keep:
-            docs.write.mode("overwrite").parquet(path)
+            out.write.mode("overwrite").parquet(path)
         else:
-            docs.select(F.col("json").alias("value")).write.mode("overwrite").text(path)
+            out.select(F.col("json").alias("value")).write.mode("overwrite").text(path)
 
     path = land_once(spark, sf_dir, f"responses_{kind}", write)
     if keep:

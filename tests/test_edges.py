@@ -283,3 +283,17 @@ def test_closed_form_ols_equals_spark_ml(spark):
     assert mine.b2 == pytest.approx(lr.coefficients[1], rel=1e-9)
     assert mine.intercept == pytest.approx(lr.intercept, rel=1e-9)
     assert mine.r2 == pytest.approx(lr.summary.r2, rel=1e-9)
+
+
+@pytest.mark.parametrize("max_distinct", [10, 10**6])
+def test_group_quantiles_both_plans(spark, max_distinct):
+    """The cardinality check picks ``percentile`` or the bracketed ranking; both exact."""
+    from fareweave.operators.ranked import group_quantiles
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(rnd.choice("ab"), rnd.random()) for _ in range(3000)], "g string, v double")
+    qs = [0.1, 0.5, 0.9]
+    got = {r.g: [r.q0, r.q1, r.q2] for r in group_quantiles(df, ["g"], "v", qs, max_distinct=max_distinct).collect()}
+    want = {r.g: list(r.p) for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12)
