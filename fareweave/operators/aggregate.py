@@ -33,6 +33,29 @@ def median(c: Column | str, approx: bool = False) -> Column:
     return quantile(c, 0.5, approx)
 
 
+def quantiles_by(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
+                 names: Sequence[str], approx: bool = False) -> DataFrame:
+    """Per-group quantiles as a table (by..., names): exact through
+    ``group_quantiles`` (adaptive, no unbounded per-task state) or a sketch."""
+    if approx:
+        q = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(
+            F.percentile_approx(value, list(qs), 10000).alias("_q"))
+        return q.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    from .ranked import group_quantiles
+    return group_quantiles(df, by, value, qs, names)
+
+
+def join_quantiles(stats: DataFrame, df: DataFrame, by: Sequence[str], value: str,
+                   qs: Sequence[float], names: Sequence[str], approx: bool = False) -> DataFrame:
+    """Attach per-group quantiles of ``df`` to a per-group ``stats`` table."""
+    by = list(by)
+    q = quantiles_by(df, by, value, qs, names, approx)
+    if by:
+        return stats.join(q, by, "left")
+    k = F.lit(1)
+    return stats.withColumn("_k", k).join(q.withColumn("_k", k), "_k", "left").drop("_k")
+
+
 def median_by(df: DataFrame, by: Sequence[str], value: str, name: str = "median",
               approx: bool = False) -> DataFrame:
     """Per-group median as a table (by..., name) for values with unboundedly
@@ -152,21 +175,26 @@ def _not_null(cols: Sequence[str]) -> Column:
 def group_stats(df: DataFrame, by: Sequence[str] | str, value: str,
                 stats: Sequence[str] = ("count", "mean", "median"),
                 approx: bool = False, prefix: str = "") -> DataFrame:
-    """Common named statistics of ``value`` per group."""
+    """Common named statistics of ``value`` per group; quantile statistics
+    (median, p25, p75) come from ``join_quantiles``."""
     by = [by] if isinstance(by, str) else list(by)
     table = {
         "count": lambda: F.count(F.col(value)).cast("bigint"),
         "mean": lambda: F.avg(value),
-        "median": lambda: median(value, approx),
         "std": lambda: F.stddev_samp(value),
         "min": lambda: F.min(value),
         "max": lambda: F.max(value),
-        "p25": lambda: quantile(value, 0.25, approx),
-        "p75": lambda: quantile(value, 0.75, approx),
         "sum": lambda: F.sum(value),
     }
-    return (df.filter(_not_null(by)).groupBy(*by)
-            .agg(*[table[s]().alias(prefix + s) for s in stats]))
+    qmap = {"median": 0.5, "p25": 0.25, "p75": 0.75}
+    base = df.filter(_not_null(by))
+    plain = [s_ for s_ in stats if s_ not in qmap]
+    aggs = [table[s_]().alias(prefix + s_) for s_ in plain] or [F.count(F.lit(1)).alias("_rows")]
+    out = base.groupBy(*by).agg(*aggs)
+    qn = [s_ for s_ in stats if s_ in qmap]
+    if qn:
+        out = join_quantiles(out, base, by, value, [qmap[s_] for s_ in qn], [prefix + s_ for s_ in qn], approx)
+    return out.select(*by, *[prefix + s_ for s_ in stats])
 
 
 def route_competition(df: DataFrame, route: str = "Route", fare: str = "MktFare",
@@ -175,13 +203,16 @@ def route_competition(df: DataFrame, route: str = "Route", fare: str = "MktFare"
                       approx: bool = False) -> DataFrame:
     """Per route: records, median fare, distinct carriers, mean distance and
     mean fare-per-mile; routes with at least ``min_records`` rows."""
-    return (df.filter(F.col(route).isNotNull()).groupBy(route)
-            .agg(F.count(F.col(fare)).cast("bigint").alias("records"),
-                 median(fare, approx).alias("median_fare"),
-                 F.count_distinct(carrier).cast("bigint").alias("carriers"),
-                 F.avg(distance).alias("mean_distance"),
-                 F.avg(fpm).alias("mean_fpm"))
-            .filter(F.col("records") >= min_records))
+    base = df.filter(F.col(route).isNotNull())
+    g = (base.groupBy(route)
+         .agg(F.count(F.col(fare)).cast("bigint").alias("records"),
+              F.count_distinct(carrier).cast("bigint").alias("carriers"),
+              F.avg(distance).alias("mean_distance"),
+              F.avg(fpm).alias("mean_fpm"))
+         .filter(F.col("records") >= min_records))
+    kept = base.join(g.select(route), route, "left_semi")
+    g = join_quantiles(g, kept, [route], fare, [0.5], ["median_fare"], approx)
+    return g.select(route, "records", "median_fare", "carriers", "mean_distance", "mean_fpm")
 
 
 def carrier_tiers(df: DataFrame, carrier: str = "RPCarrier", fare: str = "MktFare",
@@ -274,12 +305,13 @@ def table_profile(df: DataFrame, fare: str = "MktFare",
     """Rows, columns, fare stats, total passengers and null counts in one pass."""
     aggs = [F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns")]
     if fare in df.columns:
-        aggs += [F.avg(fare).alias("fare_mean"), median(fare, approx).alias("fare_median"),
-                 F.min(fare).alias("fare_min"), F.max(fare).alias("fare_max")]
+        aggs += [F.avg(fare).alias("fare_mean"), F.min(fare).alias("fare_min"), F.max(fare).alias("fare_max")]
     if passengers in df.columns:
         aggs.append(F.sum(passengers).alias("total_passengers"))
     aggs += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns]
     out = df.agg(*aggs)
+    if fare in df.columns:
+        out = join_quantiles(out, df, [], fare, [0.5], ["fare_median"], approx)
     valid = F.col("rows") > 0
     if fare not in df.columns:
         valid = F.lit(False)

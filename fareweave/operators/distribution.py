@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregate import median, quantile
+from .aggregate import quantile, quantiles_by
 from .ranked import group_quantiles, ordered_cumsum
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
@@ -173,7 +173,7 @@ def grouped_density(df: DataFrame, value: str, by: str, bins: int, lo: float, hi
     capped = df.select(F.col(by), x.alias("_x")).filter(F.col(by).isNotNull() & F.col("_x").isNotNull())
     h = histogram(capped, "_x", bins, lo, hi, by=[by])
     share = F.col("count") / F.sum("count").over(Window.partitionBy(by))
-    meds = capped.groupBy(by).agg(median("_x", approx).alias("median"))
+    meds = quantiles_by(capped, [by], "_x", [0.5], ["median"], approx)
     return h.select(by, "bin", "bin_lo", "bin_hi", "count", share.alias("share")).join(meds, by)
 
 
@@ -191,8 +191,8 @@ def fare_segments(df: DataFrame, value: str, segments, approx: bool = False) ->
     labels.append(F.lit("__all__"))
     exp = df.select(x.alias("_x"), F.explode(F.array(*labels)).alias("segment")).filter(
         F.col("segment").isNotNull())
-    g = exp.groupBy("segment").agg(F.count(F.lit(1)).alias("count"),
-                                   median("_x", approx).alias("median"))
+    g = exp.groupBy("segment").agg(F.count(F.lit(1)).alias("count"))
+    g = g.join(quantiles_by(exp, ["segment"], "_x", [0.5], ["median"], approx), "segment", "left")
     total = F.max(F.when(F.col("segment") == "__all__", F.col("count"))).over(Window.partitionBy())
     order = {lab: i for i, (lab, *_r) in enumerate(segments)}
     ordc = None

@@ -251,9 +251,10 @@ from market where MktFare > 0 and MktFare < 10000 and BulkFare = 0 and Passenger
           views=("market",))
 def flt_usable(spark, sf):
     u = C.usable(market(spark, sf))
-    return u.agg(F.count(F.lit(1)).alias("rows_after"), r4(F.avg("MktFare")).alias("mean_fare"),
-                 r4(A.median("MktFare")).alias("median_fare"), F.min("MktFare").alias("min_fare"),
-                 F.max("MktFare").alias("max_fare"))
+    st = u.agg(F.count(F.lit(1)).alias("rows_after"), r4(F.avg("MktFare")).alias("mean_fare"),
+               F.min("MktFare").alias("min_fare"), F.max("MktFare").alias("max_fare"))
+    st = A.join_quantiles(st, u, [], "MktFare", [0.5], ["median_fare"])
+    return st.select("rows_after", "mean_fare", r4("median_fare").alias("median_fare"), "min_fare", "max_fare")
 
 
 @register("flt_rules", """select count(*) as rows_before,
@@ -432,10 +433,11 @@ def agg_distance_band(spark, sf):
     m = m.filter(F.col("DistanceBand").isNotNull())
     g = (m.groupBy("DistanceBand")
          .agg(F.count("FarePerMile").alias("count"), r4(F.avg("FarePerMile")).alias("mean_fpm"),
-              r4(A.median("MktFare")).alias("median_fare"), r4(F.avg("MktDistance")).alias("mean_distance")))
-    med = A.median_by(m, ["DistanceBand"], "FarePerMile", "median_fpm")
-    return g.join(med, "DistanceBand").select("DistanceBand", "count", r4("median_fpm").alias("median_fpm"),
-                                              "mean_fpm", "median_fare", "mean_distance")
+              r4(F.avg("MktDistance")).alias("mean_distance")))
+    g = A.join_quantiles(g, m, ["DistanceBand"], "FarePerMile", [0.5], ["median_fpm"])
+    g = A.join_quantiles(g, m, ["DistanceBand"], "MktFare", [0.5], ["median_fare"])
+    return g.select("DistanceBand", "count", r4("median_fpm").alias("median_fpm"), "mean_fpm",
+                    r4("median_fare").alias("median_fare"), "mean_distance")
 
 
 @register("agg_bulk", f"""select BulkFare, count(MktFare) as count, {_r4sql('avg(MktFare)')} as mean,
@@ -452,10 +454,13 @@ from market_clean group by 1""", views=MC)
 def agg_direct_connecting(spark, sf):
     m = market_clean(spark, sf).withColumn(
         "IsDirect", F.when(F.col("MktCoupons") == 1, F.lit("Direct")).otherwise(F.lit("Connecting")))
-    return m.groupBy("IsDirect").agg(
+    g = m.groupBy("IsDirect").agg(
         F.count("MktFare").alias("count"), r4(F.avg("MktFare")).alias("mean_fare"),
-        r4(A.median("MktFare")).alias("median_fare"), r4(F.avg("FarePerMile")).alias("mean_fpm"),
-        r4(A.median("MktDistance")).alias("median_distance"))
+        r4(F.avg("FarePerMile")).alias("mean_fpm"))
+    g = A.join_quantiles(g, m, ["IsDirect"], "MktFare", [0.5], ["median_fare"])
+    g = A.join_quantiles(g, m, ["IsDirect"], "MktDistance", [0.5], ["median_distance"])
+    return g.select("IsDirect", "count", "mean_fare", r4("median_fare").alias("median_fare"), "mean_fpm",
+                    r4("median_distance").alias("median_distance"))
 
 
 ROUTE_COMP_SQL = """select Route, count(MktFare) as records, median(MktFare) as median_fare,
@@ -498,12 +503,11 @@ from market_clean where MktDistance > 0 and MktDistance <= 5900 group by 1, 2) w
 def agg_distance_curve(spark, sf):
     m = market_clean(spark, sf).withColumn("dist_bin", S.cut_regular_bin("MktDistance", 100.0, 0.0, 5900.0))
     m = m.filter(F.col("dist_bin").isNotNull())
-    g = (m.groupBy("dist_bin")
-         .agg(r4(A.median("MktFare")).alias("median_fare"), F.count("MktFare").alias("count"))
-         .filter(F.col("count") >= 50))
-    med = A.median_by(m.join(g.select("dist_bin"), "dist_bin", "left_semi"), ["dist_bin"], "FarePerMile", "median_fpm")
-    g = g.join(med, "dist_bin")
-    return g.select("dist_bin", S.bin_midpoint("dist_bin").alias("bin_mid"), "median_fare",
+    g = m.groupBy("dist_bin").agg(F.count("MktFare").alias("count")).filter(F.col("count") >= 50)
+    kept = m.join(g.select("dist_bin"), "dist_bin", "left_semi")
+    g = A.join_quantiles(g, kept, ["dist_bin"], "FarePerMile", [0.5], ["median_fpm"])
+    g = A.join_quantiles(g, kept, ["dist_bin"], "MktFare", [0.5], ["median_fare"])
+    return g.select("dist_bin", S.bin_midpoint("dist_bin").alias("bin_mid"), r4("median_fare").alias("median_fare"),
                     r4("median_fpm").alias("median_fpm"), "count")
 
 
