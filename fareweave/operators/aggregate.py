@@ -78,7 +78,10 @@ _FUNCS = {
 
 
 def agg_spec(spec: Mapping[str, str | Sequence[str]]) -> list[Column]:
-    """``{col: func | [func, ..]}`` → aggregate columns named ``{col}_{func}``."""
+    """``{col: func | [func, ..]}`` → aggregate columns named ``{col}_{func}``.
+
+    ``median`` inside a spec is Spark's ``percentile`` (state bounded by the
+    distinct values of a group); for unbounded value sets use ``quantiles_by``."""
     out = []
     for col, funcs in spec.items():
         for fn in ([funcs] if isinstance(funcs, str) else funcs):
