@@ -3,7 +3,6 @@ boosted-tree model has no SQL oracle; pytest checks the pieces)."""
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
