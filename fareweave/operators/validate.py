@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 # fixed values: airports accepted in commands
 VALID_AIRPORTS = ("BKK", "HAN", "LHR", "MAN", "SGN")
 
+# fixed values: the user-facing error messages, in the order they are checked
+MESSAGES = {
+    "missing": "Missing arguments. See /help for usage.",
+    "route": "Route '%s' looks wrong. Use ORIGIN-DEST format, e.g. `LHR-SGN`.",
+    "airport": "Airport '%s' not recognised.\nSupported: %s",
+    "need_range": "Need START and END dates. See /help.",
+    "need_date": "Need a date. See /help.",
+    "bad_date": "Date '%s' is invalid. Use `yyyy-mm-dd`, e.g. `2026-09-15`.",
+    "past": "Date %s is in the past.",
+    "order": "START date must be before END date.",
+}
+
 
 def _parse_day(s: Column) -> Column:
     return F.to_date(F.try_to_timestamp(s, F.lit("yyyy-MM-dd")))
@@ -33,24 +45,24 @@ def validate_requests(df: DataFrame, args: str = "args", as_of="as_of", need_dat
 
     def date_err(s: Column) -> Column:
         d = _parse_day(s)
-        return (F.when(d.isNull(), F.format_string("Date '%s' is invalid. Use `yyyy-mm-dd`, e.g. `2026-09-15`.", s))
-                .when(d < today, F.format_string("Date %s is in the past.", s)))
+        return (F.when(d.isNull(), F.format_string(MESSAGES["bad_date"], s))
+                .when(d < today, F.format_string(MESSAGES["past"], s)))
 
-    err = (F.when(n == 0, F.lit("Missing arguments. See /help for usage."))
+    err = (F.when(n == 0, F.lit(MESSAGES["missing"]))
            .when(~route.contains("-"),
-                 F.format_string("Route '%s' looks wrong. Use ORIGIN-DEST format, e.g. `LHR-SGN`.", route))
+                 F.format_string(MESSAGES["route"], route))
            .when(~F.array_contains(known, origin) | ~F.array_contains(known, dest),
-                 F.format_string("Airport '%s' not recognised.\nSupported: %s", bad_airport, F.lit(supported))))
+                 F.format_string(MESSAGES["airport"], bad_airport, F.lit(supported))))
     if need_range:
         s, e = F.get(a, 1), F.get(a, 2)
-        err = (err.when(n < 3, F.lit("Need START and END dates. See /help."))
+        err = (err.when(n < 3, F.lit(MESSAGES["need_range"]))
                .when(date_err(s).isNotNull(), date_err(s))
                .when(date_err(e).isNotNull(), date_err(e))
-               .when(_parse_day(s) > _parse_day(e), F.lit("START date must be before END date.")))
+               .when(_parse_day(s) > _parse_day(e), F.lit(MESSAGES["order"])))
         extra = [(s, "start"), (e, "end")]
     elif need_date:
         d = F.get(a, 1)
-        err = (err.when(n < 2, F.lit("Need a date. See /help."))
+        err = (err.when(n < 2, F.lit(MESSAGES["need_date"]))
                .when(date_err(d).isNotNull(), date_err(d)))
         extra = [(d, "date")]
     else:
