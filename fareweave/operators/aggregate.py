@@ -45,6 +45,18 @@ def quantiles_by(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[floa
     return group_quantiles(df, by, value, qs, names)
 
 
+def combine_rows(*frames: DataFrame) -> DataFrame:
+    """Place one-row frames side by side without a join: union them by name
+    and keep each column's one non-null value (no cross or nested-loop join)."""
+    cols = [c for f in frames for c in f.columns]
+    if len(cols) != len(set(cols)):
+        raise ValueError(f"column names collide: {cols}")
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+
+
 def join_quantiles(stats: DataFrame, df: DataFrame, by: Sequence[str], value: str,
                    qs: Sequence[float], names: Sequence[str], approx: bool = False) -> DataFrame:
     """Attach per-group quantiles of ``df`` to a per-group ``stats`` table."""
@@ -52,8 +64,7 @@ def join_quantiles(stats: DataFrame, df: DataFrame, by: Sequence[str], value: st
     q = quantiles_by(df, by, value, qs, names, approx)
     if by:
         return stats.join(q, by, "left")
-    k = F.lit(1)
-    return stats.withColumn("_k", k).join(q.withColumn("_k", k), "_k", "left").drop("_k")
+    return combine_rows(stats, q)
 
 
 def median_by(df: DataFrame, by: Sequence[str], value: str, name: str = "median",

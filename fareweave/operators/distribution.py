@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregate import quantile, quantiles_by
+from .aggregate import combine_rows, quantile, quantiles_by
 from .ranked import group_quantiles, ordered_cumsum
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
@@ -47,7 +47,7 @@ def fare_summary(df: DataFrame, value: str = "MktFare", approx: bool = False) ->
             *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
     else:
         qt = group_quantiles(df, [], value, qs, qn)
-    wide = mom.withColumn("_k", F.lit(1)).join(qt.withColumn("_k", F.lit(1)), "_k")
+    wide = combine_rows(mom, qt)
     cols = ["count", "mean", "std", "skewness", "kurtosis", "min"]
     exprs = [F.col(c).cast("double") for c in cols] + [F.col(n).cast("double") for n in qn]
     names = cols + qn

@@ -259,8 +259,8 @@ def agg_kpis(spark, sf):
               F.count_distinct(F.to_date("collected_at")).alias("collection_days"),
               F.min("collected_at").alias("first_collected"), F.max("collected_at").alias("last_collected"))
     n_itin = fx.stored(spark, sf, "itineraries").agg(F.count(F.lit(1)).alias("itinerary_records"))
-    # two one-row aggregates side by side: a 1×1 join on a constant key
-    return (k.withColumn("_k", F.lit(1)).join(n_itin.withColumn("_k", F.lit(1)), "_k")
+    # two one-row aggregates side by side, without a join
+    return (A.combine_rows(k, n_itin)
             .select("calendar_records", "itinerary_records", "routes_tracked", "distinct_routes",
                     "collection_days", "first_collected", "last_collected"))
 
@@ -495,7 +495,7 @@ def agg_clf_metrics(spark, sf):
     t = eval_test(spark, sf)
     a = M.auc(t, "should_wait", "wait_probability")
     c = M.classification_metrics(t, "should_wait", "wait_probability", MD.WAIT_THRESHOLD)
-    j = a.withColumn("_k", F.lit(1)).join(c.withColumn("_k", F.lit(1)), "_k")
+    j = A.combine_rows(a, c)
     return j.select(*[r4(x).alias(x) for x in ("auc", "accuracy", "precision", "recall")], "n")
 
 
@@ -573,7 +573,8 @@ def agg_health(spark, sf):
     exp = dims.routes(spark).agg(F.count_if(F.col("origin").isin("LHR", "MAN")
                                             & F.col("destination").isin("SGN", "HAN", "BKK"))
                                  .alias("calendar_expected"))
-    j = c.withColumn("_k", F.lit(1)).join(F.broadcast(exp.withColumn("_k", F.lit(1))), "_k")
+    # the expected count is one value: a scalar subquery, not a join
+    j = c.withColumn("calendar_expected", exp.scalar())
     return j.select("day", "calendar_success", "calendar_expected",
                     (F.col("calendar_success") >= F.col("calendar_expected")).alias("healthy"))
 

@@ -55,9 +55,8 @@ def evaluation(spark: SparkSession, sf: str) -> DataFrame:
     rm = M.regression_metrics(scored, "price", "estimated_price").withColumnRenamed("n", "n_test")
     cm = M.classification_metrics(scored, "should_wait", "wait_probability", MD.WAIT_THRESHOLD).drop("n")
     au = M.auc(scored, "should_wait", "wait_probability")
-    k = F.lit(1)
-    return (rm.withColumn("_k", k).join(cm.withColumn("_k", k), "_k").join(au.withColumn("_k", k), "_k")
-            .drop("_k"))
+    from ..operators.aggregate import combine_rows
+    return combine_rows(rm, cm, au)
 
 
 @register("ml_evaluate")
