@@ -69,6 +69,7 @@ CT = ("calendar", "cal", "cal_feat", "cal_lags", "cal_train")
 @register("src_calendar", """select origin, destination, departure_date, collected_at, price, collected_date, days_ahead
 from cal""", views=CV)
 def src_calendar(spark, sf):
+    """Union all daily calendar files, parse ISO times to UTC, add collected_date, days_ahead, drop negatives, …."""
     return cal_loaded(spark, sf).select("origin", "destination", "departure_date", "collected_at",
                                         "price", "collected_date", "days_ahead")
 
@@ -78,6 +79,7 @@ def src_calendar(spark, sf):
 @register("fn_days_ahead", """select origin, destination, departure_date, collected_at,
 cast(departure_date - cast(collected_at as date) as int) as days_ahead from calendar""", views=("calendar",))
 def fn_days_ahead(spark, sf):
+    """Whole days departure − collected."""
     c = calendar(spark, sf)
     return c.select("origin", "destination", "departure_date", "collected_at",
                     S.days_ahead("departure_date", "collected_at").alias("days_ahead"))
@@ -88,6 +90,7 @@ cast(least(greatest(departure_date - cast(collected_at as date), 0), 365) as int
 cast(floor(least(greatest(departure_date - cast(collected_at as date), 0), 365) / 7) as int) as weeks_ahead
 from calendar""", views=("calendar",))
 def fn_lead_clip(spark, sf):
+    """Clip lead time to [0,365]; weeks = floor(/7)."""
     c = calendar(spark, sf)
     d = S.lead_clip(S.days_ahead("departure_date", "collected_at"))
     return c.select("origin", "destination", "departure_date", "collected_at", d.alias("days_ahead"),
@@ -97,6 +100,7 @@ def fn_lead_clip(spark, sf):
 @register("fn_calendar_parts", """select origin, destination, departure_date, collected_at, dep_dow, dep_month,
 dep_is_weekend, col_dow, route from cal_feat""", views=CV + ("cal_feat",))
 def fn_calendar_parts(spark, sf):
+    """Departure weekday (Mon=0), month, weekend flag, collection weekday."""
     f = TS.build_features(cal_loaded(spark, sf))
     return f.select("origin", "destination", "departure_date", "collected_at", "dep_dow", "dep_month",
                     "dep_is_weekend", "col_dow", "route")
@@ -105,6 +109,7 @@ def fn_calendar_parts(spark, sf):
 @register("fn_month", """select cast(date_trunc('month', departure_date) as date) as month,
 count(*) as n from calendar group by 1""", views=("calendar",))
 def fn_month(spark, sf):
+    """Month period."""
     return calendar(spark, sf).groupBy(S.month_start("departure_date").alias("month")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -112,6 +117,7 @@ def fn_month(spark, sf):
 @register("fn_date_prefix", """select distinct substring(cast(collected_at as varchar), 1, 10) as collected_day
 from calendar""", views=("calendar",))
 def fn_date_prefix(spark, sf):
+    """First 10 chars as date key."""
     return calendar(spark, sf).select(S.date_prefix("collected_at").alias("collected_day")).distinct()
 
 
@@ -120,6 +126,7 @@ case when abs(d) < 1 then 'stable' when d > 0 then printf('up £%.0f', round_eve
 from (select route, departure_date, collected_date, {_r2sql('price_roll3 - price_lag1')} as d from cal_train)""",
           views=CT)
 def fn_trend_text(spark, sf):
+    """Stable if abs diff < 1, else up/down amount."""
     t = TS.training_frame(calendar(spark, sf))
     d = MD.half_up(F.col("price_roll3") - F.col("price_lag1"), 2)
     return t.select("route", "departure_date", "collected_date", S.trend_text(d).alias("trend_text"))
@@ -130,6 +137,7 @@ def fn_trend_text(spark, sf):
 @register("flt_nonneg_lead", """select count(*) as kept, (select count(*) from calendar) - count(*) as dropped
 from cal""", views=CV)
 def flt_nonneg_lead(spark, sf):
+    """Keep days_ahead ≥ 0."""
     c = TS.with_lead_time(calendar(spark, sf), keep_negative=True)
     keep = F.col("days_ahead") >= 0
     return c.agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped"))
@@ -138,6 +146,7 @@ def flt_nonneg_lead(spark, sf):
 @register("flt_date_window", """select route, departure_date, collected_date, price from cal
 where departure_date between date '2024-01-25' and date '2024-02-05'""", views=CV)
 def flt_date_window(spark, sf):
+    """Departure date between start/end inclusive."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
     return c.filter(F.col("departure_date").between(F.lit("2024-01-25").cast("date"),
                                                     F.lit("2024-02-05").cast("date"))).select(
@@ -157,6 +166,7 @@ def _lagged(spark, sf):
 @register("win_lags", """select route, departure_date, collected_date, price, raw_lag1 as price_lag1,
 raw_lag7 as price_lag7 from cal_lags""", views=CT[:-1])
 def win_lags(spark, sf):
+    """Price 1 and 7 *observations* ago per (route, departure_date) ordered by collected_date."""
     f = TS.build_features(cal_loaded(spark, sf))
     w = TS.series_window()
     return f.select("route", "departure_date", "collected_date", "price",
@@ -166,6 +176,7 @@ def win_lags(spark, sf):
 @register("win_roll3", f"""select route, departure_date, collected_date, {_r4sql('raw_roll3')} as price_roll3
 from cal_lags""", views=CT[:-1])
 def win_roll3(spark, sf):
+    """Mean of the 3 previous observations, at least 1."""
     f = TS.build_features(cal_loaded(spark, sf))
     w = TS.series_window().rowsBetween(-3, -1)
     return f.select("route", "departure_date", "collected_date", r4(F.avg("price").over(w)).alias("price_roll3"))
@@ -174,6 +185,7 @@ def win_roll3(spark, sf):
 @register("win_price_change", """select route, departure_date, collected_date, coalesce(price - raw_lag1, 0.0) as price_change
 from cal_lags""", views=CT[:-1])
 def win_price_change(spark, sf):
+    """Price − lag1, null → 0."""
     return _lagged(spark, sf).select("route", "departure_date", "collected_date", "price_change")
 
 
@@ -181,6 +193,7 @@ def win_price_change(spark, sf):
 {_r4sql('coalesce(raw_lag7, route_mean)')} as price_lag7, {_r4sql('coalesce(raw_roll3, route_mean)')} as price_roll3
 from cal_lags""", views=CT[:-1])
 def win_lag_fill(spark, sf):
+    """Null lags filled with the route mean."""
     return _lagged(spark, sf).select("route", "departure_date", "collected_date",
                                      *[r4(c).alias(c) for c in ("price_lag1", "price_lag7", "price_roll3")])
 
@@ -188,6 +201,7 @@ def win_lag_fill(spark, sf):
 @register("win_wait_target", """select route, departure_date, collected_date, price, price_future7, should_wait
 from cal_train""", views=CT)
 def win_wait_target(spark, sf):
+    """Price 7 observations ahead < price·(1−0.02) → 1; rows without a future dropped; add_wait_target(df, …."""
     t = TS.add_wait_target(TS.build_features(cal_loaded(spark, sf)))
     return t.select("route", "departure_date", "collected_date", "price", "price_future7", "should_wait")
 
@@ -195,6 +209,7 @@ def win_wait_target(spark, sf):
 @register("win_trend", f"""select route, departure_date, collected_date, {_r4sql('trend')} as trend from cal_train""",
           views=CT)
 def win_trend(spark, sf):
+    """Lag1 − lag7."""
     return _train(spark, sf).select("route", "departure_date", "collected_date", r4("trend").alias("trend"))
 
 
@@ -208,6 +223,7 @@ _R4_COLS = {"price_lag1", "price_lag7", "price_roll3", "trend"}
 @register("ml_features", "select " + ", ".join(
     _r4sql(c) + f" as {c}" if c in _R4_COLS else c for c in _TRAIN_COLS) + " from cal_train", views=CT)
 def ml_features(spark, sf):
+    """Load → features → lags → target → trend."""
     t = _train(spark, sf)
     return t.select(*[r4(c).alias(c) if c in _R4_COLS else F.col(c) for c in _TRAIN_COLS])
 
@@ -216,6 +232,7 @@ def ml_features(spark, sf):
 select route, departure_date, collected_date, price from cal_train, s where cast(collected_date as timestamp) > split_at""",
           views=CT)
 def win_temporal_split(spark, sf):
+    """Test = collected_date > interpolated 80 % quantile of dates."""
     _, test = TS.temporal_split(_train(spark, sf))
     return test.select("route", "departure_date", "collected_date", "price")
 
@@ -225,6 +242,7 @@ def win_temporal_split(spark, sf):
 @register("agg_route_averages", f"select route, {_r4sql('avg(price)')} as route_avg from cal group by route",
           views=CV)
 def agg_route_averages(spark, sf):
+    """Mean price per route (artefact route_averages; code that made it is absent)."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
     return TS.route_averages(c).select("route", r4("route_avg").alias("route_avg"))
 
@@ -232,6 +250,7 @@ def agg_route_averages(spark, sf):
 @register("agg_booking_curve", f"""select route, days_ahead, {_r4sql('median(price)')} as median_price
 from cal group by route, days_ahead""", views=CV)
 def agg_booking_curve(spark, sf):
+    """Median price by lead time for a route."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
     g = A.group_stats(c, ["route", "days_ahead"], "price", ("median",))
     return g.select("route", "days_ahead", r4("median").alias("median_price"))
@@ -240,6 +259,7 @@ def agg_booking_curve(spark, sf):
 @register("agg_lowest_by_day", """select route, cast(collected_at as date) as date, min(price) as min_price
 from cal group by route, cast(collected_at as date)""", views=CV)
 def agg_lowest_by_day(spark, sf):
+    """Min price per collection day for a route."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
     return c.groupBy("route", F.to_date("collected_at").alias("date")).agg(F.min("price").alias("min_price"))
 
@@ -252,6 +272,7 @@ def agg_lowest_by_day(spark, sf):
 (select min(collected_at) from cal) as first_collected, (select max(collected_at) from cal) as last_collected""",
           views=CV + ("itineraries",))
 def agg_kpis(spark, sf):
+    """Row counts, origins×2 as 'routes tracked', collection days, first/last time."""
     c = cal_loaded(spark, sf)
     k = c.agg(F.count(F.lit(1)).alias("calendar_records"),
               (F.count_distinct("origin") * 2).alias("routes_tracked"),
@@ -268,6 +289,7 @@ def agg_kpis(spark, sf):
 @register("agg_month_prices", f"""select route, cast(date_trunc('month', departure_date) as date) as month,
 {_r4sql('avg(price)')} as mean, min(price) as min, max(price) as max from cal group by 1, 2""", views=CV)
 def agg_month_prices(spark, sf):
+    """Mean/min/max by departure month."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
     return c.groupBy("route", S.month_start("departure_date").alias("month")).agg(
         r4(F.avg("price")).alias("mean"), F.min("price").alias("min"), F.max("price").alias("max"))
@@ -344,6 +366,7 @@ def serving_features(spark, sf) -> DataFrame:
 @register("join_asof_history", f"""select route, departure_date, as_of, price_lag1, price_lag7,
 {_r4sql('price_roll3')} as price_roll3, n_obs, has_history from serve_feat""", views=SV[:4])
 def join_asof_history(spark, sf):
+    """Features from observations known up to an as-of day for (route, date)."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
     f = TS.last_n_features(c, serving_requests(spark, sf), keys=("route", "departure_date"), as_of="as_of")
     return f.select("route", "departure_date", "as_of", "price_lag1", "price_lag7",
@@ -354,6 +377,7 @@ def join_asof_history(spark, sf):
 {_r4sql('price_lag1')} as price_lag1, {_r4sql('price_lag7')} as price_lag7, {_r4sql('price_roll3')} as price_roll3,
 has_history from serve_filled""", views=SV[:5])
 def win_last7_features(spark, sf):
+    """Serving features: last obs, first of last 7, mean of last 3, has_history; over the last 30 daily files."""
     f = serving_features(spark, sf)
     return f.select("route", "departure_date", "as_of", "days_ahead", "dep_dow", "dep_month", "col_dow",
                     *[r4(c).alias(c) for c in ("price_lag1", "price_lag7", "price_roll3")], "has_history")
@@ -362,6 +386,7 @@ def win_last7_features(spark, sf):
 @register("join_route_fallback", f"""select route, departure_date, as_of, {_r4sql('price_lag1')} as price_lag1
 from serve_filled where not has_history""", views=SV[:5])
 def join_route_fallback(spark, sf):
+    """Route average as default, else 400.0."""
     f = serving_features(spark, sf).filter(~F.col("has_history"))
     return f.select("route", "departure_date", "as_of", r4("price_lag1").alias("price_lag1"))
 
@@ -385,6 +410,7 @@ case when wait_probability >= 0.45 then 'Price predicted to drop' else 'Price pr
 case when wait_probability >= 0.45 then 'may drop' else 'may rise' end as short_outlook from serve_scored""",
           views=SV)
 def fn_outlook(spark, sf):
+    """Probability ≥ threshold → 'drop' else 'increase'; short form may drop/may rise."""
     s = MD.baseline_scores(serving_features(spark, sf))
     return s.select("route", "departure_date", "as_of", S.outlook("wait_probability").alias("action"),
                     S.outlook("wait_probability", short=True).alias("short_outlook"))
@@ -394,6 +420,7 @@ def fn_outlook(spark, sf):
 case when abs(wait_probability - 0.45) > 0.25 then 'High' when abs(wait_probability - 0.45) > 0.10 then 'Medium' else 'Low' end as confidence
 from serve_scored""", views=SV)
 def fn_confidence(spark, sf):
+    """Abs(p−threshold): >0.25 High, >0.10 Medium, else Low."""
     s = MD.baseline_scores(serving_features(spark, sf))
     return s.select("route", "departure_date", "as_of", S.confidence("wait_probability").alias("confidence"))
 
@@ -448,6 +475,7 @@ coalesce(case when s.wait_probability >= 0.45 then 'Price predicted to drop' els
 from best_dates b left join serve_scored s on b.route = s.route and b.departure_date = s.departure_date
 and s.as_of = b.departure_date - 10""", views=SV + ("best_req", "best_dates"))
 def join_scores(spark, sf):
+    """Attach price outlook to each journey / date, n/a when missing."""
     b = best_dates(spark, sf)
     s = MD.apply_outlook(MD.baseline_scores(serving_features(spark, sf))).select(
         "route", "departure_date", "as_of", "action")
@@ -475,6 +503,7 @@ def eval_test(spark, sf) -> DataFrame:
 {_r4sql('avg(abs((price - pred_price) / price)) * 100')} as mape, count(*) as n from eval_test""",
           views=CT + ("eval_test",))
 def agg_reg_metrics(spark, sf):
+    """MAE, RMSE, R², MAPE %."""
     m = M.regression_metrics(eval_test(spark, sf), "price", "pred_price")
     return m.select(*[r4(c).alias(c) for c in ("mae", "rmse", "r2", "mape")], "n")
 
@@ -492,6 +521,7 @@ select {_r4sql('(select sum(x) from (select np * (coalesce(sum(nn) over (order b
 {_r4sql('accuracy')} as accuracy, {_r4sql('precision')} as precision, {_r4sql('recall')} as recall, n from c""",
           views=CT + ("eval_test",))
 def agg_clf_metrics(spark, sf):
+    """AUC, accuracy, precision, recall at threshold (≥), zero-division → 0."""
     t = eval_test(spark, sf)
     a = M.auc(t, "should_wait", "wait_probability")
     c = M.classification_metrics(t, "should_wait", "wait_probability", MD.WAIT_THRESHOLD)

@@ -62,6 +62,7 @@ stop_count, stop_count = 0 as is_direct, cast(nseg as int) as num_segments, carr
 array_to_string(list_transform(string_split(carrier_names, ', '), lambda x: upper(substr(x, 1, 2))), ', ') as carrier_codes,
 'partially_operated' as operation_type, segment_route from itin_x""", views=IX)
 def src_itinerary_json(spark, sf):
+    """Flatten one-way response: itinerary × leg rows (see 2.2 for columns)."""
     docs = search_docs(spark, sf)
     flat = RS.flat_itineraries(RS.parse_search(docs, keep=("collected_at", "search_date")),
                                keep=("collected_at", "search_date"))
@@ -94,6 +95,7 @@ _SEG_OUT = [f"seg{i}_{f}" for i in range(4) for f in ("origin", "dest", "departu
 @register("fn_segment_columns", "select itinerary_id, " + ", ".join(_seg_sql(i) for i in range(4))
           + " from itin_x", views=IX)
 def fn_segment_columns(spark, sf):
+    """First 4 segments → seg{i}_* columns (10 fields + flight code)."""
     docs = search_docs(spark, sf)
     flat = RS.flat_itineraries(RS.parse_search(docs))
     return flat.select("itinerary_id", *_SEG_OUT)
@@ -102,6 +104,7 @@ def fn_segment_columns(spark, sf):
 @register("fn_segment_path", """select itinerary_id, segment_route as path, stop_count + 1 as n from itineraries""",
           views=("itineraries",))
 def fn_segment_path(spark, sf):
+    """A -> B -> C from segments, empty string if none."""
     legs = RS.parse_search(search_docs(spark, sf))
     return legs.select(F.col("it.id").alias("itinerary_id"), RS.segment_path(F.col("leg.segments")).alias("path"),
                        F.size("leg.segments").alias("n"))
@@ -112,6 +115,7 @@ array_to_string(list_transform(string_split(carrier_names, ', '), lambda x: uppe
 concat_ws(', ', case when stop_count = 0 then 'direct' end, case when price_raw < 300 then 'cheap' end) as tags
 from itineraries""", views=("itineraries",))
 def fn_join_list(spark, sf):
+    """List → ', ' string (tags, carrier names, carrier codes)."""
     legs = RS.parse_search(search_docs(spark, sf))
     mk = F.col("leg.carriers.marketing")
     return legs.select(F.col("it.id").alias("itinerary_id"),
@@ -141,6 +145,7 @@ cast(to_timestamp(dep0) at time zone 'UTC' as date) as out_departure_date,
 cast(to_timestamp(ret0) at time zone 'UTC' as date) as ret_departure_date,
 cast(7 + d % 14 as int) as trip_length_days from rt_x""", views=RT)
 def src_roundtrip_json(spark, sf):
+    """Flatten round-trip response: one row per itinerary, leg 0 = outbound, leg 1 = return, rows that fail are …."""
     rt = RS.parse_roundtrip(roundtrip_docs(spark, sf))
     return rt.select("flight_id", "price_gbp", "out_origin", "out_destination", "out_departure", "out_arrival",
                      "out_duration_min", "out_stops", "out_airline", "ret_origin", "ret_destination",
@@ -161,6 +166,7 @@ array_to_string(rap[2:nseg], ',') as ret_transit_airports,
 array_to_string(list_transform(range(0, cast(nseg - 1 as bigint)), lambda i: cast(round_even((30 + 12 * i + 6 * ((d + 45) % 10)) * 60 / 3600.0 * 10, 0) / 10 as double)), ',') as ret_layover_hours
 from rt_x""", views=RT)
 def fn_transits_layovers(spark, sf):
+    """Transit airports, countries (default UNKNOWN), layover hours rounded to 1 dp between consecutive segments; …."""
     rt = RS.parse_roundtrip(roundtrip_docs(spark, sf))
     j = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return rt.select("flight_id", j("out_transit_airports").alias("out_transit_airports"),
@@ -175,6 +181,7 @@ array_to_string(list_transform(range(0, cast(nseg as bigint)), lambda i: concat(
 array_to_string(list_transform(range(0, cast(nseg as bigint)), lambda i: concat(code1, cast(100 + (d + 45 + 37 * i) % 900 as varchar))), ',') as ret_flight_numbers
 from rt_x""", views=RT)
 def fn_flight_numbers(spark, sf):
+    """Per segment code+number, only if both present."""
     rt = RS.parse_roundtrip(roundtrip_docs(spark, sf))
     return rt.select("flight_id", F.array_join("out_flight_numbers", ",").alias("out_flight_numbers"),
                      F.array_join("ret_flight_numbers", ",").alias("ret_flight_numbers"))
@@ -185,6 +192,7 @@ cast(to_timestamp(dep0) at time zone 'UTC' as date) as out_departure_date,
 cast(to_timestamp(ret0) at time zone 'UTC' as date) as ret_departure_date, cast(7 + d % 14 as int) as trip_length_days
 from rt_x""", views=RT)
 def fn_trip_totals(spark, sf):
+    """Total duration, total stops, departure dates, trip length days."""
     rt = RS.parse_roundtrip(roundtrip_docs(spark, sf))
     return rt.select("flight_id", "total_duration_min", "total_stops", "out_departure_date",
                      "ret_departure_date", "trip_length_days")
@@ -197,6 +205,7 @@ def deals(spark, sf) -> DataFrame:
 @register("topk_deals", """select flight_id, price_gbp, ap[1] as out_origin, ap[-1] as out_destination
 from rt_x order by price_gbp, flight_id limit 5""", views=RT)
 def topk_deals(spark, sf):
+    """N cheapest."""
     return IT.top_n(deals(spark, sf).select("flight_id", "price_gbp", "out_origin", "out_destination"), 5,
                     [F.col("price_gbp"), F.col("flight_id")])
 
@@ -205,6 +214,7 @@ def topk_deals(spark, sf):
 min(price_gbp) as cheapest, max(price_gbp) as most_expensive, {_r4sql('avg(price_gbp)')} as average
 from rt_x group by 1, 2""", views=RT)
 def agg_deals_summary(spark, sf):
+    """Count, min, max, mean, cheapest 5."""
     s = IT.deals_summary(deals(spark, sf), by=["out_origin", "out_destination"])
     return s.select("out_origin", "out_destination", "count", "cheapest", "most_expensive",
                     r4("average").alias("average"))
@@ -251,6 +261,7 @@ strftime(departure_date, '%Y-%m-%d') as departure_date, price,
 case when price < 310 then 'low' when price < 320 then 'medium' else 'high' end as "group"
 from calendar qualify departure_date >= cast(collected_at as date)""", views=("calendar",))
 def src_calendar_json(spark, sf):
+    """Flatten price-calendar response; drop days without price; stamp collected_at, route, currency."""
     docs = RS.landed_documents(spark, sf, "calendar", lambda: RS.calendar_documents(fx.stored(spark, sf, "calendar")))
     return RS.parse_calendar(docs)
 
@@ -260,6 +271,7 @@ def src_calendar_json(spark, sf):
 @register("src_itineraries", """select collected_at, search_date, origin_code, dest_code, price_raw, duration_minutes,
 stop_count, carrier_names, segment_route from itineraries""", views=("itineraries",))
 def src_itineraries(spark, sf):
+    """Union all daily itinerary files with column list."""
     return itins(spark, sf).select("collected_at", "search_date", "origin_code", "dest_code", "price_raw",
                                    "duration_minutes", "stop_count", "carrier_names", "segment_route")
 
@@ -267,6 +279,7 @@ def src_itineraries(spark, sf):
 @register("fn_extract_codes", """select distinct segment_route, array_to_string(regexp_extract_all(upper(segment_route), '\\b[A-Z]{3}\\b'), ',') as codes
 from itineraries""", views=("itineraries",))
 def fn_extract_codes(spark, sf):
+    """All 3-letter upper-case tokens of a path."""
     i = itins(spark, sf).select("segment_route").distinct()
     return i.select("segment_route", F.array_join(AR.extract_codes("segment_route"), ",").alias("codes"))
 
@@ -279,6 +292,7 @@ lateral (select unnest(range(1, len(c))) as i)"""
 
 @register("fn_hops", """select * from hops_sql""", views=("itineraries", "paths", "hops_sql"))
 def fn_hops(spark, sf):
+    """Consecutive airport pairs of a journey."""
     p = itins(spark, sf).select("segment_route").distinct()
     return IT.journey_hops(p, keep=["segment_route"])
 
@@ -287,6 +301,7 @@ def fn_hops(spark, sf):
 b.lat as dest_lat, b.lon as dest_lon from hops_sql h join airports a on h."from" = a.code join airports b on h."to" = b.code""",
           views=("itineraries", "paths", "hops_sql", "airports"))
 def join_airports(spark, sf):
+    """Hop ends → coordinates, hop kept only if both known (inner ×2)."""
     p = itins(spark, sf).select("segment_route").distinct()
     return IT.hops_with_coordinates(IT.journey_hops(p, keep=["segment_route"]), dims.airports(spark)).select(
         "segment_route", "hop_index", "from", "to", "source_lat", "source_lon", "dest_lat", "dest_lon")
@@ -320,6 +335,7 @@ row_number() over (partition by origin_code, dest_code order by price_raw, itine
 from (select * from (select *, row_number() over (partition by origin_code, dest_code, segment_route order by price_raw, itinerary_id) as rn
 from itineraries) where rn = 1)) where journey_rank <= 8""", views=("itineraries",))
 def win_cheapest_per_path(spark, sf):
+    """Cheapest row per segment path, then first n."""
     i = itins(spark, sf).select("origin_code", "dest_code", "segment_route", "itinerary_id", "price_raw")
     b = IT.cheapest_per_path(i, ["origin_code", "dest_code"], n=8)
     return b.select("origin_code", "dest_code", "segment_route", "itinerary_id", "price_raw",
@@ -337,6 +353,7 @@ GRP = ["origin_code", "dest_code", "search_date", "collected_at"]
 
 @register("flt_quantile_trim", "select itinerary_id from itin_trim", views=("itineraries", "itin_trim"))
 def flt_quantile_trim(spark, sf):
+    """Price ≤ p95, duration ≤ p95, stops ≤ 2 — both quantiles over the *unfiltered* group."""
     return IT.quantile_trim(itins(spark, sf), GRP).select("itinerary_id")
 
 
@@ -344,12 +361,14 @@ def flt_quantile_trim(spark, sf):
 where collected_at = (select max(collected_at) from itineraries j where j.origin_code = i.origin_code
 and j.dest_code = i.dest_code and j.search_date = i.search_date)""", views=("itineraries",))
 def flt_latest_snapshot(spark, sf):
+    """Rows of route+date whose collected_at is the maximum (present but uncalled in the reference)."""
     return IT.latest_snapshot(itins(spark, sf)).select("itinerary_id", "collected_at")
 
 
 @register("flt_max_transits", "select itinerary_id, stop_count from itineraries where stop_count <= 1",
           views=("itineraries",))
 def flt_max_transits(spark, sf):
+    """Stops ≤ n."""
     return itins(spark, sf).filter(F.col("stop_count") <= 1).select("itinerary_id", "stop_count")
 
 
@@ -381,6 +400,7 @@ f2 as (select p.* from r2 p where not exists (select 1 from r2 q where {_DOM}))
 select itinerary_id, 0 as front from f0 union all select itinerary_id, 1 from f1 union all select itinerary_id, 2 from f2""",
           views=("itineraries", "itin_trim"))
 def sky_fronts(spark, sf):
+    """The library call returns *all* fronts, only front 0 is used."""
     t = IT.quantile_trim(itins(spark, sf), GRP)
     return SK.peel_fronts(t, GRP, 3).select("itinerary_id", "front")
 
@@ -405,6 +425,7 @@ def set_union(spark, sf):
 
 @register("set_distinct", """select distinct segment_route from itineraries""", views=("itineraries",))
 def set_distinct(spark, sf):
+    """Sorted distinct routes; dedup by key."""
     return itins(spark, sf).select("segment_route").distinct()
 
 
@@ -425,6 +446,7 @@ concat('https://www.skyscanner.net/transport/flights/', lower(origin_code), '/',
 strftime(search_date, '%y%m%d'), '/', strftime(search_date + 7, '%y%m%d'), '/', '?adultsv2=1&cabinclass=economy') as roundtrip_link
 from itineraries""", views=("itineraries",))
 def fn_search_link(spark, sf):
+    """Deep link from route, yymmdd, optional itinerary id; round-trip variant."""
     i = itins(spark, sf)
     return i.select("itinerary_id", TX.search_link("origin_code", "dest_code", "search_date", "itinerary_id").alias("link"),
                     TX.roundtrip_link("origin_code", "dest_code", "search_date",
@@ -439,6 +461,7 @@ case when cast(round_even((duration_minutes / 60.0 - cast(trunc(duration_minutes
 then printf('%dh %dm', cast(trunc(duration_minutes / 60.0) as bigint), cast(round_even((duration_minutes / 60.0 - cast(trunc(duration_minutes / 60.0) as bigint)) * 60, 0) as bigint))
 else printf('%dh', cast(trunc(duration_minutes / 60.0) as bigint)) end as hours_text from itineraries""", views=("itineraries",))
 def fn_fmt_duration(spark, sf):
+    """Minutes→Xh Ym; decimal hours→Xh Ym (round minutes); null/0→N/A in the first form."""
     i = itins(spark, sf)
     return i.select("itinerary_id", TX.fmt_minutes("duration_minutes").alias("duration_text"),
                     TX.fmt_hours(F.col("duration_minutes") / 60.0).alias("hours_text"))
@@ -448,6 +471,7 @@ def fn_fmt_duration(spark, sf):
 strftime(to_timestamp(dep0) at time zone 'UTC', '%d/%m/%Y') as day_text,
 strftime(to_timestamp(dep0) at time zone 'UTC', '%d/%m/%Y %H:%M:%S') as full_text from itin_x""", views=IX)
 def fn_fmt_time(spark, sf):
+    """ISO → dd/MM HH:mm, dd/MM/yyyy[ HH:mm:ss], invalid → N/A / original / unknown."""
     flat = RS.flat_itineraries(RS.parse_search(search_docs(spark, sf)))
     return flat.select("itinerary_id", TX.fmt_time("departure").alias("short_time"),
                        TX.fmt_time("departure", "dd/MM/yyyy", None).alias("day_text"),
@@ -457,6 +481,7 @@ def fn_fmt_time(spark, sf):
 @register("fn_round_hours", """select itinerary_id, cast(round_even(duration_minutes / 60 * 10, 0) / 10 as double) as duration_hrs
 from itineraries""", views=("itineraries",))
 def fn_round_hours(spark, sf):
+    """Minutes/60 to 1 dp, half-even."""
     i = itins(spark, sf)
     return i.select("itinerary_id", (F.bround(F.col("duration_minutes") / 60 * 10, 0) / 10).alias("duration_hrs"))
 

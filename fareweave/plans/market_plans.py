@@ -61,6 +61,7 @@ def src_market_quarters(spark, sf):
 where MktFare > 100.0 and Origin in ('N01', 'N02', 'N03') and Dest not in ('N04')""",
           views=("market",))
 def src_project_filter(spark, sf):
+    """Load with column list and pushed filters (col, op, value) incl."""
     return A.project_filter(
         market(spark, sf), ["MktID", "Origin", "Dest", "MktFare", "NoSuchColumn"],
         [("MktFare", ">", 100.0), ("Origin", "in", ["N01", "N02", "N03"]),
@@ -86,6 +87,7 @@ WIDE_COLUMNS = ["ItinID", "MktID", "MktCoupons", "Year", "Quarter", "Origin", "D
 
 @register("src_wide_parquet", f"select {', '.join(WIDE_COLUMNS)} from market", views=("market",))
 def src_wide_parquet(spark, sf):
+    """Project 16 of many columns from a monthly ticket file."""
     return market(spark, sf).select(*WIDE_COLUMNS)
 
 
@@ -94,6 +96,7 @@ def src_wide_parquet(spark, sf):
 @register("fn_trim_strings", """select MktID, Origin, RPCarrier,
 trim(RPCarrier) as padded from market where MktFare > 0 and Passengers > 0""", views=("market",))
 def fn_trim_strings(spark, sf):
+    """Strip all string columns."""
     m = market(spark, sf).filter((F.col("MktFare") > 0) & (F.col("Passengers") > 0))
     padded = F.concat(F.lit(" \t"), F.col("RPCarrier"), F.lit(" \n "))
     return C.trim_strings(m.select("MktID", "Origin", "RPCarrier", padded.alias("padded")))
@@ -103,6 +106,7 @@ def fn_trim_strings(spark, sf):
 concat_ws('_', Origin, Dest) as route_underscore, concat_ws(' -> ', Origin, Dest) as route_arrow
 from market""", views=("market",))
 def fn_route_key(spark, sf):
+    """Origin-dest, also _ and  ->  forms."""
     return market(spark, sf).select(
         "MktID", S.route_key("Origin", "Dest").alias("route_dash"),
         S.route_key("Origin", "Dest", "_").alias("route_underscore"),
@@ -112,12 +116,14 @@ def fn_route_key(spark, sf):
 @register("fn_fare_per_mile", """select MktID, MktFare / greatest(MktDistance, 1) as fare_per_mile
 from market""", views=("market",))
 def fn_fare_per_mile(spark, sf):
+    """Fare / max(distance,1)."""
     return market(spark, sf).select("MktID", S.fare_per_mile("MktFare", "MktDistance").alias("fare_per_mile"))
 
 
 @register("fn_routing_ratio", """select MktID, MktMilesFlown / greatest(NonStopMiles, 1) as routing_ratio
 from market where MktMilesFlown / greatest(NonStopMiles, 1) between 0.9 and 3.0""", views=("market",))
 def fn_routing_ratio(spark, sf):
+    """Miles flown / max(non-stop,1), keep 0.9–3.0."""
     rr = S.routing_ratio("MktMilesFlown", "NonStopMiles")
     return market(spark, sf).select("MktID", rr.alias("routing_ratio")).filter(
         F.col("routing_ratio").between(0.9, 3.0))
@@ -128,6 +134,7 @@ cast(MktCoupons > 1 as int) as is_connecting,
 coalesce(case when MktCoupons > 1 then MktCoupons - 1 end, 0) = 0 as no_stops from market""",
           views=("market",))
 def fn_direct_flag(spark, sf):
+    """Coupons==1 / >1, stops==0 (missing stops count as 0)."""
     stops = F.when(F.col("MktCoupons") > 1, F.col("MktCoupons") - 1)
     return market(spark, sf).select(
         "MktID", S.is_direct_coupons("MktCoupons").alias("is_direct"),
@@ -138,6 +145,7 @@ def fn_direct_flag(spark, sf):
 @register("fn_quarter_label", """select distinct concat(cast(Year as varchar), ' Q', cast(Quarter as varchar)) as YearQuarter
 from market""", views=("market",))
 def fn_quarter_label(spark, sf):
+    """YYYY Qn."""
     return market(spark, sf).select(S.quarter_label("Year", "Quarter").alias("YearQuarter")).distinct()
 
 
@@ -152,6 +160,7 @@ def _cut_sql(x: str, edges, labels) -> str:
 {_cut_sql('MktDistance', *S.PREMIUM_BANDS)} as premium_band,
 {_cut_sql('MktDistance', *S.DISTANCE_CATEGORIES)} as distance_category from market""", views=("market",))
 def fn_cut_labels(spark, sf):
+    """Bin into labelled right-closed intervals, outside → null; 3 edge sets."""
     return market(spark, sf).select(
         "MktID", S.cut_labels("MktDistance", *S.DISTANCE_BANDS).alias("distance_band"),
         S.cut_labels("MktDistance", *S.PREMIUM_BANDS).alias("premium_band"),
@@ -162,6 +171,7 @@ def fn_cut_labels(spark, sf):
 0.0e0 + (cast(ceil(MktDistance / 100.0) as int) - 0.5e0) * 100.0e0 as bin_mid
 from market where MktDistance > 0 and MktDistance <= 5900""", views=("market",))
 def fn_cut_regular(spark, sf):
+    """100-mile bins 0–5900 and midpoint."""
     k = S.cut_regular_bin("MktDistance", 100.0, 0.0, 5900.0)
     return (market(spark, sf).select("MktID", k.alias("dist_bin")).filter(F.col("dist_bin").isNotNull())
             .withColumn("bin_mid", S.bin_midpoint("dist_bin", 100.0, 0.0)))
@@ -172,6 +182,7 @@ when 3 then 'summer' when 4 then 'fall' end as season,
 case MktGeoType when 1 then 'Non-Contiguous (HI, AK, Territories)' when 2 then 'Contiguous (Lower 48)'
 else 'Other' end as GeoLabel from market""", views=("market",))
 def fn_value_map(spark, sf):
+    """Code→label with default; quarter→season."""
     return market(spark, sf).select(
         "MktID", S.season("Quarter").alias("season"),
         S.value_map("MktGeoType", S.GEO_LABELS, "Other").alias("GeoLabel"))
@@ -180,6 +191,7 @@ def fn_value_map(spark, sf):
 @register("fn_log", f"""select MktID, {_r4sql('log10(greatest(MktFare, 1))')} as log_fare from market""",
           views=("market",))
 def fn_log(spark, sf):
+    """Log10(max(x,1)); natural log of aggregate."""
     return market(spark, sf).select("MktID", r4(S.log10_floor1("MktFare")).alias("log_fare"))
 
 
@@ -187,6 +199,7 @@ def fn_log(spark, sf):
 least(MktFare, 1500.0) as fare_cap1500, least(MktFare / greatest(MktDistance, 1), 2.0) as fpm_cap2
 from market""", views=("market",))
 def fn_clip_cap(spark, sf):
+    """Cap values before distribution."""
     return market(spark, sf).select(
         "MktID", S.cap("MktFare", 3000).alias("fare_cap3000"), S.cap("MktFare", 1500).alias("fare_cap1500"),
         S.cap(S.fare_per_mile("MktFare", "MktDistance"), 2.0).alias("fpm_cap2"))
@@ -205,6 +218,7 @@ case when try_cast(regexp_extract(file_name, '(\\d{4})[_-](\\d)', 1) as int) bet
   then try_cast(regexp_extract(file_name, '(\\d{4})[_-](\\d)', 2) as int) end as quarter
 from names""", views=("market",))
 def fn_quarter_from_filename(spark, sf):
+    """Year and quarter from file names (YYYY_Q / YYYY-Q), null unless valid."""
     m = market(spark, sf)
     y, q = F.col("Year").cast("string"), F.col("Quarter")
     names = (m.select(F.concat(F.lit("Origin_and_Destination_Survey_DB1BMarket_"), y, F.lit("_"),
@@ -234,6 +248,7 @@ def fn_quarter_sequence(spark, sf):
 @register("flt_basic_clean", """select MktID, Origin, Dest, MktFare, Passengers from market
 where MktFare > 0 and Passengers > 0""", views=("market",))
 def flt_basic_clean(spark, sf):
+    """Fare > 0 and passengers > 0 (if column exists), strings trimmed, removed count."""
     return C.basic_clean(market(spark, sf)).select("MktID", "Origin", "Dest", "MktFare", "Passengers")
 
 
@@ -242,6 +257,7 @@ count(*) filter (where MktFare > 0 and Passengers > 0) as rows_after,
 count(*) filter (where not (MktFare > 0 and Passengers > 0)) as rows_removed from market""",
           views=("market",))
 def flt_basic_clean_report(spark, sf):
+    """Rows before, after and removed by the basic cleaning."""
     return C.basic_clean_report(market(spark, sf))
 
 
@@ -250,6 +266,7 @@ def flt_basic_clean_report(spark, sf):
 from market where MktFare > 0 and MktFare < 10000 and BulkFare = 0 and Passengers > 0""",
           views=("market",))
 def flt_usable(spark, sf):
+    """0 < fare < 10000, not bulk, passengers > 0 + price stats."""
     u = C.usable(market(spark, sf))
     st = u.agg(F.count(F.lit(1)).alias("rows_after"), r4(F.avg("MktFare")).alias("mean_fare"),
                F.min("MktFare").alias("min_fare"), F.max("MktFare").alias("max_fare"))
@@ -266,6 +283,7 @@ count(*) filter (where not coalesce(Passengers >= 1, false)) as fail_min_passeng
 count(*) filter (where MktFare >= 10.0 and MktFare <= 5000.0 and MktDistance >= 50 and Passengers >= 1) * 100.0 / count(*) as retained_pct
 from market""", views=("market",))
 def flt_rules(spark, sf):
+    """Rule set: fare 10–5000, distance ≥ 50, passengers ≥ 1 with retention report (before/after/pct)."""
     return C.rules_retention(market(spark, sf))
 
 
@@ -273,6 +291,7 @@ def flt_rules(spark, sf):
 where MktFare >= 10.0 and MktFare <= 5000.0 and MktDistance >= 50 and Passengers >= 1""",
           views=("market",))
 def flt_rules_rows(spark, sf):
+    """The rows kept by the cleaning rule set."""
     return C.apply_rules(market(spark, sf)).select("MktID")
 
 
@@ -284,6 +303,7 @@ _CONST_COLS = ["Year", "Quarter", "Origin", "Dest", "MktCoupons", "MktGeoType",
     "where Year = 1995 and Quarter = 2 and Origin = 'N05' and Dest = 'N10'" for c in _CONST_COLS)
     + ") where n_distinct <= 1", views=("market",))
 def flt_constant_columns(spark, sf):
+    """Find constant columns to drop."""
     m = market(spark, sf).filter((F.col("Year") == 1995) & (F.col("Quarter") == 2)
                                  & (F.col("Origin") == "N05") & (F.col("Dest") == "N10"))
     return C.constant_columns(m, _CONST_COLS)
@@ -303,6 +323,7 @@ def _seg_sql(value: str, base: str) -> str:
 @register("flt_segments", f"""select segment, ord, count, {_r4sql('pct')} as pct, {_r4sql('median')} as median
 from ({_seg_sql('MktFare', 'market_clean')}) where count > 0""", views=MC)
 def flt_segments(spark, sf):
+    """Five fare bands with count, pct, median."""
     s = D.fare_segments(market_clean(spark, sf), "MktFare", C.FARE_SEGMENTS)
     return s.select("segment", F.col("ord").cast("int").alias("ord"), "count",
                     r4("pct").alias("pct"), r4("median").alias("median"))
@@ -325,6 +346,7 @@ from market_feat_base group by route, TkCarrier)
 select b.MktID, b.route, b.TkCarrier, {_r4sql('s.carrier_market_share')} as carrier_market_share
 from market_feat_base b left join s on b.route = s.route and b.TkCarrier = s.TkCarrier""", views=MF)
 def join_market_share(spark, sf):
+    """Left equi join of (route, carrier) share back to rows."""
     b = _feat_base(spark, sf)
     share = A.market_share(b, "route", "TkCarrier", "Passengers")
     j = b.join(share, ["route", "TkCarrier"], "left")
@@ -336,6 +358,7 @@ from market_feat_base group by route)
 select b.MktID, b.route, c.route_competition from market_feat_base b left join c on b.route = c.route""",
           views=MF)
 def join_competition(spark, sf):
+    """Map route → distinct carriers onto each row."""
     b = _feat_base(spark, sf)
     return b.join(A.route_carrier_counts(b, "route", "TkCarrier"), "route", "left").select(
         "MktID", "route", "route_competition")
@@ -375,6 +398,7 @@ count(distinct Year * 4 + Quarter) as _quarter_count
 from market where Year between 1994 and 1996 and Year * 4 + Quarter - 1 between 1994 * 4 and 1996 * 4 + 3
 and MktDistance >= 100 and Origin is not null group by Origin""", views=("market",))
 def agg_batch(spark, sf):
+    """Group-by with {col: func or [funcs]} spec over many quarters; …."""
     out = A.batch_aggregate(market(spark, sf), ["Origin"],
                             {"MktFare": ["mean", "sum", "count", "min", "max", "std"],
                              "Passengers": "sum"},
@@ -396,6 +420,7 @@ unnest([cast(n as double), mean, std, skewness, kurtosis, mn, {', '.join(f'q[{i
 unnest(range(0, 18)) as ord from s)
 select cast(ord as int) as ord, statistic, {_r4sql('value')} as value from l""", views=MC)
 def agg_fare_summary(spark, sf):
+    """Count, mean, std, skew, kurtosis, min, p1…p99 (9), max, IQR, CV."""
     s = D.fare_summary(market_clean(spark, sf), "MktFare")
     return s.select(F.col("ord").cast("int").alias("ord"), "statistic", r4("value").alias("value"))
 
@@ -408,6 +433,7 @@ floor(avg(MktFare) * 100) / 100 as mean, floor(median(MktFare) * 100) / 100 as m
 floor(stddev_samp(MktFare) * 100) / 100 as std, floor(quantile_cont(MktFare, 0.25) * 100) / 100 as p25,
 floor(quantile_cont(MktFare, 0.75) * 100) / 100 as p75 from market_clean group by 1""", views=MC)
 def agg_geo_stats(spark, sf):
+    """By geography: count, mean, median, std, p25, p75, round 2."""
     m = market_clean(spark, sf).withColumn("GeoLabel", S.value_map("MktGeoType", S.GEO_LABELS, "Other"))
     g = A.group_stats(m, "GeoLabel", "MktFare", ("count", "mean", "median", "std", "p25", "p75"))
     f2 = lambda c: (F.floor(F.col(c) * 100) / 100).alias(c)  # noqa: E731  (2 dp, both engines)
@@ -418,6 +444,7 @@ def agg_geo_stats(spark, sf):
 {_r4sql('avg(MktFare)')} as mean, {_r4sql('median(MktFare)')} as median, count(MktFare) as count
 from market_clean group by 1""", views=MC)
 def agg_quarter_trend(spark, sf):
+    """Mean, median, count by quarter in order."""
     m = market_clean(spark, sf).withColumn("YearQuarter", S.quarter_label("Year", "Quarter"))
     g = A.group_stats(m, "YearQuarter", "MktFare", ("mean", "median", "count"))
     return g.select("YearQuarter", r4("mean").alias("mean"), r4("median").alias("median"),
@@ -429,6 +456,7 @@ count(FarePerMile) as count, {_r4sql('median(FarePerMile)')} as median_fpm, {_r4
 {_r4sql('median(MktFare)')} as median_fare, {_r4sql('avg(MktDistance)')} as mean_distance
 from market_clean group by 1) where DistanceBand is not null""", views=MC)
 def agg_distance_band(spark, sf):
+    """Count, median/mean fare-per-mile, median fare, mean distance by band."""
     m = market_clean(spark, sf).withColumn("DistanceBand", S.cut_labels("MktDistance", *S.DISTANCE_BANDS))
     m = m.filter(F.col("DistanceBand").isNotNull())
     g = (m.groupBy("DistanceBand")
@@ -443,6 +471,7 @@ def agg_distance_band(spark, sf):
 @register("agg_bulk", f"""select BulkFare, count(MktFare) as count, {_r4sql('avg(MktFare)')} as mean,
 {_r4sql('median(MktFare)')} as median from market_clean group by BulkFare""", views=MC)
 def agg_bulk(spark, sf):
+    """Count, mean, median by bulk flag."""
     g = A.group_stats(market_clean(spark, sf), "BulkFare", "MktFare", ("count", "mean", "median"))
     return g.select("BulkFare", "count", r4("mean").alias("mean"), r4("median").alias("median"))
 
@@ -452,6 +481,7 @@ count(MktFare) as count, {_r4sql('avg(MktFare)')} as mean_fare, {_r4sql('median(
 {_r4sql('avg(FarePerMile)')} as mean_fpm, {_r4sql('median(MktDistance)')} as median_distance
 from market_clean group by 1""", views=MC)
 def agg_direct_connecting(spark, sf):
+    """5 stats by direct flag."""
     m = market_clean(spark, sf).withColumn(
         "IsDirect", F.when(F.col("MktCoupons") == 1, F.lit("Direct")).otherwise(F.lit("Connecting")))
     g = m.groupBy("IsDirect").agg(
@@ -472,6 +502,7 @@ from market_clean group by Route having count(MktFare) >= 100"""
 {_r4sql('mean_distance')} as mean_distance, {_r4sql('mean_fpm')} as mean_fpm from ({ROUTE_COMP_SQL})""",
           views=MC)
 def agg_route_competition(spark, sf):
+    """Per route: records, median fare, distinct carriers, mean distance, mean fpm; having records ≥ 100."""
     g = A.route_competition(market_clean(spark, sf))
     return g.select("Route", "records", r4("median_fare").alias("median_fare"), "carriers",
                     r4("mean_distance").alias("mean_distance"), r4("mean_fpm").alias("mean_fpm"))
@@ -484,6 +515,7 @@ avg(MktDistance) as mean_distance from market_clean group by RPCarrier having co
 @register("agg_carrier_tiers", f"""select RPCarrier, records, {_r4sql('median_fpm')} as median_fpm,
 {_r4sql('mean_distance')} as mean_distance from ({CARRIER_TIERS_SQL})""", views=MC)
 def agg_carrier_tiers(spark, sf):
+    """Per carrier: records ≥ 1000, median fpm, mean distance, sorted; spread max/min."""
     g = A.carrier_tiers(market_clean(spark, sf), min_records=1000)
     return g.select("RPCarrier", "records", r4("median_fpm").alias("median_fpm"),
                     r4("mean_distance").alias("mean_distance")).orderBy("median_fpm", "RPCarrier")
@@ -492,6 +524,7 @@ def agg_carrier_tiers(spark, sf):
 @register("agg_carrier_spread", f"""select {_r4sql('min(median_fpm)')} as min_fpm, {_r4sql('max(median_fpm)')} as max_fpm,
 {_r4sql('max(median_fpm) / min(median_fpm)')} as spread_ratio from ({CARRIER_TIERS_SQL})""", views=MC)
 def agg_carrier_spread(spark, sf):
+    """Cheapest and dearest carrier tier and their ratio."""
     t = A.tier_spread(A.carrier_tiers(market_clean(spark, sf), min_records=1000))
     return t.select(*[r4(c).alias(c) for c in t.columns])
 
@@ -501,6 +534,7 @@ def agg_carrier_spread(spark, sf):
 {_r4sql('median(FarePerMile)')} as median_fpm, count(MktFare) as count
 from market_clean where MktDistance > 0 and MktDistance <= 5900 group by 1, 2) where count >= 50""", views=MC)
 def agg_distance_curve(spark, sf):
+    """Per 100-mile bin median fare/fpm/count ≥ 50."""
     m = market_clean(spark, sf).withColumn("dist_bin", S.cut_regular_bin("MktDistance", 100.0, 0.0, 5900.0))
     m = m.filter(F.col("dist_bin").isNotNull())
     g = m.groupBy("dist_bin").agg(F.count("MktFare").alias("count")).filter(F.col("count") >= 50)
@@ -517,6 +551,7 @@ from market_clean group by 1)
 select DistanceBand, {_r4sql('d')} as Direct, {_r4sql('c')} as Connecting, {_r4sql('d / c')} as Premium
 from p where DistanceBand is not null""", views=MC)
 def agg_premium_pivot(spark, sf):
+    """Median fpm by band × direct, pivoted, ratio direct/connecting."""
     m = market_clean(spark, sf).withColumn("DistanceBand", S.cut_labels("MktDistance", *S.PREMIUM_BANDS))
     p = A.premium_pivot(m, "DistanceBand", "IsDirect", "FarePerMile")
     return p.select("DistanceBand", *[r4(c).alias(c) for c in ("Direct", "Connecting", "Premium")])
@@ -529,6 +564,7 @@ select * from (select 'route' as dim, concat_ws(' -> ', Origin, Dest) as value,
 row_number() over (order by count(*) desc, concat_ws(' -> ', Origin, Dest)) as rnk from market_feat_base group by 2)
 where rnk <= 10""", views=MF)
 def agg_top_counts(spark, sf):
+    """Value_counts top 10 (carriers, routes, purchase window)."""
     b = _feat_base(spark, sf).withColumn("route_arrow", S.route_key("Origin", "Dest", " -> "))
     out = None
     for dim, col in (("TkCarrier", "TkCarrier"), ("route", "route_arrow")):
@@ -542,6 +578,7 @@ def agg_top_counts(spark, sf):
 @register("agg_mean_by_group", f"""select MktDistanceGroup, {_r4sql('avg(MktFare)')} as mean_fare
 from market_feat_base group by MktDistanceGroup""", views=MF)
 def agg_mean_by_group(spark, sf):
+    """Mean fare by distance group."""
     g = A.group_stats(_feat_base(spark, sf), "MktDistanceGroup", "MktFare", ("mean",))
     return g.select("MktDistanceGroup", r4("mean").alias("mean_fare"))
 
@@ -550,6 +587,7 @@ def agg_mean_by_group(spark, sf):
 {_r4sql('sum(Passengers) / sum(sum(Passengers)) over (partition by route)')} as carrier_market_share
 from market_feat_base group by route, TkCarrier""", views=MF)
 def agg_market_share(spark, sf):
+    """Carrier passengers / route passengers."""
     s = A.market_share(_feat_base(spark, sf), "route", "TkCarrier", "Passengers")
     return s.select("route", "TkCarrier", r4("carrier_market_share").alias("carrier_market_share"))
 
@@ -564,6 +602,7 @@ def _hist_sql(x: str, bins: int, lo: str, hi: str, base: str, by: str = "") -> s
 
 @register("agg_histogram", _hist_sql("MktFare", 200, "0.0", "2000.0", "market_clean"), views=MC)
 def agg_histogram(spark, sf):
+    """Equal-width histograms: 40/50/150/200 bins, fixed range, per group."""
     return D.histogram(market_clean(spark, sf), "MktFare", 200, 0.0, 2000.0)
 
 
@@ -571,6 +610,7 @@ def agg_histogram(spark, sf):
           "x as (select log10(greatest(MktFare, 1)) as lf, lo, hi from market_clean, r) "
           + _hist_sql("lf", 150, "lo", "hi", "x").replace("group by", "group by lo, hi,"), views=MC)
 def agg_histogram_log(spark, sf):
+    """150-bin histogram of log10 fares over the data range."""
     m = market_clean(spark, sf).withColumn("lf", S.log10_floor1("MktFare"))
     return D.histogram(m, "lf", 150)
 
@@ -579,6 +619,7 @@ def agg_histogram_log(spark, sf):
                                             f"(select *, {_GEO_SQL} as GeoLabel from market_clean)",
                                             by="GeoLabel"), views=MC)
 def agg_histogram_by_geo(spark, sf):
+    """200-bin fare histogram per geography label."""
     m = market_clean(spark, sf).withColumn("GeoLabel", S.value_map("MktGeoType", S.GEO_LABELS, "Other"))
     return D.histogram(m, "MktFare", 200, 0.0, 3000.0, by=["GeoLabel"])
 
@@ -587,6 +628,7 @@ def agg_histogram_by_geo(spark, sf):
 count(*) over () as n from market_clean)
 select value as MktFare, (i + 1) / n as ecdf from v where i % greatest(1, n // 10000) = 0""", views=MC)
 def agg_ecdf(spark, sf):
+    """Value, cumulative share, thinned to ~10,000 points."""
     return D.ecdf(market_clean(spark, sf), "MktFare", 10000)
 
 
@@ -598,6 +640,7 @@ max(v) filter (where v between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)) as
 count(*) filter (where not (v between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))) as n_outliers
 from x, q group by q1, q2, q3""", views=MC)
 def agg_box_stats(spark, sf):
+    """Quartiles, 1.5·IQR whiskers, outlier count on capped values."""
     b = D.box_stats(market_clean(spark, sf), "MktFare", upper=3000.0)
     return b.select(*[r4(c).alias(c) for c in ("q1", "median", "q3", "iqr")],
                     "whisker_lo", "whisker_hi", "n_outliers")
@@ -610,6 +653,7 @@ m as (select YearQuarter, median(v) as median from x group by 1)
 select h.YearQuarter, bin, bin_lo, bin_hi, count, {_r4sql('count / sum(count) over (partition by h.YearQuarter)')} as share,
 {_r4sql('median')} as median from h join m on h.YearQuarter = m.YearQuarter""", views=MC)
 def agg_violin_density(spark, sf):
+    """Capped distribution per quarter with medians."""
     m = market_clean(spark, sf).withColumn("YearQuarter", S.quarter_label("Year", "Quarter"))
     d = D.grouped_density(m, "MktFare", "YearQuarter", 50, 0.0, 1500.0, upper=1500.0)
     return d.select("YearQuarter", "bin", "bin_lo", "bin_hi", "count", r4("share").alias("share"),
@@ -625,6 +669,7 @@ max(MktFare) as fare_max, sum(Passengers) as total_passengers,
 {', '.join(f'count(*) filter (where {c} is null) as nulls_{c}' for c in _PROFILE_COLS)},
 count(*) > 0 as valid from market""", views=("market",))
 def agg_table_profile(spark, sf):
+    """Rows, columns, mean/median/min/max fare, total passengers, null counts; valid = readable, non-empty, has fare."""
     p = A.table_profile(market(spark, sf).select(*_PROFILE_COLS))
     return p.select("rows", "columns", r4("fare_mean").alias("fare_mean"),
                     r4("fare_median").alias("fare_median"), "fare_min", "fare_max", "total_passengers",
@@ -641,6 +686,7 @@ _DESC_COLS = ["MktCoupons", "Passengers", "MktFare", "MktDistance", "MktDistance
 {_r4sql(f'quantile_cont({c}, 0.75)')} as p75, cast(max({c}) as double) as max from market_clean"""
     for c in _DESC_COLS), views=MC)
 def agg_describe(spark, sf):
+    """Count/mean/std/min/quartiles/max of all numeric columns."""
     d = D.describe(market_clean(spark, sf), _DESC_COLS)
     return d.select("column", "count", *[r4(c).alias(c) for c in ("mean", "std")], "min",
                     *[r4(c).alias(c) for c in ("p25", "p50", "p75")], "max")
@@ -649,6 +695,7 @@ def agg_describe(spark, sf):
 @register("agg_distincts", """select count(distinct RPCarrier) as n_RPCarrier, count(distinct Origin) as n_Origin,
 count(distinct Dest) as n_Dest from market_clean""", views=MC)
 def agg_distincts(spark, sf):
+    """Number of carriers, airports."""
     return A.distincts(market_clean(spark, sf), ["RPCarrier", "Origin", "Dest"])
 
 
@@ -658,6 +705,7 @@ count(*) filter (where RPCarrier is distinct from TkCarrier) as tk_differs,
 count(*) filter (where RPCarrier is distinct from OpCarrier) as op_differs, count(*) as rows from market_clean""",
           views=MC)
 def agg_carrier_consistency(spark, sf):
+    """All carrier codes match / ticketing differs / operating differs."""
     return A.carrier_consistency(market_clean(spark, sf))
 
 
@@ -669,6 +717,7 @@ count(*) filter (where MktFare > 5000.0) as n_extreme, count(*) as rows,
 {_r4sql('count(*) filter (where MktFare > 5000.0) * 100.0 / count(*)')} as pct_extreme from market_clean""",
           views=MC)
 def agg_fare_quality(spark, sf):
+    """<10, 10–5000, >5000 counts and pct (literals at experiment_notebooks/BTS DB1B.ipynb.py:714)."""
     q = A.fare_quality(market_clean(spark, sf))
     return q.select("n_low", "n_valid", "n_extreme", "rows",
                     *[r4(c).alias(c) for c in ("pct_low", "pct_valid", "pct_extreme")])
@@ -679,6 +728,7 @@ def agg_fare_quality(spark, sf):
 @register("topk_extreme", """select Origin, Dest, MktFare, MktDistance, RPCarrier, MktCoupons, MktID
 from market_clean order by MktFare desc, MktID limit 20""", views=MC)
 def topk_extreme(spark, sf):
+    """20 highest fares with columns."""
     return (market_clean(spark, sf).select("Origin", "Dest", "MktFare", "MktDistance", "RPCarrier",
                                            "MktCoupons", "MktID")
             .orderBy(F.col("MktFare").desc(), "MktID").limit(20))
@@ -688,6 +738,7 @@ def topk_extreme(spark, sf):
 row_number() over (partition by Year, Quarter order by md5(concat_ws('|', MktID, '42')), MktID) as r,
 round_even(0.1 * count(*) over (partition by Year, Quarter), 0) as k from market_clean) where r <= k""", views=MC)
 def sample_by_quarter(spark, sf):
+    """Exact fraction per quarter, seeded, saved; create_sample(start,end,fraction,random_state); …."""
     s = exact_sample(market_clean(spark, sf), ["Year", "Quarter"], "MktID", 0.1, seed=42)
     return s.select("MktID", "Year", "Quarter")
 
@@ -703,6 +754,7 @@ b as (select *, (syc * sdd - syd * scd) / (scc * sdd - scd * scd) as b1,
 select {_r4sql('b1')} as coef_carriers, {_r4sql('b2')} as coef_distance, {_r4sql('my - b1 * mc - b2 * md')} as intercept,
 {_r4sql('(b1 * syc + b2 * syd) / syy')} as r2, n from b""", views=MC)
 def ml_ols_competition(spark, sf):
+    """Median fare ~ carriers + distance; coefficients, R²."""
     r = A.route_competition(market_clean(spark, sf))
     o = RG.ols2(r, "median_fare", "carriers", "mean_distance", ("coef_carriers", "coef_distance"))
     return o.select(*[r4(c).alias(c) for c in ("coef_carriers", "coef_distance", "intercept", "r2")], "n")
@@ -713,6 +765,7 @@ select {_r4sql('regr_slope(mean_fpm, carriers)')} as coef_carriers,
 {_r4sql('regr_intercept(mean_fpm, carriers)')} as intercept, {_r4sql('regr_r2(mean_fpm, carriers)')} as r2,
 count(*) as n from r""", views=MC)
 def ml_ols_single(spark, sf):
+    """Mean fpm ~ carriers."""
     r = A.route_competition(market_clean(spark, sf))
     o = RG.ols1(r, "mean_fpm", "carriers")
     return o.select(*[r4(c).alias(c) for c in ("coef_carriers", "intercept", "r2")], "n")
@@ -727,6 +780,7 @@ b as (select *, (syc * sdd - syd * scd) / (scc * sdd - scd * scd) as b1,
 select {_r4sql('b1')} as coef_carriers, {_r4sql('b2')} as coef_distance, {_r4sql('my - b1 * mc - b2 * md')} as intercept,
 {_r4sql('(b1 * syc + b2 * syd) / syy')} as r2, {_r4sql('(exp(b1) - 1) * 100')} as pct_effect, n from b""", views=MC)
 def ml_ols_log(spark, sf):
+    """Ln(median fare) ~ carriers + distance; pct effect = (e^b − 1)·100."""
     r = A.route_competition(market_clean(spark, sf)).withColumn("y", F.ln("median_fare"))
     o = RG.ols2(r, "y", "carriers", "mean_distance", ("coef_carriers", "coef_distance"))
     o = o.withColumn("pct_effect", (F.exp("coef_carriers") - 1) * 100)

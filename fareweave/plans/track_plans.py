@@ -39,6 +39,7 @@ def src_tracks(spark, sf):
 @register("st_track_state", """select id, user_id, origin, destination, departure_date, baseline_price, active from tracks""",
           views=TV)
 def st_track_state(spark, sf):
+    """Upsert (reset baseline, reactivate, clear last price), deactivate."""
     return tracks(spark, sf).select("id", "user_id", "origin", "destination", "departure_date",
                                     "baseline_price", "active")
 
@@ -46,12 +47,14 @@ def st_track_state(spark, sf):
 @register("st_track_expiry", f"""select id, active and not (cast(departure_date as timestamp) < timestamp '{AS_OF}') as active
 from tracks""", views=TV)
 def st_track_expiry(spark, sf):
+    """Tracks whose date (midnight) is before now are deactivated."""
     return TR.expire(tracks(spark, sf), AS_OF).select("id", "active")
 
 
 @register("sort_user_tracks", """select user_id, departure_date, origin, destination, baseline_price from tracks
 where active order by user_id, departure_date, origin, destination""", views=TV)
 def sort_user_tracks(spark, sf):
+    """Active tracks of a user by date."""
     return TR.user_tracks(tracks(spark, sf)).select("user_id", "departure_date", "origin", "destination",
                                                     "baseline_price")
 
@@ -99,6 +102,7 @@ Was £%.0f -> now £%.0f (down %.0f%%)
 round_even(price, 0), round_even((baseline_price - price) / baseline_price * 100, 0), origin, destination,
 strftime(departure_date, '%Y-%m-%d')) as text from alerts_sql""", views=TV + ("calendar", "alerts_sql"))
 def fn_alert_text(spark, sf):
+    """Price-drop message."""
     a = TR.alerts(tracks(spark, sf), fx.stored(spark, sf, "calendar"))
     return a.select("id", "collected_at", TX.alert_text("origin", "destination", "departure_date",
                                                         "baseline_price", "price").alias("text"))
@@ -178,6 +182,7 @@ select seq, error, case when error is null then {_r} end as route, case when err
 case when error is null then {_d} end as dest, case when error is null then args[2] end as date from e""",
           views=("track_events",))
 def flt_validate_requests(spark, sf):
+    """Request rows: route format, known airports, date parse, not in past, start ≤ end → value or first error reason."""
     v = VD.validate_requests(command_requests(spark, sf, "date"), need_date=True)
     return v.select("seq", "error", "route", "origin", "dest", "date")
 
@@ -192,5 +197,6 @@ select seq, error, case when error is null then {_r} end as route, case when err
 case when error is null then {_d} end as dest, case when error is null then args[2] end as start,
 case when error is null then args[3] end as "end" from e""", views=("track_events",))
 def flt_validate_windows(spark, sf):
+    """Window requests (route, start, end): the value or the first error."""
     v = VD.validate_requests(command_requests(spark, sf, "range"), need_range=True)
     return v.select("seq", "error", "route", "origin", "dest", "start", "end")
