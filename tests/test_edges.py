@@ -297,3 +297,25 @@ def test_group_quantiles_both_plans(spark, max_distinct):
     assert got.keys() == want.keys()
     for g in want:
         assert got[g] == pytest.approx(want[g], rel=1e-12)
+
+
+def test_landing_is_keyed_by_input_files(spark, tmp_path):
+    """A landing is reused for unchanged inputs and redone when an input file changes."""
+    import os
+    import shutil
+
+    from fareweave.sources.landing import land_once, landed_path
+    src = tmp_path / "sf"
+    src.mkdir()
+    shutil.copy("/root/testdata/sf0.001/region.parquet", src / "region.parquet")
+    calls = []
+
+    def write(path):
+        calls.append(path)
+        spark.read.parquet(str(src / "region.parquet")).write.mode("overwrite").parquet(path)
+
+    p1 = land_once(spark, str(src), "edge_test", write)
+    p2 = land_once(spark, str(src), "edge_test", write)
+    assert p1 == p2 and len(calls) == 1
+    os.utime(src / "region.parquet", (1, 1))  # the input changed
+    assert landed_path(spark, str(src), "edge_test") != p1
