@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import is_remainder, read_table
+from .language_centroids import fit_centroids, predict_language
 from .orc_tokens import token_files
+from .overlap_join import jaccard_components
+from .quality_neighbours import fit_neighbours, score_quality
 from .vector_packing import pack_documents
 
 
@@ -15,10 +19,53 @@ def op2_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by its nearest centroid."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = is_remainder("doc_id", 4, 2)
+    model = fit_centroids(docs.where(~held_out))
+    found = predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document by its labelled neighbours' vote."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = is_remainder("doc_id", 5, 0)
+    model = fit_neighbours(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    found = score_quality(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 1024 tokens."""
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_orc_token_files, op9_vector_packing)}
-ORACLES: dict[str, str] = {}
+def op10_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of at least 0.85."""
+    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_orc_token_files, op4_language_centroids, op6_quality_neighbours,
+                                   op9_vector_packing, op10_overlap_join)}
+
+ORACLES = {
+    "op10_overlap_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS grams
+  FROM w),
+e AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM g),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM g UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT g.doc_id, len(g.grams)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM g JOIN reach r USING (doc_id) GROUP BY g.doc_id, g.grams
+""",
+}
