@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from .common import is_remainder, read_table
 from .language_centroids import fit_centroids, predict_language
+from .metric_range_join import range_join
 from .orc_tokens import token_files
 from .overlap_join import jaccard_components
+from .pivot_topk import top_inner_products
 from .quality_neighbours import fit_neighbours, score_quality
 from .vector_packing import pack_documents
 
@@ -37,6 +39,17 @@ def op6_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op7_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors: links, components and the rows kept."""
+    return range_join(read_table(spark, sf_dir, "embeddings"))
+
+
+def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    return top_inner_products(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 1024 tokens."""
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -48,9 +61,36 @@ def op10_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_orc_token_files, op4_language_centroids, op6_quality_neighbours,
-                                   op9_vector_packing, op10_overlap_join)}
+                                   op7_metric_range_join, op8_pivot_topk, op9_vector_packing, op10_overlap_join)}
+
+_USABLE = """
+v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)"""
 
 ORACLES = {
+    "op7_metric_range_join": f"""
+WITH RECURSIVE {_USABLE},
+u AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS n FROM v WHERE list_inner_product(x, x) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.9),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, min(r.other) AS component_id,
+       e.vec_id = min(r.other) AS kept
+FROM embeddings e JOIN reach r USING (vec_id) GROUP BY e.vec_id
+""",
+    "op8_pivot_topk": f"""
+WITH {_USABLE},
+w AS (SELECT vec_id, list_transform(x, lambda c: floor(1024 * c)) AS x FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, w.vec_id, list_inner_product(q.x, w.x)::BIGINT AS score
+  FROM w q JOIN w ON q.vec_id <> w.vec_id AND len(q.x) = len(w.x) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
     "op10_overlap_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
