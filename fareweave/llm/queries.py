@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_recursive import encode_documents
 from .common import is_remainder, read_table
 from .language_centroids import fit_centroids, predict_language
 from .metric_range_join import range_join
@@ -13,6 +14,7 @@ from .orc_tokens import token_files
 from .overlap_join import jaccard_components
 from .pivot_topk import top_inner_products
 from .quality_neighbours import fit_neighbours, score_quality
+from .site_style_tree import main_text
 from .vector_packing import pack_documents
 
 
@@ -21,6 +23,11 @@ def op2_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op4_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by its nearest centroid."""
     docs = read_table(spark, sf_dir, "documents")
@@ -30,6 +37,12 @@ def op4_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes decoded from them."""
+    return encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
 def op6_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document by its labelled neighbours' vote."""
     docs = read_table(spark, sf_dir, "documents")
@@ -60,8 +73,9 @@ def op10_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_orc_token_files, op4_language_centroids, op6_quality_neighbours,
-                                   op7_metric_range_join, op8_pivot_topk, op9_vector_packing, op10_overlap_join)}
+QUERIES = {f.__name__: f for f in (
+    op2_orc_token_files, op3_site_style_tree, op4_language_centroids, op5_recursive_bpe, op6_quality_neighbours,
+    op7_metric_range_join, op8_pivot_topk, op9_vector_packing, op10_overlap_join)}
 
 _USABLE = """
 v AS (
