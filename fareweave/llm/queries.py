@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe_recursive import encode_documents
 from .common import is_remainder, read_table
+from .deobfuscation import fit, score_toxicity
 from .language_centroids import fit_centroids, predict_language
 from .metric_range_join import range_join
 from .orc_tokens import token_files
@@ -18,6 +19,15 @@ from .site_style_tree import main_text
 from .vector_packing import pack_documents
 
 
+def op1_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document's restored text."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = is_remainder("doc_id", 4, 2)
+    cost, evidence = fit(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    found = score_toxicity(docs, cost, evidence)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_evidence")
+
+
 def op2_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document through ORC files with row indexes and Bloom filters."""
     return token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -74,8 +84,8 @@ def op10_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_orc_token_files, op3_site_style_tree, op4_language_centroids, op5_recursive_bpe, op6_quality_neighbours,
-    op7_metric_range_join, op8_pivot_topk, op9_vector_packing, op10_overlap_join)}
+    op1_deobfuscated_toxicity, op2_orc_token_files, op3_site_style_tree, op4_language_centroids, op5_recursive_bpe,
+    op6_quality_neighbours, op7_metric_range_join, op8_pivot_topk, op9_vector_packing, op10_overlap_join)}
 
 _USABLE = """
 v AS (
