@@ -3,8 +3,8 @@
 The character model counts 4-grams over all documents. A word with one reading is taken as it is; words written with
 leet characters, separators, repetition or spaces between their letters are decoded by Viterbi. Words and word
 beginnings that tell toxic from other labelled texts are learned from a bounded, documented sample by greedy cover:
-the one that explains the most toxic texts not yet explained is taken next, so words that merely occur together with
-toxic ones are not. The score is the posterior of the evidence in a text.
+the one that explains the most of what toxic texts have left to explain is taken next, so words that merely occur
+together with toxic ones are not. The score is the posterior of the evidence in a text.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ THRESHOLD = 0.3
 PREFIXES = range(4, 9)
 #: Evidence must occur in so many toxic sample rows, and be toxic with this probability.
 MIN_ROWS, MIN_SHARE, MIN_PRECISION = 3, 0.002, 0.85
+#: What is left of a toxic row to explain once evidence is found in it, and the least that new evidence must explain
+#: (in rows, as a share of the rows that it must occur in).
+REST, MIN_GAIN = 0.3, 0.7
 CACHE_LIMIT = 1_000_000
 
 _READERS: dict[str, "Reader"] = {}
@@ -143,20 +146,27 @@ def learn_evidence(docs: DataFrame, labels: DataFrame, cost: np.ndarray, *, id_c
     held = each.where("label = 1").join(able, "feature").groupBy("id").agg(
         F.collect_list(F.struct("feature", "t", "c")).alias("f")).toPandas()  # bounded by the sample
     number: dict[str, tuple[int, int]] = {}
-    open_rows = []
-    for found in held["f"]:
-        open_rows.append([x["feature"] for x in found])
+    rows_of: dict[str, list[int]] = {}
+    for k, found in enumerate(held["f"]):
         number.update({x["feature"]: (x["t"], x["c"]) for x in found})
+        for x in found:
+            rows_of.setdefault(x["feature"], []).append(k)
     weights: dict[str, float] = {}
-    while open_rows:
-        cover = Counter(f for row in open_rows for f in row)
-        best = max(cover, key=lambda f: (cover[f], -number[f][1], len(f), f))
-        if cover[best] < least:
+    unexplained = np.ones(len(held))
+    gain = {f: float(len(k)) for f, k in rows_of.items()}
+    while gain:
+        best = max(gain, key=lambda f: (gain[f], -number[f][1], len(f), f))
+        now = float(unexplained[rows_of[best]].sum())
+        if now < gain[best] - 1e-9:  # others were taken since: its gain is less now
+            gain[best] = now
+            continue
+        if now < MIN_GAIN * least:
             break
         t, c = number[best]
         weights[best] = float(np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1)))
-        open_rows = [row for row in open_rows if best not in row]
-    explained = len(held) - len(open_rows)
+        unexplained[rows_of[best]] *= REST
+        del gain[best]
+    explained = int((unexplained < 1).sum())
     prior = toxic_w / (toxic_w + clean_w)
     missed = (toxic - explained + 1) / (toxic + 2)
     return Evidence(weights, float(np.log(prior / (1 - prior))), float(np.log(missed)))
