@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Buckets of the n-gram hash; a fixed vector size, the same for every table.
 BUCKETS = 4096
+#: Repetition marks of a text.
+MARKS = 33
 
 _LETTERS = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(128)) + bytes(range(128, 256))
 _SHAPES = bytes(97 if chr(b).islower() else 65 if chr(b).isupper() else 48 if chr(b).isdigit() else b
@@ -42,7 +44,7 @@ def repetition(text: str | None) -> np.ndarray:
     """How much a text repeats itself: ten steps each for distinct words, distinct lines and the top word's share."""
     words = (text or "").split()
     lines = [x for x in (text or "").split("\n") if x.strip()]
-    out = np.zeros(33)
+    out = np.zeros(MARKS)
     if words:
         distinct = set(words)
         # the expected share of distinct words falls with length; compare on the scale of the square root
@@ -92,9 +94,12 @@ def inverse_frequencies(df: np.ndarray, rows: int) -> np.ndarray:
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray, tf=np.log1p) -> np.ndarray:
     """Normalised TF-IDF rows (term frequencies by ``tf``); a row without terms stays zero."""
-    x = tf(counts).astype(np.float32) * idf
-    norm = np.sqrt((x * x).sum(axis=-1, keepdims=True))
-    return x / np.maximum(norm, np.float32(1e-12))
+    x = np.array(counts, np.float32)
+    if tf is not np.asarray:
+        tf(x, out=x)
+    x *= idf
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), np.float32(1e-12))[:, None]
+    return x
 
 
 def bounded_sample(rows: DataFrame, class_col: str, key_col: str, per_class: int, seed: int) -> DataFrame:
@@ -110,15 +115,25 @@ def bounded_sample(rows: DataFrame, class_col: str, key_col: str, per_class: int
 
 
 def count_rows(rows: DataFrame, text_col: str, keep: list[str], counts: Callable[[str | None], np.ndarray]
-               ) -> tuple[pd.DataFrame, np.ndarray]:
-    """The ``keep`` columns and the count vectors of a bounded sample, on the driver (one fixed-size vector a row)."""
-    schema = ", ".join(f"{c} {t}" for c, t in rows.select(*keep).dtypes) + ", v binary"
+               ) -> tuple[pd.DataFrame, list[tuple[np.ndarray, np.ndarray]]]:
+    """The ``keep`` columns and the sparse count vectors of a bounded sample, on the driver."""
+    schema = ", ".join(f"{c} {t}" for c, t in rows.select(*keep).dtypes) + ", at binary, n binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = [counts(t).astype(np.float32).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(v, pa.binary())], [*keep, "v"])
+            dense_rows = [counts(t) for t in batch.column(0).to_pylist()]
+            at = [v.nonzero()[0] for v in dense_rows]
+            n = [v[k].astype("<f4").tobytes() for v, k in zip(dense_rows, at)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array([k.astype("<u2").tobytes() for k in at], pa.binary()), pa.array(n, pa.binary())],
+                [*keep, "at", "n"])
+
+    got = rows.select(text_col, *keep).mapInArrow(run, schema).toPandas().sort_values([*keep, "at", "n"], ignore_index=True)
+    return got, [(np.frombuffer(k, "<u2"), np.frombuffer(n, "<f4")) for k, n in zip(got.pop("at"), got.pop("n"))]
 
-    got = rows.select(text_col, *keep).mapInArrow(run, schema).toPandas().sort_values(keep, ignore_index=True)
-    data = [np.frombuffer(v, np.float32) for v in got.pop("v")]
-    return got, np.stack(data) if data else np.zeros((0, 0), np.float32)
+
+def dense(rows: list[tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width), np.float32)
+    for row, (at, n) in zip(out, rows):
+        row[at] = n
+    return out

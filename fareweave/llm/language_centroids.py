@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import (BUCKETS, bounded_sample, count_rows, document_frequencies, inverse_frequencies, letter_counts,
-                       tf_idf)
+from .features import (BUCKETS, bounded_sample, count_rows, dense, document_frequencies, inverse_frequencies,
+                       letter_counts, tf_idf)
 
 #: Sampled rows per language that the centroids are fitted on, and centroids per language.
 PER_LANGUAGE = 800
@@ -58,12 +58,13 @@ def fit_centroids(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str
     idf = inverse_frequencies(df, n)
     sample, counts = count_rows(bounded_sample(rows, lang_col, id_col, per_language, seed=4), text_col, [lang_col],
                                 letter_counts)
-    x, vectors, languages, own = tf_idf(counts, idf, TF), [], [], []
+    vectors, languages, own = [], [], []
     for lang, at in sample.groupby(lang_col).indices.items():
-        c = _clusters(x[at], centroids)
+        x = tf_idf(dense([counts[k] for k in at], BUCKETS), idf, TF)
+        c = _clusters(x, centroids)
         vectors.append(c)
         languages += [lang] * len(c)
-        own.append((x[at] @ c.T).max(axis=1))
+        own.append((x @ c.T).max(axis=1))
     lowest = float(np.quantile(np.concatenate(own), 0.001)) if own else 0.0
     return Centroids(idf, np.concatenate(vectors), languages, REJECT_SHARE * lowest) if vectors else None
 

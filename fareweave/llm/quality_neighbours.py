@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import (BUCKETS, bounded_sample, count_rows, document_frequencies, inverse_frequencies, repetition,
-                       shape_counts, tf_idf)
+from .features import (BUCKETS, MARKS, bounded_sample, count_rows, dense, document_frequencies, inverse_frequencies,
+                       repetition, shape_counts, tf_idf)
 
 #: Labelled rows per class whose vectors are kept, latent dimensions, and neighbours that vote.
 PER_CLASS = 1500
@@ -65,7 +65,7 @@ def fit_neighbours(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     if not len(sample):
         return None
     idf = inverse_frequencies(*document_frequencies(docs, text_col, shape_counts))
-    x = _rows(counts, idf)
+    x = _rows(dense(counts, BUCKETS + MARKS), idf)
     rng = np.random.default_rng(6)
     q = rng.standard_normal((x.shape[1], dimensions + 16)).astype(np.float32)
     for _ in range(4):  # power iterations towards the leading right singular vectors
