@@ -49,7 +49,7 @@ def apply_outlook(scored: DataFrame, threshold: float = WAIT_THRESHOLD) -> DataF
 # --- Spark ML fits (R-checked) ---------------------------------------------------
 
 def price_pipeline(features: Sequence[str] = PRICE_FEATURES, label: str = "price",
-                   seed: int = 42, max_iter: int = 50):
+                   seed: int = 42, max_iter: int = 50, max_bins: int = 64):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
@@ -57,12 +57,12 @@ def price_pipeline(features: Sequence[str] = PRICE_FEATURES, label: str = "price
     idx = StringIndexer(inputCol="route", outputCol="route_idx", handleInvalid="keep")
     vec = VectorAssembler(inputCols=num + ["route_idx"], outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(labelCol=label, featuresCol="features", seed=seed, maxIter=max_iter,
-                       maxBins=64, predictionCol="estimated_price")
+                       maxBins=max_bins, predictionCol="estimated_price")
     return Pipeline(stages=[idx, vec, gbt])
 
 
 def wait_pipeline(features: Sequence[str] = CLF_FEATURES, label: str = "should_wait",
-                  seed: int = 42, max_iter: int = 50):
+                  seed: int = 42, max_iter: int = 50, max_bins: int = 64):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -70,10 +70,15 @@ def wait_pipeline(features: Sequence[str] = CLF_FEATURES, label: str = "should_w
     idx = StringIndexer(inputCol="route", outputCol="route_idx", handleInvalid="keep")
     vec = VectorAssembler(inputCols=num + ["route_idx"], outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, maxIter=max_iter,
-                        maxBins=64)
+                        maxBins=max_bins)
     return Pipeline(stages=[idx, vec, gbt])
 
 
+def bins_for(df: DataFrame, col: str = "route") -> int:
+    """Bins that hold every route and the one for unseen routes."""
+    return max(64, df.agg(F.count_distinct(col)).first()[0] + 2)
+
+
 def wait_probability(pred: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     return pred.withColumn("wait_probability", vector_to_array("probability")[1])

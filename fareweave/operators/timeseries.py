@@ -54,15 +54,20 @@ def add_lag_features(df: DataFrame, series: Sequence[str] = SERIES, order: str =
                      price: str = "price", causal: bool = False) -> DataFrame:
     """lag 1 and lag 7 *observations*, mean of the 3 previous observations,
     price change; gaps filled with the route mean (over the route's whole
-    history, as the reference does; ``causal=True`` uses only earlier rows)."""
+    history, as the reference does; ``causal=True`` uses only the route's rows
+    of strictly earlier collection times)."""
     w = series_window(series, order)
     out = (df.withColumn("price_lag1", F.lag(price, 1).over(w))
            .withColumn("price_lag7", F.lag(price, 7).over(w))
            .withColumn("price_roll3", F.avg(price).over(w.rowsBetween(-3, -1)))
            .withColumn("price_change", F.col(price) - F.col("price_lag1")))
     if causal:
-        fill = F.avg(price).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        out = out.withColumn("_route_mean", fill)
+        earlier = Window.partitionBy("route").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+        days = out.groupBy("route", order).agg(F.sum(price).alias("_s"), F.count(price).alias("_n"))
+        days = days.withColumn("_t", F.unix_micros(F.col(order).cast("timestamp")))
+        days = days.select("route", order, F.try_divide(F.sum("_s").over(earlier), F.sum("_n").over(earlier)).alias(
+            "_route_mean"))
+        out = out.join(days, ["route", order], "left")
     else:
         out = group_mean(out, "route", price, "_route_mean")
     for c in ("price_lag1", "price_lag7", "price_roll3"):
@@ -106,13 +111,13 @@ def temporal_split(df: DataFrame, col: str = "collected_date", q: float = 0.8) -
 
 
 def last_n_features(history: DataFrame, requests: DataFrame, keys: Sequence[str] = SERIES,
-                    as_of: str = "as_of", n: int = 7, days: int | None = 30,
+                    as_of: str = "as_of", n: int = 7, days: int | None = None,
                     price: str = "price", order: str = "collected_at") -> DataFrame:
     """As-of serving features per request row.
 
     Observations of the request's key known on or before its ``as_of`` day
-    (and, if ``days`` is set, within the last ``days`` collection days before
-    it) are ranked newest first; the latest gives ``price_lag1``, the oldest
+    (and, only if ``days`` is set, within the last ``days`` calendar days
+    before it) are ranked newest first; the latest gives ``price_lag1``, the oldest
     of the newest ``n`` gives ``price_lag7``, the newest three average to
     ``price_roll3``. Requests without history keep null features and
     ``has_history = false``. The join is an equi-join on the key with the

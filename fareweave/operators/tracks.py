@@ -67,10 +67,10 @@ def alerts(tracks: DataFrame, prices: DataFrame, drop: float = 0.05,
     t = tracks.filter(F.col("active"))
     j = t.join(prices.select(*key, ts, price), list(key))
     b = F.col("baseline_price")
-    qualifies = ((b - F.col(price)) / b) >= F.lit(drop)
+    qualifies = F.try_divide(b - F.col(price), b) >= F.lit(drop)  # a zero baseline never qualifies
     w = Window.partitionBy("id").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
     last = F.min(F.when(qualifies, F.col(price))).over(w)
     j = j.withColumn("_q", qualifies).withColumn("_last", F.coalesce(F.nullif(last, F.lit(0.0)), b))
     return (j.filter(F.col("_q") & (F.col(price) < F.col("_last")))
-            .withColumn("drop_pct", (b - F.col(price)) / b * 100)
+            .withColumn("drop_pct", F.try_divide(b - F.col(price), b) * 100)
             .drop("_q", "_last"))

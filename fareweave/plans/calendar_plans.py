@@ -322,7 +322,7 @@ from serve_req r left join (
     select r.route, r.departure_date, r.as_of, c.price,
     row_number() over (partition by r.route, r.departure_date, r.as_of order by c.collected_at desc) as rn
     from serve_req r join cal c on r.route = c.route and r.departure_date = c.departure_date
-    where cast(c.collected_at as date) <= r.as_of and cast(c.collected_at as date) > r.as_of - 30)
+    where cast(c.collected_at as date) <= r.as_of)
   where rn <= 7 group by all) f
 on r.route = f.route and r.departure_date = f.departure_date and r.as_of = f.as_of"""
 

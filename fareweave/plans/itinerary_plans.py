@@ -316,8 +316,8 @@ g as (select origin_code, dest_code, avg(lat) as center_lat, avg(lon) as center_
 max(lon) - min(lon) as lon_span from ends group by 1, 2)
 select origin_code, dest_code, {_r4sql('center_lat')} as center_lat, {_r4sql('center_lon')} as center_lon,
 {_r4sql('lat_span')} as lat_span, {_r4sql('lon_span')} as lon_span,
-case when greatest(lat_span, lon_span) > 100 then 1 when greatest(lat_span, lon_span) > 50 then 2
-when greatest(lat_span, lon_span) > 20 then 3 else 4 end as zoom from g""",
+case when greatest(lat_span, lon_span) < 5 then 6 when greatest(lat_span, lon_span) < 20 then 4
+when greatest(lat_span, lon_span) < 60 then 3 else 2 end as zoom from g""",
           views=("itineraries", "paths", "hops_sql", "airports"))
 def agg_map_view(spark, sf):
     """Map centre/zoom per route over the hops of its distinct journeys."""

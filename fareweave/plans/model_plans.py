@@ -22,8 +22,8 @@ def split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def fitted(spark: SparkSession, sf: str):
     train, test = split(spark, sf)
-    reg = MD.price_pipeline().fit(train)
-    clf = MD.wait_pipeline().fit(train)
+    reg = MD.price_pipeline(max_bins=MD.bins_for(train)).fit(train)
+    clf = MD.wait_pipeline(max_bins=MD.bins_for(train)).fit(train)
     return reg, clf, test
 
 
@@ -32,7 +32,7 @@ def ml_price_model(spark, sf):
     """Gradient-boosted price regressor (route indexed, 8 features) scored on
     the temporal test split."""
     train, test = split(spark, sf)
-    model = MD.price_pipeline().fit(train)
+    model = MD.price_pipeline(max_bins=MD.bins_for(train)).fit(train)
     return model.transform(test).select("route", "departure_date", "collected_date", "price",
                                         r4("estimated_price").alias("estimated_price"))
 
@@ -42,7 +42,7 @@ def ml_wait_model(spark, sf):
     """Gradient-boosted wait classifier; probability of class 1 and the
     outlook at the 0.45 threshold."""
     train, test = split(spark, sf)
-    model = MD.wait_pipeline().fit(train)
+    model = MD.wait_pipeline(max_bins=MD.bins_for(train)).fit(train)
     p = MD.wait_probability(model.transform(test))
     return p.select("route", "departure_date", "collected_date", "should_wait",
                     r4("wait_probability").alias("wait_probability"),
@@ -69,7 +69,7 @@ def ml_evaluate(spark, sf):
 
 def importance_frame(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = split(spark, sf)
-    model = MD.price_pipeline().fit(train)
+    model = MD.price_pipeline(max_bins=MD.bins_for(train)).fit(train)
     rows = MD.feature_importance(model, MD.PRICE_FEATURES)
     return spark.createDataFrame(rows, "feature string, importance double")
 

@@ -31,7 +31,7 @@ def _step(key, batches: Iterator[pd.DataFrame], state, drop: float) -> Iterator[
     for row in pdf.itertuples(index=False):
         base = row.baseline_price
         ref = last if last else base
-        if (base - row.price) / base >= drop and row.price < ref:
+        if base and (base - row.price) / base >= drop and row.price < ref:
             out.append((row.id, row.user_id, row.collected_at, row.price, base))
             last = row.price
     if last is not None:
