@@ -26,7 +26,7 @@ MESSAGES = {
 
 
 def _parse_day(s: Column) -> Column:
-    return F.to_date(F.try_to_timestamp(s, F.lit("yyyy-MM-dd")))
+    return F.to_date(F.try_to_timestamp(s, F.lit("yyyy-M-d")))  # with or without leading zeros
 
 
 def validate_requests(df: DataFrame, args: str = "args", as_of="as_of", need_date: bool = True,

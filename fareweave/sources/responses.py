@@ -153,8 +153,8 @@ def transit_details(segments: Column) -> tuple[Column, Column, Column]:
     countries = F.transform(pairs, lambda p: F.coalesce(p["a"]["destination"]["country"], F.lit("UNKNOWN")))
 
     def hours(p):
-        secs = (F.unix_timestamp(F.to_timestamp(p["b"]["departure"]))
-                - F.unix_timestamp(F.to_timestamp(p["a"]["arrival"])))
+        secs = (F.unix_timestamp(F.try_to_timestamp(p["b"]["departure"]))
+                - F.unix_timestamp(F.try_to_timestamp(p["a"]["arrival"])))
         return F.bround(secs / 3600.0 * 10, 0) / 10
 
     return airports, countries, F.transform(pairs, hours)
@@ -194,9 +194,11 @@ def parse_roundtrip(text: DataFrame, col: str = "json") -> DataFrame:
         ]
     flat = its.select(F.col("it.id").alias("flight_id"),
                       F.coalesce(F.col("it.price.raw"), F.lit(0.0)).alias("price_gbp"), *out)
-    out_ts = F.to_timestamp("out_departure")
-    ret_ts = F.to_timestamp("ret_departure")
-    return (flat
+    out_ts = F.try_to_timestamp("out_departure")
+    ret_ts = F.try_to_timestamp("ret_departure")
+    # an itinerary with a malformed departure time is skipped, the others stay
+    readable = [F.col(c).isNull() | t.isNotNull() for c, t in (("out_departure", out_ts), ("ret_departure", ret_ts))]
+    return (flat.filter(readable[0] & readable[1])
             .withColumn("total_duration_min", F.coalesce("out_duration_min", F.lit(0))
                         + F.coalesce("ret_duration_min", F.lit(0)))
             .withColumn("total_stops", F.coalesce("out_stops", F.lit(0)) + F.coalesce("ret_stops", F.lit(0)))

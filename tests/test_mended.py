@@ -40,3 +40,9 @@ def test_causal_fill_uses_earlier_rows_of_the_route(spark):
         getattr(timeseries, n), "__code__", type("c", (), {"co_varnames": ()})).co_varnames)
     got = {str(r.collected_date): r.price_lag1 for r in getattr(timeseries, name)(df, causal=True).collect()}
     assert got == {"2024-01-01": None, "2024-01-02": 100.0}
+
+
+def test_dates_without_leading_zeros_are_valid(spark):
+    from fareweave.operators.validate import _parse_day
+    df = spark.createDataFrame([("2024-9-5",), ("2024-09-05",), ("2024-13-01",)], "d string")
+    assert [str(r[0]) for r in df.select(_parse_day(F.col("d"))).collect()] == ["2024-09-05", "2024-09-05", "None"]
