@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +60,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package (once per session), also where it is only on the driver's path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_fareweave_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="fareweave-py-"), "fareweave.zip")  # Spark sends it from the driver
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("fareweave", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._fareweave_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
