@@ -36,7 +36,7 @@ def median(c: Column | str, approx: bool = False) -> Column:
 def quantiles_by(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
                  names: Sequence[str], approx: bool = False) -> DataFrame:
     """Per-group quantiles as a table (by..., names): exact through
-    ``group_quantiles`` (adaptive, no unbounded per-task state) or a sketch."""
+    ``group_quantiles`` (no unbounded per-task state) or a sketch."""
     if approx:
         q = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(
             F.percentile_approx(value, list(qs), 10000).alias("_q"))

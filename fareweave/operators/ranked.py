@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,96 +55,74 @@ def ordered_cumsum(df: DataFrame, key: str, sum_cols: Sequence[str],
                                      for c in sum_cols])
 
 
-def exact_group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
-                          names: Sequence[str] | None = None, accuracy: int = 100000,
-                          margin: float = 10.0) -> DataFrame:
-    """Exact, linearly interpolated quantiles of ``value`` per group, for
-    values with unboundedly many distinct values (Spark's ``percentile``
-    keeps a whole group's distinct values in one task).
-
-    1. a fixed-size sketch per group (``percentile_approx``, rank error
-       ≤ n/accuracy) brackets every wanted rank between two values taken
-       ``margin``/accuracy below and above it;
-    2. one pass counts, per group, the rows below each bracket and keeps
-       only the rows inside it (≈ 2·margin·n/accuracy rows per quantile;
-       a group of at most ``accuracy`` rows is kept whole);
-    3. the bracketed rows alone are ranked, and the order statistics at the
-       floor and ceiling of ``q·(n−1)`` are interpolated as ``percentile``
-       does.
+# buckets per unit of ln|value|: a bucket spans a factor of e^(1/2048) ≈ 1.0005
+BUCKETS_PER_E = 2048
+
+
+def _value_bucket(x: Column) -> Column:
+    """A bucket number that never decreases with ``x`` (a double): the sign and
+    ln|x| in fixed steps. Equal values share a bucket, whatever the scale of
+    the data; all doubles fall into fewer than 7 million buckets."""
+    step = F.floor(F.least(F.greatest(F.ln(F.abs(x)), F.lit(-750.0)), F.lit(750.0)) * BUCKETS_PER_E)
+    size = step + 751 * BUCKETS_PER_E
+    return F.when(x == 0, F.lit(0)).when(x < 0, -size).otherwise(size).cast("int")
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``value`` per group (as
+    ``percentile``), by one plan for every size and without a driver job.
+
+    1. rows collapse to one count per distinct (group, value), combined map
+       side, so ties are never sorted row by row;
+    2. a histogram per group over ``_value_bucket`` (a bounded number of rows,
+       whatever the size of the group) gets running counts, which name the
+       buckets that hold the wanted ranks;
+    3. only those buckets' distinct values get running counts of their own, and
+       the order statistics at the floor and ceiling of ``q·(n−1)`` are
+       interpolated.
+
+    Rows with a null value or a null group key take no part. Without ``by``
+    there is one row, of nulls if there is no value.
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(qs))])
-    if not by:  # one global group: a constant key keeps every join an equi-join
-        out = exact_group_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, qs, names,
-                                    accuracy, margin)
-        return out.drop("_all")
-    eps = margin / accuracy
-    k = len(qs)
     x = df.filter(F.col(value).isNotNull() & _all_not_null(by))
-    probes = []
-    for q in qs:
-        probes += [max(0.0, q - eps), min(1.0, q + eps)]
-    sk = x.groupBy(*by).agg(F.percentile_approx(value, probes, accuracy).alias("_p"),
-                            F.count(F.lit(1)).alias("_n"), F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    # groups of at most ``accuracy`` rows are ranked whole: there the sketch's
-    # rank error (n/accuracy) need not cover the ±1 rank between the floor
-    # and ceiling of the position
-    small = F.col("_n") <= accuracy
-    los, his = [], []
+    counts = (x.select(*by, F.col(value).cast("double").alias("_v")).groupBy(*by, "_v")
+              .agg(F.count(F.lit(1)).alias("_c")).withColumn("_bucket", _value_bucket(F.col("_v"))))
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    hist = counts.groupBy(*by, "_bucket").agg(F.sum("_c").alias("_in")).select(
+        *by, "_bucket", "_in", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"),
+        F.sum("_in").over(whole).alias("_n"))
+    ranks = []
     for i, q in enumerate(qs):
-        los.append(F.when(small | (F.lit(q - eps) <= 0), F.col("_mn")).otherwise(F.col("_p")[2 * i]))
-        his.append(F.when(small | (F.lit(q + eps) >= 1), F.col("_mx")).otherwise(F.col("_p")[2 * i + 1]))
-    sk = sk.select(*by, "_n", F.array(*los).alias("_lo"), F.array(*his).alias("_hi"))
-    # one row per group: no row is multiplied by the number of quantiles
-    j = x.select(*by, value).join(sk, by)
-    below = j.groupBy(*by).agg(*[F.count_if(F.col(value) < F.col("_lo")[i]).alias(f"_b{i}") for i in range(k)])
-    hits = F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
-                    lambda i: F.col(value).between(F.element_at("_lo", i + 1), F.element_at("_hi", i + 1)))
-    band = j.select(*by, value, "_n", F.explode(hits).alias("qi"))
-    w = Window.partitionBy(*by, "qi").orderBy(value)
-    band = band.withColumn("_rn", F.row_number().over(w) - 1).join(below, by)
-    b_of_q = F.element_at(F.array(*[F.col(f"_b{i}") for i in range(k)]), F.col("qi") + 1)
-    pos = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("qi") + 1) * (F.col("_n") - 1)
-    band = band.withColumn("_pos", pos).withColumn("_rank", b_of_q + F.col("_rn"))
-    rank = F.col("_rank")
-    pick = band.filter((rank == F.floor("_pos")) | (rank == F.ceil("_pos")))
-    per_q = pick.groupBy(*by, "qi").agg(
-        F.max(F.when(rank == F.floor("_pos"), F.col(value))).alias("_lo"),
-        F.max(F.when(rank == F.ceil("_pos"), F.col(value))).alias("_hi"),
-        F.first("_pos").alias("_pos"))
-    lo_p, hi_p = F.floor("_pos"), F.ceil("_pos")
-    val = F.when(lo_p == hi_p, F.col("_lo")).otherwise(
-        (hi_p - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - lo_p) * F.col("_hi"))
-    out = per_q.groupBy(*by).pivot("qi", list(range(k))).agg(F.first(val))
-    return out.select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
-
-
-def _all_not_null(cols: Sequence[str]):
+        pos = F.lit(float(q)) * (F.col("_n") - 1)
+        ranks += [F.struct(F.lit(i).alias("q"), F.lit(high).alias("high"), r.cast("long").alias("rank"))
+                  for high, r in ((False, F.floor(pos)), (True, F.ceil(pos)))]
+    held = F.filter(F.array(*ranks), lambda r: (r["rank"] >= F.col("_before"))
+                    & (r["rank"] < F.col("_before") + F.col("_in")))
+    wanted = hist.withColumn("_ranks", held).filter(F.size("_ranks") > 0).drop("_in")
+    upto = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("_before") + F.sum("_c").over(upto)  # ranks of a value: last − count .. last − 1
+    found = (counts.join(wanted, [*by, "_bucket"])
+             .select(*by, "_v", "_c", "_n", "_ranks", last.alias("_last"))
+             .select(*by, "_v", "_n", F.explode(F.filter("_ranks", lambda r: (r["rank"] < F.col("_last"))
+                                                         & (r["rank"] >= F.col("_last") - F.col("_c")))).alias("_r")))
+    one = found.groupBy(*by).agg(
+        F.max("_n").alias("_n"),
+        *[F.max(F.when((F.col("_r.q") == i) & (F.col("_r.high") == high), F.col("_v"))).alias(f"_{i}_{side}")
+          for i in range(len(qs)) for side, high in (("lo", False), ("hi", True))])
+    out = []
+    for i, (q, name) in enumerate(zip(qs, names)):
+        pos = F.lit(float(q)) * (F.col("_n") - 1)
+        lo, hi = F.col(f"_{i}_lo"), F.col(f"_{i}_hi")
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi).alias(name))
+    return one.select(*by, *out)
+
+
+def _all_not_null(cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
         cond = cond & F.col(c).isNotNull()
     return cond
-
-
-# a group whose distinct values stay under this keeps Spark's ``percentile``:
-# its state is a value → count map (≈ 100 bytes per distinct value)
-MAX_MAP_DISTINCT = 1_000_000
-
-
-def group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
-                    names: Sequence[str] | None = None,
-                    max_distinct: int = MAX_MAP_DISTINCT) -> DataFrame:
-    """Exact per-group quantiles, choosing the plan by the data: one HLL pass
-    measures the largest number of distinct values in any group (a scalar);
-    if every group's value→count map stays under ``max_distinct`` the single
-    ``percentile`` aggregation is used, otherwise ``exact_group_quantiles``,
-    whose per-task state does not grow with a group."""
-    by = list(by)
-    names = list(names or [f"q{i}" for i in range(len(qs))])
-    x = df.filter(F.col(value).isNotNull() & _all_not_null(by))
-    card = (x.groupBy(*by).agg(F.approx_count_distinct(value).alias("_d"))
-            .agg(F.max("_d")).first()[0] or 0)
-    if card <= max_distinct:
-        agg = x.groupBy(*by).agg(F.percentile(value, list(qs)).alias("_q"))
-        return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return exact_group_quantiles(x, by, value, qs, names)

@@ -232,20 +232,26 @@ def test_sample_deal_card(spark):
     assert r.trip_length_days == 13 and r.total_stops == 2 and r.out_transit_airports == ["PEK"]
 
 
-def test_exact_group_quantiles_skewed(spark):
-    """A hot group holding most rows, a tiny group, ties; equal to ``percentile``."""
-    from fareweave.operators.ranked import exact_group_quantiles
+def test_group_quantiles_skewed(spark):
+    """A hot group with half of its rows at one value, tiny groups, negative,
+    zero, tiny and huge values, nulls; equal to ``percentile``."""
+    from fareweave.operators.ranked import group_quantiles
     rnd = random.Random(11)
-    rows = [("hot", rnd.randint(0, 900) / 7.0) for _ in range(6000)]
-    rows += [("cold", float(i)) for i in range(3)] + [("one", 5.0)] + [("hot", None)]
+    rows = [("hot", rnd.randint(-400, 900) / 7.0) for _ in range(3000)] + [("hot", 100.0)] * 3000
+    rows += [("cold", float(i)) for i in range(3)] + [("one", 5.0), ("hot", None), (None, 1.0)]
+    rows += [("wide", v) for v in (-1e300, -1e-300, -0.0, 0.0, 1e-300, 3.0, 3.0000000001, 1e300)]
+    rows += [("real", rnd.random()) for _ in range(2000)]
     df = spark.createDataFrame(rows, "g string, v double")
-    qs = [0.0, 0.01, 0.25, 0.5, 0.95, 1.0]
-    got = {r.g: [r[f"q{i}"] for i in range(len(qs))] for r in
-           exact_group_quantiles(df, ["g"], "v", qs, accuracy=500).collect()}
-    want = {r.g: list(r.p) for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
+    qs = [0.0, 0.01, 0.1, 0.25, 0.5, 0.9, 0.95, 1.0]
+    got = {r.g: [r[f"q{i}"] for i in range(len(qs))] for r in group_quantiles(df, ["g"], "v", qs).collect()}
+    want = {r.g: list(r.p) for r in df.filter("g is not null").groupBy("g").agg(
+        F.percentile("v", qs).alias("p")).collect()}
     assert set(got) == set(want)
     for g in want:
         assert got[g] == pytest.approx(want[g], rel=1e-12), g
+    assert group_quantiles(df, [], "v", [0.5]).first().q0 == df.agg(F.percentile("v", 0.5)).first()[0]
+    assert group_quantiles(df.limit(0), [], "v", [0.5]).first().q0 is None
+    assert group_quantiles(df.limit(0), ["g"], "v", [0.5]).count() == 0
 
 
 def test_top_n_and_cheapest_path_on_hot_group(spark):
@@ -285,19 +291,6 @@ def test_closed_form_ols_equals_spark_ml(spark):
     assert mine.r2 == pytest.approx(lr.summary.r2, rel=1e-9)
 
 
-@pytest.mark.parametrize("max_distinct", [10, 10**6])
-def test_group_quantiles_both_plans(spark, max_distinct):
-    """The cardinality check picks ``percentile`` or the bracketed ranking; both exact."""
-    from fareweave.operators.ranked import group_quantiles
-    rnd = random.Random(8)
-    df = spark.createDataFrame([(rnd.choice("ab"), rnd.random()) for _ in range(3000)], "g string, v double")
-    qs = [0.1, 0.5, 0.9]
-    got = {r.g: [r.q0, r.q1, r.q2] for r in group_quantiles(df, ["g"], "v", qs, max_distinct=max_distinct).collect()}
-    want = {r.g: list(r.p) for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
-    assert got.keys() == want.keys()
-    for g in want:
-        assert got[g] == pytest.approx(want[g], rel=1e-12)
-
 
 def test_landing_is_keyed_by_input_files(spark, tmp_path):
     """A landing is reused for unchanged inputs and redone when an input file changes."""
