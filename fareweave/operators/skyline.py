@@ -16,9 +16,10 @@ Exact and without a quadratic self-join:
 3. survivors are semi-joined back to the rows, so every row equal to a
    front point is kept.
 
-The stop dimension must be a small integer domain listed in ``levels``
-(the reference trims to ``stops ≤ 2``); rows with a null objective cannot
-be compared and are left out. ``peel_fronts`` repeats the step for the
+The stop dimension must be a small integer domain. ``levels`` lists it where
+the caller has trimmed the rows to it (the reference trims to ``stops ≤ 2``);
+left out, it is read from the data, one distinct stop count a row. Rows with
+a null objective cannot be compared and are left out. ``peel_fronts`` repeats the step for the
 next fronts (a bounded loop of plan extensions).
 """
 
@@ -52,19 +53,27 @@ def _front_keys(df: DataFrame, group: Sequence[str], price: str, minutes: str, s
     return keys
 
 
+def _levels(df: DataFrame, stops: str, levels: Sequence[int] | None) -> list:
+    """The stop counts to compare: as given, or those that occur."""
+    if levels is not None:
+        return list(levels)
+    return df.agg(F.sort_array(F.collect_set(stops))).first()[0]
+
+
 def pareto_front(df: DataFrame, group: Sequence[str], price: str = "price_raw",
                  minutes: str = "duration_minutes", stops: str = "stop_count",
-                 levels: Sequence[int] = (0, 1, 2)) -> DataFrame:
+                 levels: Sequence[int] | None = None) -> DataFrame:
     """Rows of ``df`` on the first non-dominated front of their group."""
-    keys = _front_keys(df, group, price, minutes, stops, levels)
+    keys = _front_keys(df, group, price, minutes, stops, _levels(df, stops, levels))
     return df.join(keys, [*group, price, stops, minutes], "left_semi")
 
 
 def peel_fronts(df: DataFrame, group: Sequence[str], k: int, price: str = "price_raw",
                 minutes: str = "duration_minutes", stops: str = "stop_count",
-                levels: Sequence[int] = (0, 1, 2)) -> DataFrame:
+                levels: Sequence[int] | None = None) -> DataFrame:
     """Rows of the first ``k`` fronts with their 0-based ``front`` index."""
     on = [*group, price, stops, minutes]
+    levels = _levels(df, stops, levels)
     rest = df
     out = None
     for i in range(k):

@@ -589,24 +589,39 @@ def join_not_collected(spark, sf):
     return F.broadcast(expected).join(got, ["route", "departure_date"], "left_anti")
 
 
-@register("agg_health", """with cal_ok as (select cast(collected_at as date) as day,
-count(distinct concat_ws('-', origin, destination)) as calendar_success from calendar group by 1),
-exp as (select count(*) filter (where origin in ('LHR', 'MAN') and destination in ('SGN', 'HAN', 'BKK')) as calendar_expected from routes_dim)
-select day, calendar_success, calendar_expected, calendar_success >= calendar_expected as healthy
-from cal_ok, exp""", views=("calendar", "routes_dim"))
+# fixed values: search dates asked for per route and day; the share of itinerary searches that must succeed
+SEARCHES_PER_ROUTE = 2
+ITINERARY_SHARE = 0.75
+
+
+@register("agg_health", f"""with c as (select cast(collected_at as date) as day,
+count(distinct concat_ws('-', origin, destination)) as ok from calendar group by 1),
+i as (select collected_at as day, count(distinct (origin_code, dest_code, search_date)) as ok from itineraries group by 1),
+e as (select count(*) as routes from routes_dim where active),
+d as (select coalesce(c.day, i.day) as day, coalesce(c.ok, 0) as calendar_success, routes as calendar_expected,
+coalesce(i.ok, 0) as itinerary_success, {SEARCHES_PER_ROUTE} * routes as itinerary_expected
+from c full outer join i on c.day = i.day, e)
+select *, calendar_success >= calendar_expected and itinerary_success >= {ITINERARY_SHARE} * itinerary_expected as healthy
+from d""", views=("calendar", "itineraries", "routes_dim"))
 def agg_health(spark, sf):
-    """Per collection day: calendars collected vs expected from the route
-    dimension (the reference hard-codes 6/12 while collecting 12 routes; the
-    expected count here comes from the routes actually scheduled)."""
+    """Per collection day: calendars and itinerary searches that brought rows
+    against what the active routes ask for (the reference fixes 6 and 12 while
+    it collects 12 routes with 2 searches each). Healthy: all calendars and
+    75 % of the searches; a day that holds only one of the two has 0 of the
+    other."""
     c = calendar(spark, sf).groupBy(F.to_date("collected_at").alias("day")).agg(
         F.count_distinct(S.route_key("origin", "destination")).alias("calendar_success"))
-    exp = dims.routes(spark).agg(F.count_if(F.col("origin").isin("LHR", "MAN")
-                                            & F.col("destination").isin("SGN", "HAN", "BKK"))
-                                 .alias("calendar_expected"))
-    # the expected count is one value: a scalar subquery, not a join
-    j = c.withColumn("calendar_expected", exp.scalar())
-    return j.select("day", "calendar_success", "calendar_expected",
-                    (F.col("calendar_success") >= F.col("calendar_expected")).alias("healthy"))
+    i = fx.stored(spark, sf, "itineraries").groupBy(F.col("collected_at").alias("day")).agg(
+        F.count_distinct("origin_code", "dest_code", "search_date").alias("itinerary_success"))
+    # the number of routes is one value: a scalar subquery, not a join
+    routes = dims.routes(spark).agg(F.count(F.lit(1)))
+    j = c.join(i, "day", "full_outer").fillna(0, ["calendar_success", "itinerary_success"])
+    j = j.withColumn("calendar_expected", routes.scalar())
+    j = j.withColumn("itinerary_expected", SEARCHES_PER_ROUTE * F.col("calendar_expected"))
+    healthy = ((F.col("calendar_success") >= F.col("calendar_expected"))
+               & (F.col("itinerary_success") >= ITINERARY_SHARE * F.col("itinerary_expected")))
+    return j.select("day", "calendar_success", "calendar_expected", "itinerary_success", "itinerary_expected",
+                    healthy.alias("healthy"))
 
 
 @register("join_group_mean", f"""select route, departure_date, collected_date, price,

@@ -349,6 +349,7 @@ quantile_cont(price_raw, 0.95) as qp, quantile_cont(duration_minutes, 0.95) as q
 using (origin_code, dest_code, search_date, collected_at)
 where i.price_raw <= q.qp and i.duration_minutes <= q.qm and i.stop_count <= 2"""
 GRP = ["origin_code", "dest_code", "search_date", "collected_at"]
+STOPS = (0, 1, 2)  # what the trim leaves
 
 
 @register("flt_quantile_trim", "select itinerary_id from itin_trim", views=("itineraries", "itin_trim"))
@@ -385,7 +386,7 @@ from itin_trim p where not exists (select 1 from itin_trim q where {_DOM})) wher
 def sky_pareto(spark, sf):
     """Trim, first non-dominated front per search, cheapest 5, hours column."""
     t = IT.quantile_trim(itins(spark, sf), GRP)
-    front = SK.pareto_front(t, GRP)
+    front = SK.pareto_front(t, GRP, levels=STOPS)
     top = IT.top_n(front, 5, [F.col("price_raw"), F.col("itinerary_id")], by=GRP)
     hrs = F.bround(F.col("duration_minutes") / 60 * 10, 0) / 10
     return top.select(*GRP, "price_raw", hrs.alias("duration_hrs"), "stop_count", "carrier_names",
@@ -402,7 +403,7 @@ select itinerary_id, 0 as front from f0 union all select itinerary_id, 1 from f1
 def sky_fronts(spark, sf):
     """The library call returns *all* fronts, only front 0 is used."""
     t = IT.quantile_trim(itins(spark, sf), GRP)
-    return SK.peel_fronts(t, GRP, 3).select("itinerary_id", "front")
+    return SK.peel_fronts(t, GRP, 3, levels=STOPS).select("itinerary_id", "front")
 
 
 # --- sets, projections, links, text ----------------------------------------------------------
@@ -506,7 +507,7 @@ def join_skyline(spark, sf):
     """Dominated itineraries (the theta self-join's answer) without the
     quadratic join: everything not on the first front of its search."""
     t = IT.quantile_trim(itins(spark, sf), GRP)
-    return t.join(SK.pareto_front(t, GRP), ["itinerary_id"], "left_anti").select("itinerary_id")
+    return t.join(SK.pareto_front(t, GRP, levels=STOPS), ["itinerary_id"], "left_anti").select("itinerary_id")
 
 
 @register("snk_deals_json", """select flight_id, price_gbp, ap[1] as out_origin, ap[-1] as out_destination,

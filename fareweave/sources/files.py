@@ -56,20 +56,18 @@ def read_market_csv(spark: SparkSession, path: str, columns: Sequence[str] | Non
     ``Quarter`` come from the folder names (partition discovery)."""
     raw = (spark.read.schema(MARKET_CSV_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    # referencing a data column next to the corrupt-record column is required
-    # by Spark (a query on the corrupt column alone is refused)
-    parsed = F.col(CORRUPT).isNull() & F.col("ItinID").isNotNull()
-    # a rejected line is one where *any* field fails to parse, so the reject
-    # path must make the parser look at every field (CSV column pruning
-    # would otherwise skip the unrequested ones)
+    # a line is good or rejected as a whole, so the parser must look at every
+    # field whatever columns are asked for (CSV column pruning would skip the
+    # unrequested ones); good and rejected lines together are all lines
     every = F.array(*[F.col(n).cast("string") for n, _ in MARKET_FIELDS])
-    bad = F.col(CORRUPT).isNotNull() & (F.size(every) == len(MARKET_FIELDS))
+    parsed = (F.col(CORRUPT).isNull() & F.col("ItinID").isNotNull()
+              & (F.size(every) == len(MARKET_FIELDS)))
     good = drop_phantom(raw.filter(parsed).drop(CORRUPT))
     if columns is not None:
         good = good.select(*[c for c in columns if c in good.columns])
     if not with_rejects:
         return good
-    rejects = raw.filter(bad).select("Year", "Quarter", "ItinID", F.col(CORRUPT).alias("line"))
+    rejects = raw.filter(~parsed).select("Year", "Quarter", "ItinID", F.col(CORRUPT).alias("line"))
     return good, rejects
 
 
@@ -81,13 +79,8 @@ def drop_phantom(df: DataFrame) -> DataFrame:
 def write_quarters_parquet(df: DataFrame, path: str) -> None:
     """Typed Parquet per quarter; only the quarters present in ``df`` are
     replaced (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("Year", "Quarter").option("compression", "snappy").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").partitionBy("Year", "Quarter").option("compression", "snappy")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def quarter_inventory(df: DataFrame, name: str) -> DataFrame:

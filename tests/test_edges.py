@@ -78,6 +78,13 @@ def test_skyline_equals_brute_force(spark, seed):
     assert got == want
 
 
+def test_skyline_reads_stop_counts_from_the_data(spark):
+    df = spark.createDataFrame([("g", 1.0, 1, 0, "a"), ("g", 2.0, 2, 3, "b"), ("g", 0.5, 9, 7, "c")],
+                               "g string, price_raw double, duration_minutes int, stop_count int, itinerary_id string")
+    assert {r.itinerary_id for r in SK.pareto_front(df, ["g"]).collect()} == {"a", "c"}
+    assert SK.pareto_front(df.limit(0), ["g"]).count() == 0
+
+
 def test_skyline_single_and_all_dominated(spark):
     df = spark.createDataFrame([("g", 1.0, 1, 0, "a"), ("g", 2.0, 2, 1, "b"), ("g", 3.0, 3, 2, "c"),
                                 ("h", 5.0, 5, 1, "z")],

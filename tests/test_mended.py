@@ -46,3 +46,22 @@ def test_dates_without_leading_zeros_are_valid(spark):
     from fareweave.operators.validate import _parse_day
     df = spark.createDataFrame([("2024-9-5",), ("2024-09-05",), ("2024-13-01",)], "d string")
     assert [str(r[0]) for r in df.select(_parse_day(F.col("d"))).collect()] == ["2024-09-05", "2024-09-05", "None"]
+
+
+def test_csv_rows_do_not_depend_on_the_columns(spark, tmp_path):
+    """Good and rejected lines together are all lines, whatever columns are asked for."""
+    from fareweave.sources import files
+    folder = tmp_path / "csv" / "Year=1996" / "Quarter=1"
+    folder.mkdir(parents=True)
+    names = [n for n, _ in files.MARKET_FIELDS]
+    good = ["1" if n != "MktID" else "m" for n in names]
+    bad = ["bad" if n == "MktFare" else v for n, v in zip(names, good)]
+    unnamed = ["" if n == "ItinID" else v for n, v in zip(names, good)]
+    lines = [names, good, good, good, bad, unnamed]
+    (folder / "part.csv").write_text("".join(",".join(v) + ",\n" for v in lines))
+    path = str(tmp_path / "csv")
+    for columns in (None, ["MktID"], ["Year", "Quarter"], ["MktID", "MktFare"]):
+        rows = files.read_market_csv(spark, path, columns)
+        assert (len(rows.collect()), rows.count()) == (3, 3), columns
+    rejects = files.read_market_csv(spark, path, with_rejects=True)[1]
+    assert len(rejects.collect()) == 2
