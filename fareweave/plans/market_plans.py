@@ -299,14 +299,11 @@ _CONST_COLS = ["Year", "Quarter", "Origin", "Dest", "MktCoupons", "MktGeoType",
 
 
 @register("flt_constant_columns", "select * from (" + " union all ".join(
-    f"select '{c}' as \"column\", count(distinct {c}) as n_distinct from market "
-    "where Year = 1995 and Quarter = 2 and Origin = 'N05' and Dest = 'N10'" for c in _CONST_COLS)
+    f"select '{c}' as \"column\", count(distinct {c}) as n_distinct from market" for c in _CONST_COLS)
     + ") where n_distinct <= 1", views=("market",))
 def flt_constant_columns(spark, sf):
     """Find constant columns to drop."""
-    m = market(spark, sf).filter((F.col("Year") == 1995) & (F.col("Quarter") == 2)
-                                 & (F.col("Origin") == "N05") & (F.col("Dest") == "N10"))
-    return C.constant_columns(m, _CONST_COLS)
+    return C.constant_columns(market(spark, sf), _CONST_COLS)
 
 
 def _seg_sql(value: str, base: str) -> str:

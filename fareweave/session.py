@@ -42,8 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is; a machine-local temporary folder is only taken when nothing is set
-    (tests, local runs).
+    is; a machine-local temporary folder is only taken when nothing is set and
+    the master is local (tests, local runs). Elsewhere it must be set.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # no SparkContext handle (e.g. a Connect session)
         pass
     if not path:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="fareweave-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     try:

@@ -37,29 +37,28 @@ AIRPORTS = [
 ]
 
 # fixed values: collected routes (origin, destination, origin city, destination
-# city, great-circle miles, notes, active). The reference lists BKK→MAN with
+# city, great-circle miles, active). The reference lists BKK→MAN with
 # the two city names swapped; they are given the right way round here.
 ROUTES = [
-    ("MAN", "SGN", "Manchester", "Ho Chi Minh City", 5940, "No direct. Connects via ME/EU hubs", True),
-    ("MAN", "HAN", "Manchester", "Hanoi", 5590, "No direct. Connects via ME/EU hubs", True),
-    ("MAN", "BKK", "Manchester", "Bangkok", 5890, "No direct. Connects via ME/EU hubs", True),
-    ("SGN", "MAN", "Ho Chi Minh City", "Manchester", 5940, "Return leg", True),
-    ("HAN", "MAN", "Hanoi", "Manchester", 5590, "Return leg", True),
-    ("BKK", "MAN", "Bangkok", "Manchester", 5890, "Return leg", True),
-    ("LHR", "SGN", "London", "Ho Chi Minh City", 5980,
-     "Primary target. VN direct via HAN, plus Emirates/SQ/CA 1-stop", True),
-    ("LHR", "HAN", "London", "Hanoi", 5630, "VN Airlines direct. Also via PEK, CAN, HKG, BKK", True),
-    ("LHR", "BKK", "London", "Bangkok", 5930, "BA/TG/EVA direct. Common connection point for SGN/HAN", True),
-    ("SGN", "LHR", "Ho Chi Minh City", "London", 5980, "Return leg. Pricing often asymmetric", True),
-    ("HAN", "LHR", "Hanoi", "London", 5630, "Return leg", True),
-    ("BKK", "LHR", "Bangkok", "London", 5930, "Return leg", True),
-    ("LHR", "SIN", "London", "Singapore", 6760, "SQ direct. Comparison long-haul route", False),
-    ("LHR", "DAD", "London", "Da Nang", 5770, "Vietnam tourist route. No direct, always connecting", False),
+    ("MAN", "SGN", "Manchester", "Ho Chi Minh City", 5940, True),
+    ("MAN", "HAN", "Manchester", "Hanoi", 5590, True),
+    ("MAN", "BKK", "Manchester", "Bangkok", 5890, True),
+    ("SGN", "MAN", "Ho Chi Minh City", "Manchester", 5940, True),
+    ("HAN", "MAN", "Hanoi", "Manchester", 5590, True),
+    ("BKK", "MAN", "Bangkok", "Manchester", 5890, True),
+    ("LHR", "SGN", "London", "Ho Chi Minh City", 5980, True),
+    ("LHR", "HAN", "London", "Hanoi", 5630, True),
+    ("LHR", "BKK", "London", "Bangkok", 5930, True),
+    ("SGN", "LHR", "Ho Chi Minh City", "London", 5980, True),
+    ("HAN", "LHR", "Hanoi", "London", 5630, True),
+    ("BKK", "LHR", "Bangkok", "London", 5930, True),
+    ("LHR", "SIN", "London", "Singapore", 6760, False),
+    ("LHR", "DAD", "London", "Da Nang", 5770, False),
 ]
 
 AIRPORT_SCHEMA = "code string, lat double, lon double"
 ROUTE_SCHEMA = ("origin string, destination string, origin_city string, dest_city string, "
-                "distance_miles int, notes string, active boolean")
+                "distance_miles int, active boolean")
 
 
 def airports(spark: SparkSession) -> DataFrame:
@@ -88,4 +87,4 @@ def values_sql(rows, names) -> str:
 
 DUCKDB_AIRPORTS = values_sql(AIRPORTS, ["code", "lat", "lon"])
 DUCKDB_ROUTES = values_sql(ROUTES, ["origin", "destination", "origin_city", "dest_city",
-                                    "distance_miles", "notes", "active"]) + " where active"
+                                    "distance_miles", "active"]) + " where active"

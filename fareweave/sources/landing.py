@@ -29,15 +29,13 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
 
 def _input_tag(spark: SparkSession, sf_dir: str) -> str:
     """Identity of the input folder: its path plus name, size and modification
-    time of every file in it, so a landing is redone when the inputs change."""
+    time of every file in it, so a landing is redone when the inputs change.
+    A folder that can't be listed is an error: its landing might be stale."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    try:
-        p = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        for st in sorted(fs.listStatus(p), key=lambda x: x.getPath().getName()):
-            h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
-    except Exception:  # unreadable listing: fall back to the path alone
-        pass
+    p = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in sorted(fs.listStatus(p), key=lambda x: x.getPath().getName()):
+        h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
     return h.hexdigest()[:12]
 
 

@@ -65,3 +65,10 @@ def test_csv_rows_do_not_depend_on_the_columns(spark, tmp_path):
         assert (len(rows.collect()), rows.count()) == (3, 3), columns
     rejects = files.read_market_csv(spark, path, with_rejects=True)[1]
     assert len(rejects.collect()) == 2
+
+
+def test_constant_columns_of_a_whole_table(spark):
+    """One value, or none but nulls, is constant; two values are not."""
+    from fareweave.operators.clean import constant_columns
+    df = spark.createDataFrame([(1, "a", None), (1, "b", None), (1, None, None)], "one int, two string, none string")
+    assert {(r[0], r[1]) for r in constant_columns(df).collect()} == {("one", 1), ("none", 0)}
