@@ -1,11 +1,12 @@
 """Main text of web pages with a site style tree.
 
-The pages of a host are merged by element path (tags with their class, id and role). A path's presentation nodes are
-the shapes (child paths) it has, its content nodes the texts it holds; the importance of a path is the entropy of both
-over the host's distinct pages, normalised by the number of pages: what says the same on every page is not the
-article. A path of low importance is removed from each page with all that lies under it. Elements that HTML itself
-names as something other than the article (navigation, forms, asides, ...) are removed on every host, also where too
-few pages are known to measure entropy.
+All visible elements of a host's pages are merged by element path (tags with their class, id and role). A path's
+presentation nodes are the shapes (child paths) it has, its content nodes the texts it holds; the importance of a path
+is the entropy of both over the host's distinct pages, normalised by the number of pages: what says the same on every
+page is not the article. Paths of hosts with few pages take what the pages of several other hosts say about the same
+path. Names (navigation, forms, ``class=sidebar``, ...) and a place outside the page's <article> or <main> lower the
+importance of a branch unless it holds much of the site's text. A path of low importance is removed from each page with
+all that lies under it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import materialize, small_or_plain
 from .html_tree import Node, Page, parse
@@ -25,6 +27,13 @@ from .html_tree import Node, Page, parse
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.3
 PRESENTATION = 0.2
+#: Hosts that must have a path before it tells something about other hosts, and the pages that this counts as there.
+MIN_HOSTS = 3
+PRIOR_PAGES = 3.0
+#: Weight of a marked or outside branch, and the share of the site's text from which it isn't lowered: outside the
+#: article, marked by name, and both.
+LOWERED = 0.2
+OUTSIDE_SHARE, MARKED_SHARE, BOTH_SHARE = 0.2, 0.5, 0.75
 
 # Elements, names (class, id) and roles that mark what is not the article.
 OTHER_TAGS = set("nav footer aside form button dialog menu head input label fieldset datalist".split())
@@ -34,84 +43,140 @@ OTHER_NAMES = set(
     "cookies disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices pager "
     "pagination popup promo promoted promotion related reply replies respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe toolbar widget widgets".split())
-_PARTS = re.compile(r"[-_\s]+|(?<=[a-z])(?=\d)")
+_NUMBER = re.compile(r"[-_]?\d+$")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
-NODE_SCHEMA = "host string, page long, path long, content long, shape long"
+NODE_SCHEMA = ("host string, page long, path long, content long, shape long, chars long, total long, marked int, "
+               "outside int")
 
 
-def is_other(node: Node, inside_article: bool) -> bool:
-    """Whether an element is by its own name, role or state no part of the article."""
+def is_marked(node: Node, inside_article: bool) -> bool:
+    """Whether an element's tag, role or one of its whole names says that it is no part of the article."""
     if node.tag in OTHER_TAGS or node.tag == "header" and not inside_article:
         return True
     if node.names and node.tag not in ("html", "body", "article", "main") or "comment" in node.names:
-        for name in node.names:
-            if name in OTHER_ROLES or name in OTHER_NAMES or OTHER_NAMES.intersection(_PARTS.split(name)):
-                return True
-    return bool(node.attributes) and bool(_HIDDEN.search(node.attributes))
-
-
-def candidate_blocks(page: Page) -> list[tuple[str, tuple[int, ...]]]:
-    """The blocks outside such elements, with their paths; of the article (else the main part) if the page has one."""
-    kept = []
-    for text, nodes in page.blocks:
-        inside = False
-        for node in nodes:
-            if is_other(node, inside):
-                break
-            inside = inside or node.tag in ("article", "main")
-        else:
-            kept.append((text, nodes))
+        return any(x in OTHER_ROLES or _NUMBER.sub("", x) in OTHER_NAMES for x in node.names)
+    return False
+
+
+def _inner_text(blocks: list[tuple[str, tuple[Node, ...]]], marks: list[int]) -> set[int]:
+    """The paths of the unmarked articles (else of the main parts) and of all elements around them."""
     for wanted in (lambda x: x.tag == "article", lambda x: x.tag == "main" or "main" in x.names):
-        found = [b for b in kept if any(map(wanted, b[1]))]
+        found: set[int] = set()
+        for (_, nodes), mark in zip(blocks, marks):
+            k = next((k for k, x in enumerate(nodes[:mark]) if wanted(x)), None)
+            if k is not None:
+                found.update(x.path for x in nodes[:k + 1])
         if found:
-            kept = found
-            break
-    return [(text, tuple(x.path for x in nodes)) for text, nodes in kept]
+            return found
+    return set()
+
+
+def page_blocks(page: Page) -> tuple[list[tuple[str, tuple[int, ...]]], set[int], set[int], str]:
+    """The visible blocks with their paths, the paths that are marked, the topmost paths outside the article, and the
+    text by which a page is known: the unmarked blocks if they are half of it, so that copies with other
+    navigation are one page. Text directly in an element around the article gets a path of its own."""
+    blocks = [b for b in page.blocks if not any(x.attributes and _HIDDEN.search(x.attributes) for x in b[1])]
+    marks, marked = [], set()
+    for _, nodes in blocks:
+        inside, at = False, len(nodes)
+        for k, node in enumerate(nodes):
+            if is_marked(node, inside):
+                marked.add(node.path)
+                at = min(at, k)
+            inside = inside or node.tag in ("article", "main")
+        marks.append(at)
+    around, outside, kept = _inner_text(blocks, marks), set(), []
+    inner = {p for p in around}
+    for _, nodes in blocks:
+        inner.difference_update(x.path for x, y in zip(nodes, nodes[1:]) if y.path in around)
+    for text, nodes in blocks:
+        paths = tuple(x.path for x in nodes)
+        if around and inner.isdisjoint(paths):
+            if (first := next((p for p in paths if p not in around), None)) is None:
+                first = xxh64_intdigest("#text", paths[-1]) >> 1
+                paths += (first,)
+            outside.add(first)
+        kept.append((text, paths))
+    plain = [text for (text, nodes), k in zip(blocks, marks) if k == len(nodes)]
+    if 2 * sum(map(len, plain)) < sum(len(t) for t, _ in blocks):
+        plain = [t for t, _ in blocks]
+    return kept, marked, outside, "\n".join(plain)
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """One row per host, page and path: digests of the text under the path and of its shape. ``page`` is the digest
-    of the page's own text, so copies of a page count once."""
+    """One row per site, page and path: digests of the text under the path and of its shape, the characters under it
+    and of the whole page. ``page`` is the digest of the page's own text, so copies of a page count once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
         for batch in batches:
             rows = []
             for host, html in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
                 page = parse(html or "")
-                blocks = candidate_blocks(page)
+                blocks, marked, outside, own = page_blocks(page)
                 under: dict[int, list[str]] = {}
                 for text, paths in blocks:
                     for path in set(paths):
                         under.setdefault(path, []).append(text)
-                own = xxh64_intdigest("\n".join(t for t, _ in blocks)) >> 1
+                own = xxh64_intdigest(own) >> 1
+                total = sum(len(t) for t, _ in blocks)
                 for path, texts in under.items():
                     shape = xxh64_intdigest(repr(page.shapes.get(path, []))) >> 1
-                    rows.append((host, own, path, xxh64_intdigest("\n".join(texts)) >> 1, shape))
-            cols = list(zip(*rows)) or [()] * 5
+                    rows.append((host, own, path, xxh64_intdigest("\n".join(texts)) >> 1, shape, sum(map(len, texts)),
+                                 total, path in marked, path in outside))
+            cols = list(zip(*rows)) or [()] * 9
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
+                [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:7]),
+                 *(pa.array(map(int, c), pa.int32()) for c in cols[7:])],
                 [c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
-    return pages.select("host", "html").where("host is not null").mapInArrow(run, NODE_SCHEMA)
+    return pages.select("host", "html").mapInArrow(run, NODE_SCHEMA)
 
 
-def low_paths(nodes: DataFrame, min_pages: int, min_importance: float) -> DataFrame:
-    """``host, path`` of the elements of low importance, by two levels of map-side combined counts."""
-    distinct = nodes.groupBy("host", "page", "path").agg(F.min("content").alias("content"), F.min("shape").alias("shape"))
+def path_importance(nodes: DataFrame) -> DataFrame:
+    """Per host and path: ``pages``, ``importance`` (null of a single page), ``chars``, ``total`` and the shares
+    ``marked`` and ``outside`` of its pages, by two levels of map-side combined counts."""
+    distinct = nodes.groupBy("host", "page", "path").agg(
+        *(F.min(c).alias(c) for c in ("content", "shape", "chars", "total", "marked", "outside")))
     distinct = materialize(distinct, "nodes")
 
-    def entropy(feature: str) -> DataFrame:
-        each = distinct.groupBy("host", "path", feature).agg(F.count("*").alias("n"))
+    def entropy(feature: str, *sums: str) -> DataFrame:
+        each = distinct.groupBy("host", "path", feature).agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in sums))
         return each.groupBy("host", "path").agg(
-            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn")).select(
-            "host", "path", "pages", F.try_divide(
-                F.log("pages") - F.col("nlogn") / F.col("pages"), F.log("pages")).alias(f"{feature}_entropy"))
+            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"),
+            *(F.sum(c).alias(c) for c in sums)).withColumn(f"{feature}_entropy", F.try_divide(
+                F.log("pages") - F.col("nlogn") / F.col("pages"), F.log("pages"))).drop("nlogn")
 
-    both = entropy("content").join(entropy("shape").drop("pages"), ["host", "path"])
-    importance = (1 - PRESENTATION) * F.col("content_entropy") + PRESENTATION * F.col("shape_entropy")
-    return both.where((F.col("pages") >= min_pages) & (importance < min_importance)).select("host", "path")
+    both = entropy("content", "chars", "total", "marked", "outside").join(
+        entropy("shape").drop("pages"), ["host", "path"])
+    return both.select(
+        "host", "path", "pages", "chars", "total", (F.col("marked") / F.col("pages")).alias("marked"),
+        (F.col("outside") / F.col("pages")).alias("outside"),
+        ((1 - PRESENTATION) * F.col("content_entropy") + PRESENTATION * F.col("shape_entropy")).alias("importance"))
+
+
+def low_paths(nodes: DataFrame, min_pages: int, min_importance: float) -> DataFrame:
+    """``host, path`` of the branches of low weighted importance.
+
+    A host with fewer than ``min_pages`` distinct pages mixes its own entropy with that of the hosts that have the
+    path, unless the path holds most of its text; a path that too few hosts know is taken as important there.
+    """
+    known = materialize(path_importance(nodes), "importance")
+    evidence = F.col("pages") - 1
+    prior = known.where("pages > 1").groupBy("path").agg(
+        F.count("*").alias("hosts"), F.sum(evidence).alias("evidence"),
+        (F.sum(evidence * F.col("importance")) / F.sum(evidence)).alias("pooled"),
+        (F.sum("chars") / F.sum("total")).alias("pooled_share")).where(
+            (F.col("hosts") >= MIN_HOSTS) & (F.col("evidence") >= min_pages)).select("path", "pooled", "pooled_share")
+    all_of = known.join(small_or_plain(materialize(prior, "prior")), "path", "left")
+    own_share, few = F.col("chars") / F.col("total"), F.col("pages") < min_pages
+    mixed = (evidence * F.coalesce("importance", F.lit(0.0)) + PRIOR_PAGES * F.col("pooled")) / (evidence + PRIOR_PAGES)
+    importance = F.when(~few, F.col("importance")).when(
+        F.col("pooled").isNotNull() & (own_share < MARKED_SHARE), mixed).otherwise(1.0)
+    share = F.when(few, F.coalesce("pooled_share", own_share)).otherwise(own_share)
+    marked, outside = F.col("marked") >= 0.5, F.col("outside") >= 0.5
+    enough = F.when(marked & outside, BOTH_SHARE).when(marked, MARKED_SHARE).when(outside, OUTSIDE_SHARE).otherwise(0.0)
+    weight = F.when(share < enough, LOWERED).otherwise(1.0)
+    return all_of.where(importance * weight < min_importance).select("host", "path")
 
 
 def host_of(url: str) -> F.Column:
@@ -124,12 +189,13 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
               min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``.
 
-    Null or empty html, and html without text, give an empty text. Pages whose url is null or has no host belong to
-    no site: nothing is removed from them by entropy. Repeated rows give equal results; rows that share an id are
+    Null or empty html, and html without text, give an empty text. Pages whose url is null or has no host are sites of
+    their own. Repeated rows give equal results; rows that share an id are
     told apart by their host. Very long pages are read whole; other columns are not read.
     """
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
-                        host_of(url_col).alias("host"), F.col(html_col).alias("html"))
+                        F.coalesce(host_of(url_col), F.concat(F.lit("#"), F.xxhash64(html_col))).alias("host"),
+                        F.col(html_col).alias("html"))
     low = materialize(low_paths(style_nodes(base), min_pages, min_importance), "low")
     # a host's removed paths are few: template elements that are the same on its pages
     removed = low.groupBy("host").agg(F.collect_list("path").alias("removed"))
@@ -140,7 +206,7 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
             texts = []
             for html, gone in zip(*(batch.column(k).to_pylist() for k in (2, 3))):
                 gone = set(gone or ())
-                texts.append("\n".join(t for t, paths in candidate_blocks(parse(html or "")) if gone.isdisjoint(paths)))
+                texts.append("\n".join(t for t, paths in page_blocks(parse(html or ""))[0] if gone.isdisjoint(paths)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -99,3 +99,22 @@ def test_low_importance_branches_go(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     text = {r.page_id: r.text for r in main_text(df).collect()}
     assert text[7] == "story number 7" and text[50] == "kept: one page tells nothing\nstory"
+
+
+def test_main_text_from_the_whole_page(spark):
+    shell = "<body><div class='page has-sidebar'><div id='content' class='with-comments'>{}</div></div><div class=y>same</div></body>"
+    inner = "<div class='entry-header'>head {k}</div><p>the long story with number {k}</p>"
+    teaser = "<body><article>see also {k}</article><div class=story><p>a long story of many words, number {k}, told outside of it</p></div></body>"
+    wrapped = "<body><form><div class=sidebar><p>all that this page has to say is in here {k}</p></div><nav>go {k}</nav></form></body>"
+    rows = [(k, "http://a.example/p", shell.format(inner.format(k=k))) for k in range(12)]
+    rows += [(100 + k, "http://b.example/p", teaser.format(k=k)) for k in range(12)]
+    rows += [(200 + k, "http://c.example/p", wrapped.format(k=k)) for k in range(12)]
+    # three sites of two pages each know the notice; a fourth has one page only
+    small = "<body><div class=note>accept our terms {h}</div><section><p>what page {k} says at some length</p></section></body>"
+    rows += [(300 + k, f"http://s{k // 2}.example/p", small.format(k=k, h=k // 2)) for k in range(17)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in main_text(df).collect()}
+    assert text[5] == "head 5\nthe long story with number 5"
+    assert "a long story of many words, number 5, told outside of it" in text[105]
+    assert text[205] == "all that this page has to say is in here 5"
+    assert text[316] == "what page 16 says at some length" and text[303] == "what page 3 says at some length"
