@@ -54,3 +54,40 @@ def test_pipeline(spark, con):
     assert set(pieces["doc_id"]) == {r.doc_id for r in texts}
     totals = pieces.groupby("doc_id").agg(got=("length", "sum"), want=("doc_tokens", "first"))
     assert np.array_equal(totals["got"], totals["want"])
+
+
+def test_near_duplicates_of_five_words_and_null_ids(spark):
+    words = [f"w{k}" for k in range(50)]
+    near = " ".join([*words[:25], "other", *words[26:]])
+    alone = " ".join(f"n{k}" for k in range(40))
+    rows = [(1, " ".join(words)), (2, near), (None, " ".join(words)), (None, near), (None, alone), (None, alone),
+            (None, alone + " n40"), (3, ""), (None, None), (4, "far from all of them"), (4, "far from all of them")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    named = sorted(r for r in got if r[0] is not None)
+    assert named == [(1, rows[0][1]), (3, ""), (4, rows[9][1])]
+    unnamed = [r[1] for r in got if r[0] is None]
+    assert len(unnamed) == 2 and None in unnamed and any(t and t.startswith(alone) for t in unnamed)
+
+
+def test_near_duplicates_match_brute_force(spark, con):
+    rows = con.execute("SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL").fetchall()
+    sets = {}
+    for doc, text in rows:
+        w = (text or "").encode().lower().split()
+        n = min(5, len(w))
+        sets[doc] = {tuple(w[k:k + n]) for k in range(len(w) - n + 1)} if w else set()
+    own = {d: d for d in sets}
+    ids = sorted(sets)
+    pairs = [(a, b) for k, a in enumerate(ids) for b in ids[:k]
+             if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in ids:
+        low = {**own}
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+        if low == own:
+            break
+        own = low
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r[0] for r in corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id").collect())
+    assert got == [d for d in ids if own[d] == d]
