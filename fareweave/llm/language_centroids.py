@@ -2,7 +2,8 @@
 
 Texts become normalised TF-IDF vectors of letter trigrams; the vectors of a bounded, documented sample of each
 language are clustered by spherical k-means, and a text takes the language of the centroid with the largest
-cosine. A text farther than the rejection distance from every centroid is rejected.
+cosine. Each centroid has a rejection distance, a low quantile of its own rows; a text farther than that from every
+centroid is rejected.
 """
 
 from __future__ import annotations
@@ -23,8 +24,13 @@ PER_LANGUAGE = 800
 CENTROIDS = 4
 #: Term frequency: the count itself, so that the larger part of a mixed text decides its language.
 TF = np.asarray
-#: A cosine is rejected under this share of the sample's 0.1 % quantile of cosines with the own language.
-REJECT_SHARE = 0.25
+#: A cosine is rejected under this share of the quantile of the cosines of the centroid's own rows.
+REJECT_SHARE, REJECT_QUANTILE = 0.8, 0.01
+#: A centroid of a smaller share of its language's rows is an outlier or a wrong label and lets no text pass; one of
+#: fewer rows takes the quantile of its language.
+CORE_SHARE, CORE_ROWS = 0.02, 30
+#: Short texts have lower cosines: with n trigrams by sqrt(n / (n + SHORT)).
+SHORT = 150
 
 
 @dataclass
@@ -32,7 +38,7 @@ class Centroids:
     idf: np.ndarray
     vectors: np.ndarray
     languages: list[str]
-    min_cosine: float
+    bounds: np.ndarray
 
 
 def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -48,6 +54,24 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c.astype(np.float32)
 
 
+def _reach(sizes: np.ndarray) -> np.ndarray:
+    """How much of a long text's cosine a text of so many trigrams can be expected to have."""
+    return np.sqrt(sizes / (sizes + SHORT))
+
+
+def _bounds(cosines: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The least cosine, over ``_reach``, of each centroid of a language, from the cosines of its sample's rows."""
+    rows = np.bincount(cosines.argmax(axis=1), minlength=cosines.shape[1])
+    core = np.flatnonzero(rows >= min(CORE_SHARE * len(cosines), rows.max()))
+    nearest = core[cosines[:, core].argmax(axis=1)]
+    best = cosines[:, core].max(axis=1) / _reach(sizes)
+    out = np.full(cosines.shape[1], np.inf)
+    for j in core:
+        own = best[nearest == j]
+        out[j] = REJECT_SHARE * np.quantile(own if len(own) >= CORE_ROWS else best, REJECT_QUANTILE)
+    return out
+
+
 def fit_centroids(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Centroids | None:
     """Centroids from rows with text and language; None if there are none. Document frequencies cover all rows."""
@@ -58,15 +82,14 @@ def fit_centroids(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str
     idf = inverse_frequencies(df, n)
     sample, counts = count_rows(bounded_sample(rows, lang_col, id_col, per_language, seed=4), text_col, [lang_col],
                                 letter_counts)
-    vectors, languages, own = [], [], []
+    vectors, languages, bounds = [], [], []
     for lang, at in sample.groupby(lang_col).indices.items():
         x = tf_idf(dense([counts[k] for k in at], BUCKETS), idf, TF)
         c = _clusters(x, centroids)
         vectors.append(c)
         languages += [lang] * len(c)
-        own.append((x @ c.T).max(axis=1))
-    lowest = float(np.quantile(np.concatenate(own), 0.001)) if own else 0.0
-    return Centroids(idf, np.concatenate(vectors), languages, REJECT_SHARE * lowest) if vectors else None
+        bounds.append(_bounds(x @ c.T, np.array([counts[k][1].sum() for k in at])))
+    return Centroids(idf, np.concatenate(vectors), languages, np.concatenate(bounds)) if vectors else None
 
 
 def predict_language(docs: DataFrame, model: Centroids | None, *, id_col: str = "doc_id", text_col: str = "text"
@@ -92,8 +115,9 @@ def predict_language(docs: DataFrame, model: Centroids | None, *, id_col: str =
                     for r, i in enumerate(lettered):
                         x[r] = letter_counts(texts[i])
                     cosines = tf_idf(x, model.idf, TF) @ model.vectors.T
-                    for i, j, s in zip(lettered, cosines.argmax(axis=1), cosines.max(axis=1)):
-                        lang[i], score[i], rejected[i] = model.languages[j], min(max(float(s), 0.0), 1.0), s < model.min_cosine
+                    far = (cosines < model.bounds * _reach(x.sum(axis=1))[:, None]).all(axis=1)
+                    for i, j, s, r in zip(lettered, cosines.argmax(axis=1), cosines.max(axis=1), far):
+                        lang[i], score[i], rejected[i] = model.languages[j], min(max(float(s), 0.0), 1.0), bool(r)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(lang), pa.array(score), pa.array(rejected)],
                     [*names, "lang_pred", "score", "rejected"])

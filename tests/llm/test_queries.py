@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import corpus_pipeline
+from fareweave.llm.common import is_remainder
+from fareweave.llm.language_centroids import fit_centroids, predict_language
 from fareweave.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -91,3 +93,13 @@ def test_near_duplicates_match_brute_force(spark, con):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(r[0] for r in corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id").collect())
     assert got == [d for d in ids if own[d] == d]
+
+
+@pytest.mark.parametrize("out", ["de", "en", "es", "fr"])
+def test_documents_of_a_language_left_out_are_rejected(spark, out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    held_out = is_remainder("doc_id", 4, 2)
+    model = fit_centroids(docs.where(~held_out & (docs["lang"] != out)))
+    got = predict_language(docs.withColumn("held_out", held_out), model).where("lang_pred <> 'und'").toPandas()
+    assert got.loc[got["lang"] == out, "rejected"].mean() > 0.98
+    assert got.loc[(got["lang"] != out) & got["held_out"], "rejected"].mean() < 0.05
