@@ -2,8 +2,9 @@
 
 The reference's fitted boosted-tree artefacts are absent from its checkout,
 so fitting is done with Spark ML (``GBTRegressor`` / ``GBTClassifier`` in a
-``Pipeline``), and serving takes any table of scores. ``baseline_scores`` is
-a transparent stand-in scorer used where a query needs scores without a fit.
+``Pipeline``), and serving scores with the fitted, stored models
+(``fitted_scores``). ``baseline_scores`` is a transparent rule for checking the
+serving post-processing against SQL, where no fitted model can be.
 """
 
 from __future__ import annotations
@@ -35,6 +36,16 @@ def baseline_scores(features: DataFrame) -> DataFrame:
             .withColumn("wait_probability", half_up(p, 4)))
 
 
+def fitted_scores(features: DataFrame, price_model, wait_model) -> DataFrame:
+    """Scores of serving features by the two fitted pipelines: the estimate from
+    the regressor; the classifier also takes the last observed price as ``price``
+    and ``trend`` = lag 1 − lag 7, as at training time."""
+    x = features.withColumn("price", F.col("price_lag1")).withColumn("trend", F.col("price_lag1") - F.col("price_lag7"))
+    priced = price_model.transform(x).drop("features", "route_idx")
+    return wait_probability(wait_model.transform(priced)).drop(
+        "features", "route_idx", "rawPrediction", "probability", "prediction", "price", "trend")
+
+
 def apply_outlook(scored: DataFrame, threshold: float = WAIT_THRESHOLD) -> DataFrame:
     """Action, confidence and rounding exactly as the reference's serving code."""
     p = F.col("wait_probability")
@@ -42,6 +53,7 @@ def apply_outlook(scored: DataFrame, threshold: float = WAIT_THRESHOLD) -> DataF
             .withColumn("confidence", S.confidence(p, threshold))
             .withColumn("wait_threshold", F.lit(threshold))
             .withColumn("confidence_distance", half_up(F.abs(p - F.lit(threshold)), 4))
+            .withColumn("wait_probability", half_up(p, 4))
             .withColumn("estimated_price", half_up("estimated_price", 2))
             .withColumn("last_observed_price", half_up("price_lag1", 2)))
 

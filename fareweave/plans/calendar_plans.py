@@ -352,9 +352,10 @@ def serving_requests(spark, sf) -> DataFrame:
     return r10.unionByName(r3).unionByName(far).distinct()
 
 
-def serving_features(spark, sf) -> DataFrame:
+def serving_features(spark, sf, req: DataFrame | None = None) -> DataFrame:
+    """Features of requests ``route, departure_date, as_of`` (by default the calendar's own)."""
     c = cal_loaded(spark, sf).withColumn("route", S.route_key("origin", "destination"))
-    req = serving_requests(spark, sf)
+    req = serving_requests(spark, sf) if req is None else req
     feats = TS.last_n_features(c, req, keys=("route", "departure_date"), as_of="as_of")
     filled = TS.fill_with_route_average(feats, TS.route_averages(c))
     return (filled.withColumn("days_ahead", F.greatest(F.datediff("departure_date", "as_of"), F.lit(0)))
@@ -391,14 +392,42 @@ def join_route_fallback(spark, sf):
     return f.select("route", "departure_date", "as_of", r4("price_lag1").alias("price_lag1"))
 
 
-@register("ml_score_batch", f"""select route, departure_date, as_of, days_ahead,
+SCORED = ["route", "departure_date", "as_of", "days_ahead", "estimated_price", "last_observed_price", "action",
+          "confidence", "wait_probability", "wait_threshold", "confidence_distance", "has_history"]
+
+
+def scored_requests(spark, sf, req: DataFrame | None = None) -> DataFrame:
+    """Requests scored by the stored models (see ``model_plans``)."""
+    from .model_plans import scored
+    return scored(spark, sf, serving_features(spark, sf, req)).select(*SCORED)
+
+
+@register("ml_score_batch")
+def ml_score_batch(spark, sf):
+    """Every request scored in one job by the stored regressor and classifier (the reference scores one per call)."""
+    return scored_requests(spark, sf)
+
+
+@register("ml_score_batch_requests", f"""select route, departure_date, as_of, days_ahead,
+{_r2sql('price_lag1')} as last_observed_price, 0.45e0 as wait_threshold, has_history, true as scored from serve_filled""",
+          views=SV[:5])
+def ml_score_batch_requests(spark, sf):
+    """What a scored request holds besides its scores, and that each one has scores in range."""
+    s = scored_requests(spark, sf)
+    ok = (F.col("estimated_price") > 0) & F.col("wait_probability").between(0, 1) & (
+        (F.col("wait_probability") >= F.col("wait_threshold")) == (F.col("action") == "Price predicted to drop"))
+    return s.select("route", "departure_date", "as_of", "days_ahead", "last_observed_price", "wait_threshold",
+                    "has_history", F.coalesce(ok, F.lit(False)).alias("scored"))
+
+
+@register("ml_score_baseline", f"""select route, departure_date, as_of, days_ahead,
 {_r2sql('estimated_price_raw')} as estimated_price, {_r2sql('price_lag1')} as last_observed_price,
 case when wait_probability >= 0.45 then 'Price predicted to drop' else 'Price predicted to increase' end as action,
 case when abs(wait_probability - 0.45) > 0.25 then 'High' when abs(wait_probability - 0.45) > 0.10 then 'Medium' else 'Low' end as confidence,
 wait_probability, 0.45e0 as wait_threshold, {_r4sql('abs(wait_probability - 0.45)')} as confidence_distance,
 has_history from serve_scored""", views=SV)
-def ml_score_batch(spark, sf):
-    """Score every request in one job (the reference scores one request per call)."""
+def ml_score_baseline(spark, sf):
+    """The serving post-processing on a fixed rule's scores, so that SQL can check it."""
     s = MD.apply_outlook(MD.baseline_scores(serving_features(spark, sf)))
     return s.select("route", "departure_date", "as_of", "days_ahead", "estimated_price",
                     "last_observed_price", "action", "confidence", "wait_probability", "wait_threshold",
@@ -452,14 +481,75 @@ def best_dates(spark, sf, top_n: int = 5) -> DataFrame:
             .filter(F.col("rank") <= top_n))
 
 
-@register("topk_best_dates", """select b.route, b.departure_date, b.price, cast(b.rank as int) as rank,
+def _outlook_of(rows: DataFrame, scores: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``rows`` with the outlook columns of their score, ``n/a`` where there is none."""
+    j = rows.join(scores.select(*keys, *columns), keys, "left")
+    return j.select(*rows.columns, *[F.coalesce(c, F.lit("n/a")).alias(c) for c in columns])
+
+
+def _best_with_request(spark, sf, days: int) -> DataFrame:
+    return best_dates(spark, sf).withColumn("rank", F.col("rank").cast("int")).withColumn(
+        "as_of", F.date_sub("departure_date", days))
+
+
+REQUEST = ["route", "departure_date", "as_of"]
+
+
+@register("topk_best_dates")
+def topk_best_dates(spark, sf):
+    """Cheapest dates per window request, each with the stored models' outlook 3 days before departure (``n/a``
+    when no score exists)."""
+    b = _best_with_request(spark, sf, 3)
+    s = scored_requests(spark, sf, b.select(*REQUEST))
+    return _outlook_of(b, s, REQUEST, ["action", "confidence"]).drop("as_of")
+
+
+@register("topk_best_dates_ranked", """select route, departure_date, price, cast(rank as int) as rank, true as has_outlook
+from best_dates""", views=CV + ("best_req", "best_dates"))
+def topk_best_dates_ranked(spark, sf):
+    """The dates of ``topk_best_dates`` without the fitted outlook, and that each has one."""
+    t = topk_best_dates(spark, sf)
+    return t.select("route", "departure_date", "price", "rank", (F.col("action") != "n/a").alias("has_outlook"))
+
+
+def journey_outlook(spark, sf) -> DataFrame:
+    """Every stored journey with the outlook of its route and date as of the day it was collected. Each distinct
+    (route, date, day) is scored once, however many journeys share it."""
+    j = fx.stored(spark, sf, "itineraries").select(
+        "itinerary_id", S.route_key("origin_code", "dest_code").alias("route"),
+        F.col("search_date").alias("departure_date"), F.col("collected_at").alias("as_of"), "price_raw")
+    req = j.where(F.col("departure_date").isNotNull() & F.col("as_of").isNotNull()).select(*REQUEST).distinct()
+    return _outlook_of(j, scored_requests(spark, sf, req), REQUEST, ["action", "confidence"])
+
+
+@register("join_scores")
+def join_scores(spark, sf):
+    """Price outlook of the stored models on each best date (10 days before) and each journey, n/a when missing."""
+    b = _best_with_request(spark, sf, 10)
+    dates = _outlook_of(b, scored_requests(spark, sf, b.select(*REQUEST)), REQUEST, ["action"])
+    cols = ["route", "departure_date", "price", "action"]
+    return dates.select(F.lit("date").alias("kind"), F.lit(None).cast("string").alias("itinerary_id"), *cols).union(
+        journey_outlook(spark, sf).select(F.lit("journey"), "itinerary_id", "route", "departure_date",
+                                          F.col("price_raw").alias("price"), "action"))
+
+
+@register("join_scores_rows", """select 'date' as kind, route, departure_date, count(*) as rows, count(*) as scored,
+min(price) as cheapest from best_dates group by all
+union all select 'journey', concat_ws('-', origin_code, dest_code), search_date, count(*), count(*), min(price_raw)
+from itineraries group by all""", views=CV + ("itineraries", "best_req", "best_dates"))
+def join_scores_rows(spark, sf):
+    """Dates and journeys per route and date, all of which have a score."""
+    return join_scores(spark, sf).groupBy("kind", "route", "departure_date").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("action") != "n/a").alias("scored"), F.min("price").alias("cheapest"))
+
+
+@register("topk_best_dates_baseline", """select b.route, b.departure_date, b.price, cast(b.rank as int) as rank,
 coalesce(case when s.wait_probability >= 0.45 then 'Price predicted to drop' else 'Price predicted to increase' end, 'n/a') as action,
 coalesce(case when abs(s.wait_probability - 0.45) > 0.25 then 'High' when abs(s.wait_probability - 0.45) > 0.10 then 'Medium' else 'Low' end, 'n/a') as confidence
 from best_dates b left join serve_scored s on b.route = s.route and b.departure_date = s.departure_date
 and s.as_of = b.departure_date - 3""", views=SV + ("best_req", "best_dates"))
-def topk_best_dates(spark, sf):
-    """Cheapest dates per window request, each with the outlook scored 3 days
-    before departure (``n/a`` when no score exists)."""
+def topk_best_dates_baseline(spark, sf):
+    """``topk_best_dates`` on the fixed rule's scores."""
     b = best_dates(spark, sf)
     s = MD.apply_outlook(MD.baseline_scores(serving_features(spark, sf)))
     s = s.select("route", "departure_date", "as_of", "action", "confidence")
@@ -470,12 +560,12 @@ def topk_best_dates(spark, sf):
                     F.coalesce("confidence", F.lit("n/a")).alias("confidence"))
 
 
-@register("join_scores", """select b.route, b.departure_date, b.price,
+@register("join_scores_baseline", """select b.route, b.departure_date, b.price,
 coalesce(case when s.wait_probability >= 0.45 then 'Price predicted to drop' else 'Price predicted to increase' end, 'n/a') as action
 from best_dates b left join serve_scored s on b.route = s.route and b.departure_date = s.departure_date
 and s.as_of = b.departure_date - 10""", views=SV + ("best_req", "best_dates"))
-def join_scores(spark, sf):
-    """Attach price outlook to each journey / date, n/a when missing."""
+def join_scores_baseline(spark, sf):
+    """``join_scores`` of the best dates on the fixed rule's scores."""
     b = best_dates(spark, sf)
     s = MD.apply_outlook(MD.baseline_scores(serving_features(spark, sf))).select(
         "route", "departure_date", "as_of", "action")

@@ -43,10 +43,8 @@ def landed_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return scratch_path(spark, f"landed_{LANDING_VERSION}_{kind}_{_input_tag(spark, sf_dir)}")
 
 
-def land_once(spark: SparkSession, sf_dir: str, kind: str,
-              write: Callable[[str], None]) -> str:
-    """Run ``write(path)`` unless a completed landing exists; return the path."""
-    path = landed_path(spark, sf_dir, kind)
+def land_at(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Run ``write(path)`` unless a completed landing exists there; return the path."""
     if not _fs_exists(spark, os.path.join(path, "_SUCCESS")) and not _fs_exists(spark, os.path.join(path, "_LANDED")):
         write(path)
         marker = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_LANDED"))
@@ -54,6 +52,12 @@ def land_once(spark: SparkSession, sf_dir: str, kind: str,
     return path
 
 
+def land_once(spark: SparkSession, sf_dir: str, kind: str,
+              write: Callable[[str], None]) -> str:
+    """Run ``write(path)`` once per input folder and kind; return the path."""
+    return land_at(spark, landed_path(spark, sf_dir, kind), write)
+
+
 def land_parquet(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], DataFrame],
                  partition_by: tuple[str, ...] = ()) -> str:
     def write(path: str) -> None:
