@@ -44,16 +44,16 @@ def _r4sql(e: str) -> str:
 def market_quarters(spark: SparkSession, sf: str) -> DataFrame:
     """The typed quarter files (Parquet partitioned by ``Year``/``Quarter``)
     converted from the CSV export; quarter predicates prune directories."""
-    from .source_plans import market_parquet
-    return spark.read.parquet(market_parquet(spark, sf, 9999))
+    from .source_plans import quarter_pipeline
+    return spark.read.parquet(quarter_pipeline(spark, sf).parquet)
 
 
 @register("src_market_quarters", """select MktID, Year, Quarter, MktFare from market
-where ItinID % 997 <> 0 and MktFare > 0 and Passengers > 0 and Year between 1993 and 1995 and Year * 4 + Quarter - 1 between 1993 * 4 + 1 and 1995 * 4 + 2""",
+where ItinID % 997 <> 0 and MktFare > 0 and Passengers > 0 and Year between 1996 and 1998 and Year * 4 + Quarter - 1 between 1996 * 4 + 1 and 1998 * 4 + 2""",
           views=("market",))
 def src_market_quarters(spark, sf):
     """One scan over a quarter range: ``PartitionFilters`` on Year/Quarter."""
-    m = A.quarter_range(market_quarters(spark, sf), (1993, 2), (1995, 3))
+    m = A.quarter_range(market_quarters(spark, sf), (1996, 2), (1998, 3))
     return m.select("MktID", "Year", "Quarter", "MktFare")
 
 

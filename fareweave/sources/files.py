@@ -5,7 +5,8 @@
   comma's phantom column dropped by name;
 * CSV → Parquet partitioned by ``Year``/``Quarter`` with dynamic partition
   overwrite (re-converting a quarter replaces only that quarter);
-* the per-quarter pipeline status, read from what each stage holds.
+* the per-quarter pipeline status from an inventory of what each stage holds
+  (the runs themselves are in ``quarters``).
 """
 
 from __future__ import annotations
@@ -83,11 +84,6 @@ def write_quarters_parquet(df: DataFrame, path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
-def quarter_inventory(df: DataFrame, name: str) -> DataFrame:
-    """(Year, Quarter, rows) of one pipeline stage's table."""
-    return df.groupBy("Year", "Quarter").agg(F.count(F.lit(1)).alias(f"{name}_rows"))
-
-
 def quarter_frame(spark: SparkSession, start: tuple[int, int], end: tuple[int, int]) -> DataFrame:
     """All quarters ``start``..``end`` inclusive (error if reversed)."""
     seq = spark.range(1).select(F.explode(S.quarter_sequence(start, end)).alias("qi"))
@@ -95,21 +91,20 @@ def quarter_frame(spark: SparkSession, start: tuple[int, int], end: tuple[int, i
                       (F.col("qi") % 4 + 1).cast("int").alias("Quarter"))
 
 
-def pipeline_status(quarters: DataFrame, csv_inv: DataFrame, parquet_inv: DataFrame,
-                    processed_inv: DataFrame) -> DataFrame:
-    """Stage and next action per quarter from what each stage holds."""
-    j = (quarters.join(csv_inv, ["Year", "Quarter"], "left")
-         .join(parquet_inv, ["Year", "Quarter"], "left")
-         .join(processed_inv, ["Year", "Quarter"], "left"))
-    has_csv = F.col("csv_rows").isNotNull()
-    has_pq = F.col("parquet_rows").isNotNull()
-    valid = has_pq & (F.col("parquet_rows") > 0)
-    has_proc = F.col("processed_rows").isNotNull()
+def pipeline_status(quarters: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Stage and next action per quarter from the inventory of ``quarters.QuarterPipeline``. A Parquet quarter is
+    valid if its footers hold rows, as many as were committed (where a commit is known)."""
+    j = quarters.join(inventory, ["Year", "Quarter"], "left")
+    has_csv = F.col("csv_bytes").isNotNull()
+    has_pq = F.col("parquet_bytes").isNotNull()
+    rows = F.coalesce("parquet_rows", F.lit(0))
+    valid = has_pq & (rows > 0) & (F.coalesce("committed_rows", rows) == rows)
+    has_proc = F.col("processed_bytes").isNotNull()
     stage = (F.when(has_proc, F.lit("processed")).when(has_pq, F.lit("parquet"))
              .when(has_csv, F.lit("csv")).otherwise(F.lit("not_started")))
-    action = (F.when(has_proc, F.lit("complete")).when(valid, F.lit("process_features"))
+    action = (F.when(has_proc & valid, F.lit("complete")).when(valid, F.lit("process_features"))
               .when(has_pq, F.lit("reconvert")).when(has_csv, F.lit("convert_to_parquet"))
               .otherwise(F.lit("download")))
     return j.select("Year", "Quarter", has_csv.alias("has_csv"), has_pq.alias("has_parquet"),
-                    has_proc.alias("has_processed"), F.coalesce("parquet_rows", F.lit(0)).alias("parquet_rows"),
+                    has_proc.alias("has_processed"), rows.alias("parquet_rows"),
                     valid.alias("parquet_valid"), stage.alias("stage"), action.alias("next_action"))
