@@ -1,6 +1,7 @@
-"""Pareto (skyline) selection over (price, duration, stops), all minimised.
+"""Pareto (skyline) selection: ``pareto_front`` and ``front_numbers`` over (price, duration, stops), all
+minimised, and ``skyline`` over any objectives.
 
-Exact and without a quadratic self-join:
+``pareto_front`` is exact and without a quadratic self-join:
 
 1. rows collapse to one candidate per distinct (group, price, stops) with
    the minimum duration — anything slower at the same price and stops is
@@ -29,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _front_keys(df: DataFrame, group: Sequence[str], price: str, minutes: str, stops: str,
@@ -82,3 +84,136 @@ def peel_fronts(df: DataFrame, group: Sequence[str], k: int, price: str = "price
         out = front if out is None else out.unionByName(front)
         rest = rest.join(keys, on, "left_anti")
     return out
+
+
+# --- any objectives: partitioned skyline --------------------------------------
+
+def skyline(df: DataFrame, group: Sequence[str], objectives: Sequence[str], maximise: Sequence[str] = (),
+            buckets: int = 16) -> DataFrame:
+    """Rows of ``df`` that no row of their group dominates: better or equal in all ``objectives`` (numbers or dates; small
+    is better, but for those in ``maximise``) and better in one. Equal rows all stay; rows with a null or NaN objective
+    can't be compared and are left out; null group keys are a group.
+
+    Rows collapse to distinct points (map side). Each group's points are dealt over ``buckets`` by hash, every bucket
+    finds its own skyline, and what survives is compared once more per group, so a hot group is worked by many tasks
+    and only local survivors meet. Each task reads its points sorted, where a point can only be dominated by one
+    before it, and holds no more than the skyline so far: there is no join of points with points.
+    """
+    group, objectives = list(group), list(objectives)
+    names = [f"_o{k}" for k in range(len(objectives))]
+    keys = [f"_g{k}" for k in range(len(group))]
+
+    def number(c: str):
+        x = F.unix_date(c) if dict(df.dtypes)[c] == "date" else F.col(c)
+        x = x.cast("double")
+        return -x if c in maximise else x
+
+    rows = df.select("*", *[F.col(c).alias(k) for c, k in zip(group, keys)],
+                     *[number(c).alias(n) for c, n in zip(objectives, names)])
+    known = F.lit(True)
+    for n in names:
+        known = known & F.col(n).isNotNull() & ~F.isnan(n)
+    rows = rows.filter(known)
+    one = F.struct(*keys) if keys else F.lit(0)
+    points = rows.select(*keys, *names, F.xxhash64(one).alias("_key")).distinct()
+    points = points.withColumn("_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
+    local = _local_skylines(points, [*keys, "_key", "_bucket"], keys, names)
+    whole = _local_skylines(local.withColumn("_bucket", F.lit(0)), [*keys, "_key", "_bucket"], keys, names)
+    front = whole.drop("_key", "_bucket")
+    on = F.lit(True)
+    for c in [*keys, *names]:
+        on = on & rows[c].eqNullSafe(front[c])
+    return rows.join(front, on, "left_semi").select(*df.columns)
+
+
+def _local_skylines(points: DataFrame, by: Sequence[str], keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The skyline of each ``by`` group of distinct points."""
+    import numpy as np
+    import pyarrow as pa
+
+    names, by = list(names), list(by)
+
+    def run(batches):
+        held, window = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tags = [tuple(r.values()) for r in batch.select(by).to_pylist()]
+            values = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            keep = np.zeros(batch.num_rows, bool)
+            starts = [k for k in range(len(tags)) if not k or tags[k] != tags[k - 1]] + [len(tags)]
+            for a, b in zip(starts, starts[1:]):
+                if tags[a] != held:
+                    held, window = tags[a], np.empty((0, len(names)))
+                for first in range(a, b, 256):  # a block against the skyline so far, then in its own order
+                    block = values[first:min(first + 256, b)]
+                    alive = np.ones(len(block), bool)
+                    for w in range(0, len(window), 4096):
+                        part = window[w:w + 4096]
+                        alive &= ~(part[None, :, :] <= block[:, None, :]).all(axis=2).any(axis=1)
+                    block_at = np.flatnonzero(alive)
+                    inner = block[block_at]
+                    beaten = np.tril((inner[None, :, :] <= inner[:, None, :]).all(axis=2), -1).any(axis=1)
+                    window = np.concatenate([window, inner[~beaten]])
+                    keep[first + block_at[~beaten]] = True
+            yield batch.filter(pa.array(keep))
+
+    dealt = points.repartition(*[c for c in by if c not in keys]).sortWithinPartitions(*by, *names)
+    return dealt.mapInArrow(run, points.schema)
+
+
+# --- the front number of every row ---------------------------------------------
+
+def front_numbers(df: DataFrame, group: Sequence[str], price: str = "price_raw", minutes: str = "duration_minutes",
+                  stops: str = "stop_count") -> DataFrame:
+    """``df`` with ``front``: 0 for the first non-dominated front of its group, 1 for the next, … for every row that
+    has all three objectives (others are left out).
+
+    A row's front is the length of the longest chain of points dominating it. Distinct points of a group are swept in
+    the order (price, minutes, stops), where all that dominate a point come before it. For every stop count the sweep
+    keeps the least minutes of each front among points with no more stops; these rise with the front, so a point's
+    front is found by bisection. A task reads its sorted points as a stream and holds one number per stop count and
+    front, never a group. Points of one group follow each other, so one group is one task's sweep over its distinct
+    points.
+    """
+    from bisect import bisect_right
+
+    import pyarrow as pa
+
+    group = list(group)
+    keys = [f"_g{k}" for k in range(len(group))]
+    known = F.col(price).isNotNull() & F.col(minutes).isNotNull() & F.col(stops).isNotNull()
+    rows = df.filter(known).select("*", *[F.col(c).alias(k) for c, k in zip(group, keys)],
+                                   F.col(price).cast("double").alias("_p"), F.col(minutes).cast("double").alias("_m"),
+                                   F.col(stops).cast("double").alias("_s"))
+    one = F.struct(*keys) if keys else F.lit(0)
+    points = rows.select(*keys, "_p", "_m", "_s", F.xxhash64(one).alias("_key")).distinct()
+    schema = T.StructType([*points.schema.fields, T.StructField("front", T.IntegerType())])
+
+    def run(batches):
+        held, best = None, {}
+        for batch in batches:
+            fronts = []
+            for row in batch.select(["_key", *keys, "_m", "_s"]).to_pylist():
+                *tag, m, s = row.values()
+                if tag != held:
+                    held, best = tag, {}
+                if s not in best:  # as the nearest lower stop count so far has it
+                    lower = [k for k in best if k < s]
+                    best[s] = list(best[max(lower)]) if lower else []
+                front = bisect_right(best[s], m)
+                fronts.append(front)
+                for k, least in best.items():
+                    if k >= s:
+                        if front == len(least):
+                            least.append(m)
+                        elif m < least[front]:
+                            least[front] = m
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fronts, pa.int32())],
+                                             [*batch.schema.names, "front"])
+
+    swept = points.repartition("_key").sortWithinPartitions("_key", *keys, "_p", "_m", "_s").mapInArrow(run, schema)
+    on = F.lit(True)
+    for c in [*keys, "_p", "_m", "_s"]:
+        on = on & rows[c].eqNullSafe(swept[c])
+    return rows.join(swept, on).select(*[rows[c] for c in df.columns], "front")

@@ -13,6 +13,7 @@ from ..operators import skyline as SK
 from ..sources import dims
 from ..sources import fixtures as fx
 from ..sources import responses as RS
+from ..sources.landing import land_parquet
 from .registry import register
 
 
@@ -352,6 +353,12 @@ GRP = ["origin_code", "dest_code", "search_date", "collected_at"]
 STOPS = (0, 1, 2)  # what the trim leaves
 
 
+def trimmed(spark: SparkSession, sf: str) -> DataFrame:
+    """The trimmed candidates, landed once: the skylines read them several times."""
+    path = land_parquet(spark, sf, "itin_trim", lambda: IT.quantile_trim(itins(spark, sf), GRP))
+    return spark.read.parquet(path)
+
+
 @register("flt_quantile_trim", "select itinerary_id from itin_trim", views=("itineraries", "itin_trim"))
 def flt_quantile_trim(spark, sf):
     """Price ≤ p95, duration ≤ p95, stops ≤ 2 — both quantiles over the *unfiltered* group."""
@@ -385,25 +392,37 @@ from itin_trim p where not exists (select 1 from itin_trim q where {_DOM})) wher
           views=("itineraries", "itin_trim"))
 def sky_pareto(spark, sf):
     """Trim, first non-dominated front per search, cheapest 5, hours column."""
-    t = IT.quantile_trim(itins(spark, sf), GRP)
-    front = SK.pareto_front(t, GRP, levels=STOPS)
+    front = SK.pareto_front(trimmed(spark, sf), GRP, levels=STOPS)
     top = IT.top_n(front, 5, [F.col("price_raw"), F.col("itinerary_id")], by=GRP)
     hrs = F.bround(F.col("duration_minutes") / 60 * 10, 0) / 10
     return top.select(*GRP, "price_raw", hrs.alias("duration_hrs"), "stop_count", "carrier_names",
                       "segment_route", "itinerary_id")
 
 
-@register("sky_fronts", f"""with f0 as (select p.* from itin_trim p where not exists (select 1 from itin_trim q where {_DOM})),
-r1 as (select * from itin_trim except all select * from f0),
-f1 as (select p.* from r1 p where not exists (select 1 from r1 q where {_DOM})),
-r2 as (select * from r1 except all select * from f1),
-f2 as (select p.* from r2 p where not exists (select 1 from r2 q where {_DOM}))
-select itinerary_id, 0 as front from f0 union all select itinerary_id, 1 from f1 union all select itinerary_id, 2 from f2""",
-          views=("itineraries", "itin_trim"))
+@register("sky_fronts", f"""with recursive points as (select distinct origin_code, dest_code, search_date, collected_at, price_raw,
+duration_minutes, stop_count from itin_trim),
+n as (select *, row_number() over () as id from points),
+e as (select q.id as a, p.id as b from n p join n q on {_DOM}),
+r(id, front) as (select id, 0 from n union select e.b, r.front + 1 from r join e on e.a = r.id),
+m as (select id, cast(max(front) as int) as front from r group by id)
+select i.itinerary_id, m.front from itin_trim i
+join n using (origin_code, dest_code, search_date, collected_at, price_raw, duration_minutes, stop_count) join m using (id)""", views=("itineraries", "itin_trim"))
 def sky_fronts(spark, sf):
-    """The library call returns *all* fronts, only front 0 is used."""
-    t = IT.quantile_trim(itins(spark, sf), GRP)
-    return SK.peel_fronts(t, GRP, 3, levels=STOPS).select("itinerary_id", "front")
+    """The front number of every trimmed itinerary (the library call returns all fronts)."""
+    return SK.front_numbers(trimmed(spark, sf), GRP).select("itinerary_id", "front")
+
+
+@register("sky_pareto_objectives", """select itinerary_id from itin_trim p where not exists (select 1 from itin_trim q
+where q.price_raw <= p.price_raw and q.duration_minutes <= p.duration_minutes and q.stop_count <= p.stop_count
+and q.search_date >= p.search_date and (q.price_raw < p.price_raw or q.duration_minutes < p.duration_minutes
+or q.stop_count < p.stop_count or q.search_date > p.search_date)
+and q.origin_code = p.origin_code and q.dest_code = p.dest_code and q.collected_at = p.collected_at)""",
+          views=("itineraries", "itin_trim"))
+def sky_pareto_objectives(spark, sf):
+    """Four objectives over all dates of a route's snapshot: price, duration and stops small, departure late."""
+    return SK.skyline(trimmed(spark, sf), ["origin_code", "dest_code", "collected_at"],
+                      ["price_raw", "duration_minutes", "stop_count", "search_date"],
+                      maximise=["search_date"]).select("itinerary_id")
 
 
 # --- sets, projections, links, text ----------------------------------------------------------
@@ -506,7 +525,7 @@ def fn_deal_card(spark, sf):
 def join_skyline(spark, sf):
     """Dominated itineraries (the theta self-join's answer) without the
     quadratic join: everything not on the first front of its search."""
-    t = IT.quantile_trim(itins(spark, sf), GRP)
+    t = trimmed(spark, sf)
     return t.join(SK.pareto_front(t, GRP, levels=STOPS), ["itinerary_id"], "left_anti").select("itinerary_id")
 
 

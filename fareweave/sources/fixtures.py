@@ -173,6 +173,8 @@ def with_views(sql: str, *names: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} as (\n{DUCKDB_VIEWS[n]}\n)" for n in names)
     head = sql.lstrip()
+    if head[:15].lower() == "with recursive ":
+        return f"with recursive {ctes},\n{head[15:]}"
     if head[:5].lower() == "with " or head[:5].lower() == "with\n":
         return f"with {ctes},\n{head[5:]}"
     return f"with {ctes}\n{sql}"

@@ -38,27 +38,35 @@ def snapshot_stream(spark: SparkSession, path: str, schema: T.StructType = CALEN
     return s.withColumn("event_ts", F.col("collected_at").cast("timestamp"))
 
 
-def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
-                      partition_by: tuple[str, ...] = ()) -> None:
-    """Process everything available, then stop. ``complete`` output is
-    rewritten as a whole each batch through ``foreachBatch``."""
+def run_available_now(df: DataFrame, sink: str, checkpoint: str,
+                      partition_by: tuple[str, ...] = ()) -> list:
+    """Process everything available, append the output, then stop; the batches' progress reports."""
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if mode == "complete":
-        def write(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(sink)
-        q = w.outputMode("complete").foreachBatch(write).start()
-    else:
-        w = w.outputMode(mode).format("parquet").option("path", sink)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        q = w.start()
+    w = w.outputMode("append").format("parquet").option("path", sink)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    q = w.start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return q.recentProgress
+
+
+def state_figures(progress: list) -> tuple[int, int]:
+    """(rows that came too late for a stateful operator, most state rows held after a batch)."""
+    ops = [o for p in progress for o in p.stateOperators]
+    return (sum(o.numRowsDroppedByWatermark for o in ops), max((o.numRowsTotal for o in ops), default=0))
+
+
+def land_in_day_order(df: DataFrame, path: str, day_col: str = "collected_date") -> None:
+    """Append one day after the other, as a daily collector does: a file stream takes files by age."""
+    for row in df.select(day_col).distinct().orderBy(day_col).collect():  # one row a collection day
+        append_daily(df.filter(F.col(day_col) == F.lit(row[0])).coalesce(1), path, day_col)
 
 
 def lowest_per_day(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Minimum price per route and collection day (tumbling 1-day windows)."""
+    """Minimum price per route and collection day (tumbling 1-day windows). In append output a day comes out once the
+    watermark has passed its end, and its state goes; rows for a day that is out are late and dropped (and counted)."""
     route = F.concat_ws("-", "origin", "destination")
     return (stream.withWatermark("event_ts", delay)
             .groupBy(F.window("event_ts", "1 day"), route.alias("route"))
