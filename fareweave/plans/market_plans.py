@@ -11,7 +11,9 @@ from ..operators import aggregate as A
 from ..operators import clean as C
 from ..operators import distribution as D
 from ..operators import regression as RG
-from ..operators.sample import exact_sample
+from ..operators import partials as PA
+from ..operators.sample import POPULATION, RANK, exact_sample, load_sample, store_sample
+from ..sources.landing import land_once, land_parquet
 from ..sources import fixtures as fx
 from .registry import register
 
@@ -406,6 +408,38 @@ def agg_batch(spark, sf):
                       "_quarter_count")
 
 
+def market_partials(spark, sf) -> DataFrame:
+    """Partial aggregates per quarter and origin airport, stored once beside the quarters."""
+    def build() -> DataFrame:
+        m = market(spark, sf).filter((F.col("MktDistance") >= 100) & F.col("Origin").isNotNull())
+        return PA.partial_aggregates(m, ["Origin"], ["MktFare", "Passengers"], ["RPCarrier", "Dest", "MktID"])
+    path = land_parquet(spark, sf, "market_partials", build, partition_by=("Year", "Quarter"))
+    return spark.read.parquet(path)
+
+
+@register("agg_batch_stored", f"""select Origin, {_r4sql('avg(MktFare)')} as MktFare_mean, {_r4sql('sum(MktFare)')} as MktFare_sum,
+count(MktFare) as MktFare_count, min(MktFare) as MktFare_min, max(MktFare) as MktFare_max,
+{_r4sql('stddev_samp(MktFare)')} as MktFare_std, sum(Passengers) as Passengers_sum,
+count(distinct Year * 4 + Quarter) as _quarter_count
+from market where Year * 4 + Quarter - 1 between 1996 * 4 + 1 and 1999 * 4 + 2
+and MktDistance >= 100 and Origin is not null group by Origin""", views=("market",))
+def agg_batch_stored(spark, sf):
+    """``agg_batch`` over a range of quarters from their stored partial aggregates."""
+    parts = A.quarter_range(market_partials(spark, sf), (1996, 2), (1999, 3))
+    out = PA.combine_partials(parts, ["Origin"], ["MktFare", "Passengers"])
+    return out.select("Origin", r4("MktFare_mean").alias("MktFare_mean"), r4("MktFare_sum").alias("MktFare_sum"),
+                      "MktFare_count", "MktFare_min", "MktFare_max", r4("MktFare_std").alias("MktFare_std"),
+                      "Passengers_sum", F.col("_unit_count").alias("_quarter_count"))
+
+
+@register("agg_batch_sketches")
+def agg_batch_sketches(spark, sf):
+    """Quartiles of the fare and distinct carriers, destinations and tickets per origin over all quarters, from the
+    stored sketches (errors: ``partials.QUANTILE_ERROR``, ``DISTINCT_ERROR``)."""
+    return PA.combine_partials(market_partials(spark, sf), ["Origin"], ["MktFare"], ["RPCarrier", "Dest", "MktID"],
+                               (0.25, 0.5, 0.75))
+
+
 _PCTS = ", ".join(str(p / 100) for p in D.PERCENTILES)
 
 
@@ -657,6 +691,21 @@ def agg_violin_density(spark, sf):
                     r4("median").alias("median"))
 
 
+@register("agg_violin_kernel", f"""with x as (select concat(cast(Year as varchar), ' Q', cast(Quarter as varchar)) as YearQuarter,
+least(MktFare, 1500.0) as v from market_clean),
+c as (select YearQuarter, greatest(least(floor(v / 15.0), 99), 0) as b, count(*) as c from x group by all),
+s as (select YearQuarter, coalesce(nullif(stddev_samp(v) * pow(count(*), -0.2), 0.0), 15.0) as h from x group by 1),
+d as (select c.YearQuarter, t.bin, sum(c.c * exp(-pow((t.bin - c.b) * 15.0 / h, 2) / 2)) as d
+from c join s using (YearQuarter), (select unnest(range(100)) as bin) t group by all)
+select YearQuarter, cast(bin as int) as bin, (bin + 0.5e0) * 15.0e0 as x, {_r4sql('d / sum(d) over (partition by YearQuarter)')} as share
+from d""", views=MC)
+def agg_violin_kernel(spark, sf):
+    """The violins' outlines: Gaussian kernel density per quarter over 100 bins of the capped fare."""
+    m = market_clean(spark, sf).withColumn("YearQuarter", S.quarter_label("Year", "Quarter"))
+    d = D.kernel_density(m, "MktFare", "YearQuarter", 100, 0.0, 1500.0, upper=1500.0)
+    return d.select("YearQuarter", "bin", "x", r4("share").alias("share"))
+
+
 _PROFILE_COLS = ["MktID", "Origin", "Dest", "MktFare", "Passengers", "MktDistance"]
 
 
@@ -740,6 +789,21 @@ def sample_by_quarter(spark, sf):
     return s.select("MktID", "Year", "Quarter")
 
 
+def stored_sample(spark, sf) -> str:
+    """The 20 % sample per quarter, stored once."""
+    return land_once(spark, sf, "market_sample_20", lambda p: store_sample(
+        market_clean(spark, sf), p, ["Year", "Quarter"], "MktID", 0.2, seed=42))
+
+
+@register("sample_load", f"""select MktID, MktFare, Year, Quarter, {_r4sql('r / n')} as depth from (select MktID, MktFare, Year, Quarter,
+row_number() over (partition by Year, Quarter order by md5(concat_ws('|', MktID, '42')), MktID) as r,
+count(*) over (partition by Year, Quarter) as n from market_clean) where r <= round_even(0.05 * n, 0)""", views=MC)
+def sample_load(spark, sf):
+    """Five of the stored sample's twenty per cent, two of its columns, in its stored hash order."""
+    s = load_sample(spark, stored_sample(spark, sf), ["MktID", "MktFare", "Year", "Quarter", RANK, POPULATION], 0.05)
+    return s.select("MktID", "MktFare", "Year", "Quarter", r4(F.col(RANK) / F.col(POPULATION)).alias("depth"))
+
+
 # --- 2.8 closed-form regressions over the route table ------------------------------
 
 @register("ml_ols_competition", f"""with r as ({ROUTE_COMP_SQL}),
