@@ -109,19 +109,22 @@ def rules_retention(df: DataFrame, rules: Mapping = CLEANING_RULES, **cols) -> D
                           F.try_divide(F.col("rows_after") * 100.0, F.col("rows_before")))
 
 
-def constant_columns(df: DataFrame, columns: Sequence[str] | None = None,
-                     approx: bool = False) -> DataFrame:
-    """Columns with at most one distinct non-null value: (column, n_distinct).
+def column_constancy(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column: ``column, n_values`` (non-null values), ``constant`` (at most one distinct one).
 
-    One aggregation pass computes every column's distinct count; ``approx``
-    swaps in HyperLogLog for bounded memory on very wide/large tables.
+    A column is constant if its least value is its greatest, so one pass of plain minima and maxima over all columns
+    tells it: no distinct values are gathered and no row is expanded. Every column must be orderable.
     """
     columns = list(columns or df.columns)
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    wide = df.agg(*[fn(F.col(c)).cast("bigint").alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    long = wide.selectExpr(f"stack({len(columns)}, {stack}) as (`column`, n_distinct)")
-    return long.filter(F.col("n_distinct") <= 1)
+    wide = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(F.col(c)).alias("n_values"),
+                             F.coalesce(F.min(F.col(c)).eqNullSafe(F.max(F.col(c))), F.lit(True)).alias("constant"))
+                    .alias(f"_{k}") for k, c in enumerate(columns)])
+    return wide.select(F.inline(F.array(*[f"_{k}" for k in range(len(columns))])))
+
+
+def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The columns with at most one distinct non-null value."""
+    return column_constancy(df, columns).filter("constant").select("column")
 
 
 # fixed values: the reference's five fare bands (inclusive ``between``; the

@@ -83,17 +83,18 @@ def _seg_sql(i: int) -> str:
     dep = f"dep0 + {i} * {step} * 60"
     arr = f"dep0 + (({i} + 1) * {step} - case when {i} < nseg - 1 then {_lay_sql(i)} else 0 end) * 60"
     fno = f"cast(100 + (duration_minutes + 37 * {i}) % 900 as varchar)"
-    on = f"{i} < nseg"
-    return (f"case when {on} then ap[{i + 1}] end as seg{i}_origin, case when {on} then ap[{i + 2}] end as seg{i}_dest, "
-            f"case when {on} then {_iso_sql(dep)} end as seg{i}_departure, "
-            f"case when {on} then cast((({arr}) - ({dep})) / 60 as int) end as seg{i}_duration, "
-            f"case when {on} then concat(code0, {fno}) end as seg{i}_flight")
+    values = {"origin": f"ap[{i + 1}]", "dest": f"ap[{i + 2}]", "flight_number": fno,
+              "duration": f"cast((({arr}) - ({dep})) / 60 as int)", "departure": _iso_sql(dep), "arrival": _iso_sql(arr),
+              "marketing_carrier": "carrier0", "marketing_code": "code0", "operating_carrier": "carrier0",
+              "operating_code": "code0", "flight": f"concat(code0, {fno})"}
+    return ", ".join(f"case when {i} < nseg then {values[f]} end as seg{i}_{f}" for f in SEG_FIELDS)
 
 
-_SEG_OUT = [f"seg{i}_{f}" for i in range(4) for f in ("origin", "dest", "departure", "duration", "flight")]
+SEG_FIELDS = [*RS.SEGMENT_FIELDS, "flight"]
+_SEG_OUT = [f"seg{i}_{f}" for i in range(RS.MAX_SEGMENTS) for f in SEG_FIELDS]
 
 
-@register("fn_segment_columns", "select itinerary_id, " + ", ".join(_seg_sql(i) for i in range(4))
+@register("fn_segment_columns", "select itinerary_id, " + ", ".join(_seg_sql(i) for i in range(RS.MAX_SEGMENTS))
           + " from itin_x", views=IX)
 def fn_segment_columns(spark, sf):
     """First 4 segments → seg{i}_* columns (10 fields + flight code)."""
@@ -212,13 +213,16 @@ def topk_deals(spark, sf):
 
 
 @register("agg_deals_summary", f"""select ap[1] as out_origin, ap[-1] as out_destination, count(*) as count,
-min(price_gbp) as cheapest, max(price_gbp) as most_expensive, {_r4sql('avg(price_gbp)')} as average
-from rt_x group by 1, 2""", views=RT)
+min(price_gbp) as cheapest, max(price_gbp) as most_expensive, {_r4sql('avg(price_gbp)')} as average,
+array_to_string(list_transform(list_sort(list({{'p': price_gbp, 'i': flight_id}}))[1:5], lambda x: concat(printf('%.2f', x.p), ' ', x.i)), ', ')
+as cheapest_five from rt_x group by 1, 2""", views=RT)
 def agg_deals_summary(spark, sf):
-    """Count, min, max, mean, cheapest 5."""
-    s = IT.deals_summary(deals(spark, sf), by=["out_origin", "out_destination"])
-    return s.select("out_origin", "out_destination", "count", "cheapest", "most_expensive",
-                    r4("average").alias("average"))
+    """Count, min, max, mean, cheapest 5 (price and flight)."""
+    d = deals(spark, sf)
+    s = IT.deals_summary(d, by=["out_origin", "out_destination"])
+    top = IT.cheapest_list(d.select("out_origin", "out_destination", "price_gbp", "flight_id"), 5, by=["out_origin", "out_destination"])
+    return s.join(top, ["out_origin", "out_destination"]).select(
+        "out_origin", "out_destination", "count", "cheapest", "most_expensive", r4("average").alias("average"), "cheapest_five")
 
 
 @register("fn_deal_line", f"""select out_origin, out_destination, rank, printf('%d. %6s | %-12s | %-10s | %-11s | %d stop(s) | via %s',

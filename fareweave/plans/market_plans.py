@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalar as S
 from ..functions.numeric import r4
@@ -11,9 +12,11 @@ from ..operators import aggregate as A
 from ..operators import clean as C
 from ..operators import distribution as D
 from ..operators import regression as RG
+from ..operators import timeseries as TS
 from ..operators import partials as PA
 from ..operators.sample import POPULATION, RANK, exact_sample, load_sample, store_sample
 from ..sources.landing import land_once, land_parquet
+from ..sources import files as FL
 from ..sources import fixtures as fx
 from .registry import register
 
@@ -297,15 +300,17 @@ def flt_rules_rows(spark, sf):
     return C.apply_rules(market(spark, sf)).select("MktID")
 
 
-_CONST_COLS = ["Year", "Quarter", "Origin", "Dest", "MktCoupons", "MktGeoType", "BulkFare", "RPCarrier"]
+#: All columns of the market view, and those of them and of its cleaned form that are numbers.
+MARKET_COLS = [n for n, _ in FL.MARKET_FIELDS] + ["Year", "Quarter"]
+MARKET_NUMBERS = [n for n, t in FL.MARKET_FIELDS if not isinstance(t, T.StringType)] + ["Year", "Quarter", "FarePerMile"]
 
 
-@register("flt_constant_columns", "select * from (" + " union all ".join(
-    f"select '{c}' as \"column\", count(distinct {c}) as n_distinct from market" for c in _CONST_COLS)
-    + ") where n_distinct <= 1", views=("market",))
+@register("flt_constant_columns", " union all ".join(
+    f"select '{c}' as \"column\", count({c}) as n_values, count(distinct {c}) <= 1 as constant from market"
+    for c in MARKET_COLS), views=("market",))
 def flt_constant_columns(spark, sf):
-    """Find constant columns to drop."""
-    return C.constant_columns(market(spark, sf), _CONST_COLS)
+    """Every column with whether it is constant (to drop)."""
+    return C.column_constancy(market(spark, sf))
 
 
 def _seg_sql(value: str, base: str) -> str:
@@ -593,13 +598,20 @@ row_number() over (order by count(*) desc, TkCarrier) as rnk from market_feat_ba
 where rnk <= 10 union all
 select * from (select 'route' as dim, concat_ws(' -> ', Origin, Dest) as value, count(*) as count,
 row_number() over (order by count(*) desc, concat_ws(' -> ', Origin, Dest)) as rnk from market_feat_base group by 2)
-where rnk <= 10""", views=MF)
+where rnk <= 10 union all
+select 'purchase_window', value, count(*), row_number() over (order by count(*) desc, value) from (
+select case when days < 7 then '0-6 days' when days < 14 then '7-13 days' when days < 21 then '14-20 days' else '21+ days' end as value
+from (select departure_date - cast(collected_at as date) as days from calendar) where days >= 0) group by 2""", views=MF + ("calendar",))
 def agg_top_counts(spark, sf):
-    """Value_counts top 10 (carriers, routes, purchase window)."""
+    """Value_counts top 10 of carriers and routes, and the counts of all advance-purchase windows (of the calendar's
+    observations, as the market view has no purchase date)."""
     b = _feat_base(spark, sf).withColumn("route_arrow", S.route_key("Origin", "Dest", " -> "))
+    days = F.col("days_ahead")
+    window = F.when(days < 7, "0-6 days").when(days < 14, "7-13 days").when(days < 21, "14-20 days").otherwise("21+ days")
+    ahead = TS.with_lead_time(fx.stored(spark, sf, "calendar")).select(window.alias("window"))
     out = None
-    for dim, col in (("TkCarrier", "TkCarrier"), ("route", "route_arrow")):
-        t = A.top_counts(b, col, 10)
+    for rows, dim, col in ((b, "TkCarrier", "TkCarrier"), (b, "route", "route_arrow"), (ahead, "purchase_window", "window")):
+        t = A.top_counts(rows, col, 10)
         t = t.select(F.lit(dim).alias("dim"), F.col(col).alias("value"), "count",
                      F.row_number().over(Window.orderBy(F.col("count").desc(), F.col(col))).cast("bigint").alias("rnk"))
         out = t if out is None else out.unionByName(t)
@@ -706,23 +718,18 @@ def agg_violin_kernel(spark, sf):
     return d.select("YearQuarter", "bin", "x", r4("share").alias("share"))
 
 
-_PROFILE_COLS = ["MktID", "Origin", "Dest", "MktFare", "Passengers", "MktDistance"]
-
-
-@register("agg_table_profile", f"""select count(*) as rows, {len(_PROFILE_COLS)} as columns,
+@register("agg_table_profile", f"""select count(*) as rows, {len(MARKET_COLS)} as columns,
 {_r4sql('avg(MktFare)')} as fare_mean, {_r4sql('median(MktFare)')} as fare_median, min(MktFare) as fare_min,
 max(MktFare) as fare_max, sum(Passengers) as total_passengers,
-{', '.join(f'count(*) filter (where {c} is null) as nulls_{c}' for c in _PROFILE_COLS)},
+{', '.join(f'count(*) filter (where {c} is null) as nulls_{c}' for c in MARKET_COLS)},
 count(*) > 0 as valid from market""", views=("market",))
 def agg_table_profile(spark, sf):
-    """Rows, columns, mean/median/min/max fare, total passengers, null counts; valid = readable, non-empty, has fare."""
-    p = A.table_profile(market(spark, sf).select(*_PROFILE_COLS))
-    return p.select("rows", "columns", r4("fare_mean").alias("fare_mean"),
-                    r4("fare_median").alias("fare_median"), "fare_min", "fare_max", "total_passengers",
-                    *[f"nulls_{c}" for c in _PROFILE_COLS], "valid")
-
-
-_DESC_COLS = ["MktCoupons", "Passengers", "MktFare", "MktDistance", "MktDistanceGroup"]
+    """Rows, columns, mean/median/min/max fare, total passengers, null counts of every column; valid = readable,
+    non-empty, has fare."""
+    m = market(spark, sf)
+    return A.table_profile(m).select(
+        "rows", "columns", r4("fare_mean").alias("fare_mean"), r4("fare_median").alias("fare_median"), "fare_min",
+        "fare_max", "total_passengers", *[f"nulls_{c}" for c in m.columns], "valid")
 
 
 @register("agg_describe", " union all ".join(
@@ -730,10 +737,10 @@ _DESC_COLS = ["MktCoupons", "Passengers", "MktFare", "MktDistance", "MktDistance
 {_r4sql(f'stddev_samp({c})')} as std, cast(min({c}) as double) as min,
 {_r4sql(f'quantile_cont({c}, 0.25)')} as p25, {_r4sql(f'quantile_cont({c}, 0.5)')} as p50,
 {_r4sql(f'quantile_cont({c}, 0.75)')} as p75, cast(max({c}) as double) as max from market_clean"""
-    for c in _DESC_COLS), views=MC)
+    for c in MARKET_NUMBERS), views=MC)
 def agg_describe(spark, sf):
-    """Count/mean/std/min/quartiles/max of all numeric columns."""
-    d = D.describe(market_clean(spark, sf), _DESC_COLS)
+    """Count/mean/std/min/quartiles/max of all numeric columns of the schema."""
+    d = D.describe(market_clean(spark, sf))
     return d.select("column", "count", *[r4(c).alias(c) for c in ("mean", "std")], "min",
                     *[r4(c).alias(c) for c in ("p25", "p50", "p75")], "max")
 

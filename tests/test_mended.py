@@ -69,6 +69,9 @@ def test_csv_rows_do_not_depend_on_the_columns(spark, tmp_path):
 
 def test_constant_columns_of_a_whole_table(spark):
     """One value, or none but nulls, is constant; two values are not."""
-    from fareweave.operators.clean import constant_columns
+    from fareweave.operators.clean import column_constancy, constant_columns
     df = spark.createDataFrame([(1, "a", None), (1, "b", None), (1, None, None)], "one int, two string, none string")
-    assert {(r[0], r[1]) for r in constant_columns(df).collect()} == {("one", 1), ("none", 0)}
+    assert {r[0] for r in constant_columns(df).collect()} == {"one", "none"}
+    assert {tuple(r) for r in column_constancy(df).collect()} == {("one", 3, True), ("two", 2, False), ("none", 0, True)}
+    assert all(r.constant and r.n_values == 0 for r in column_constancy(df.limit(0)).collect())
+    assert "Expand" not in constant_columns(df)._jdf.queryExecution().executedPlan().toString()
