@@ -53,5 +53,6 @@ def combine_partials(parts: DataFrame, by: Sequence[str], values: Sequence[str]
         apart = F.aggregate(f"_{v}_parts", F.lit(0.0), lambda s, p: s + p["n"] * F.pow(p["m"] - mean, 2))
         std = F.sqrt(F.try_divide(F.col(f"_{v}_m2") + apart, F.col(f"{v}_count") - 1))
         cols += [f"{v}_count", f"{v}_sum", mean.alias(f"{v}_mean"), f"{v}_min", f"{v}_max", std.alias(f"{v}_std")]
-        cols += [F.kll_sketch_get_quantile_double(f"_{v}_kll", F.lit(float(q))).alias(f"{v}_q{i}") for i, q in enumerate(qs)]
+        cols += [F.when(F.col(f"{v}_count") > 0, F.kll_sketch_get_quantile_double(f"_{v}_kll", F.lit(float(q)))).alias(
+            f"{v}_q{i}") for i, q in enumerate(qs)]
     return out.select(*cols, *[f"{d}_nunique" for d in distincts])
