@@ -1,6 +1,7 @@
 """Exact Jaccard join of documents on word n-grams by T-occurrence search (DivideSkip), and its components.
 
-1. A document becomes its set of 64-bit n-gram hashes; equal sets are one class, represented by the smallest id.
+1. A document becomes its set of 64-bit n-gram hashes; equal sets are one class, named by a number from the set's
+   digest (checked to be its own), whatever ids its documents have. Ids come back in at the end.
 2. *Routing.* Two sets of sizes a <= b with Jaccard >= t differ in at most H = (a + b)(1 - t)/(1 + t) elements. The
    n-gram universe is cut by a hash into H + 1 + spare parts (H taken for the size class of a): at least
    spare + 1 parts are equal in both sets, so two linked sets share the digest of a non-empty part. A set with
@@ -27,7 +28,7 @@ from math import log2
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, key_groups, materialize, small_or_plain
@@ -136,7 +137,8 @@ def part_digests(grams: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, l
 
 
 def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, digest`` (of the set; null if empty), ``parts`` (digests) and ``shared`` of every document."""
+    """``doc_id, text_key, n_shingles, digest`` (of the set; null if empty), ``parts`` (digests) and ``shared`` of every
+    document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
@@ -154,13 +156,14 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int, percen
                     shared.append(least)
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                    [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts))),
                      pa.array(shared, pa.list_(pa.int32()))],
-                    ["doc_id", "n_shingles", "digest", "parts", "shared"])
+                    ["doc_id", "text_key", "n_shingles", "digest", "parts", "shared"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, parts array<long>, shared array<int>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_key")).mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, digest binary, parts array<long>, shared array<int>")
 
 
 class Inverted:
@@ -227,7 +230,7 @@ class Inverted:
 def _search_cells(rows: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` in cells given as rows ``cell, salt, id, grams, indexed, asks``: one cell part a group.
 
-    The indexed rows of a group are bounded by the salt; the asking rows follow and pass one by one.
+    A group is held whole: its indexed rows, which the salt bounds, and the rows that ask them.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         threshold = Threshold(percent)
@@ -282,32 +285,36 @@ def _rest_links(blocks: DataFrame, components: DataFrame, sets: DataFrame, perce
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                        percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id`` of every row of ``docs``.
+    """``doc_id, n_shingles, component_id, class_id, group_id, text_key`` of every row of ``docs``.
 
     Two documents link when 100 * intersection >= percent * union of their sets of ``words``-grams. ``class_id`` is
-    the smallest id with the same set, ``component_id`` the smallest id reachable by links. Null, empty and
-    wordless texts have no n-gram and are their own class and component. A row with a null id belongs to the
-    class of its text (null if no row with that set has an id). Repeated rows are each returned. Other columns
-    are not read.
+    the smallest id with the same set, ``component_id`` the smallest id reachable by links (null ids are left out of
+    both; null if there is no other). ``group_id`` is one number per component, whatever its ids; ``text_key`` is
+    xxhash64 of the text. Null, empty and wordless texts have no n-gram, are their own class and component and have
+    no group. Rows are told apart by their texts: an id that repeats with other texts is in the component of each of
+    them, and repeated rows are each returned. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(shingle_rows(docs, "doc_id", "text", words, percent), "shingles")
     classes = materialize(rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("rows")), "classes")
-    copies = rows.join(classes.where("rows > 1"), "digest").where(F.col("doc_id") != F.col("class_id")).select("doc_id")
-    copies = materialize(copies, "copies")
-    single = rows.where("n_shingles > 0 and doc_id is not null").join(small_or_plain(copies), "doc_id", "left_anti")
-    parts = single.select(F.col("doc_id").alias("id"), F.explode("parts").alias("cell"))
+        F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.first("shared").alias("shared")), "classes")
+    name = _class_name(classes)
+    classes = classes.withColumn("id", name)
+    several = small_or_plain(classes.where("rows > 1").select("id"))
+    held = rows.where(F.col("digest").isNotNull()).select(name.alias("id"), "parts")
+    one = held.join(several, "id", "left_anti").union(held.join(several, "id", "left_semi").dropDuplicates(["id"]))
+    parts = one.select("id", F.explode("parts").alias("cell"))
     cells = materialize(_met(parts), "met")
-    shared = rows.select(F.col("doc_id").alias("id"), "shared").where("n_shingles > 0")
     # a set that shares too few parts leaves
-    enough = cells.groupBy("id", F.col("cell").bitwiseAND(F.lit(1)).alias("bit")).count().join(shared, "id").where(
+    enough = cells.groupBy("id", F.col("cell").bitwiseAND(F.lit(1)).alias("bit")).count().join(
+        classes.select("id", "shared"), "id").where(
         F.col("count") >= F.get("shared", F.col("bit").cast("int"))).select("id", "bit").distinct()
     cells = materialize(_met(cells.withColumn("bit", F.col("cell").bitwiseAND(F.lit(1))).join(
         enough, ["id", "bit"], "left_semi").select("id", "cell")), "cells")
     pairs = materialize(cells.where(F.col("id") != F.col("centre")).select("id", "centre").distinct(), "pairs")
-    wanted = materialize(cells.select(F.col("id").alias("doc_id")).distinct(), "wanted")
-    sets = materialize(_sets(docs.join(small_or_plain(wanted), "doc_id", "left_semi"), words), "sets")
+    wanted = materialize(cells.select("id").distinct().join(classes, "id").select("class_id").distinct(), "wanted")
+    asked = docs.join(small_or_plain(wanted), F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
+    sets = materialize(_sets(asked, words).select(name.alias("id"), "grams").dropDuplicates(["id"]), "sets")
 
     first = pairs.groupBy("id").agg(F.min("centre").alias("centre"))
     links = materialize(_star_links(first, sets, percent), "links")
@@ -316,14 +323,24 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rest = materialize(_rest_links(blocks, known.withColumnRenamed("node", "id"), sets, percent), "rest")
     known = connected_components(
         rest.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
-    named = classes.join(known, classes["class_id"] == known["node"], "left").select(
-        "digest", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    found = rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    return found.select("doc_id", "n_shingles",
-                        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
-                            "component_id"),
-                        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias(
-                            "class_id"))
+    grouped = classes.join(known, classes["id"] == known["node"], "left").select(
+        "digest", "class_id", F.coalesce("component", "id").alias("group_id"), F.col("component").isNotNull().alias("linked"))
+    least = grouped.where("linked").groupBy("group_id").agg(F.min("class_id").alias("least"))
+    named = grouped.join(small_or_plain(least), "group_id", "left").select(
+        "digest", "class_id", "group_id", F.coalesce("least", "class_id").alias("component_id"))
+    found = rows.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left")
+    alone = F.col("digest").isNull()
+    return found.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "group_id", "text_key")
+
+
+def _class_name(classes: DataFrame) -> Column:
+    """A number for each digest, no two alike: a 64-bit hash, with the first seed that has no collision."""
+    for seed in range(1000):
+        name = F.xxhash64("digest", F.lit(seed))
+        if classes.groupBy(name.alias("id")).count().where("count > 1").isEmpty():
+            return name
+    raise RuntimeError("no seed gives every set a name of its own")
 
 
 def _met(parts: DataFrame) -> DataFrame:
@@ -334,12 +351,15 @@ def _met(parts: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """``id, grams`` (the sorted hashes as bytes), one row an id."""
+    """``digest, grams`` (the sorted hashes as bytes) of the documents that have words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                grams = [shingle_set(t, words).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.binary())], ["id", "grams"])
+                found = [shingle_set(t, words).tobytes() for t in batch.column(0).slice(at, 1000).to_pylist()]
+                grams = [g for g in found if g]
+                yield pa.RecordBatch.from_arrays([pa.array([xxh3_128_digest(g) for g in grams], pa.binary()),
+                                                  pa.array(grams, pa.binary())], ["digest", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, grams binary").dropDuplicates(["id"])
+    return docs.select("text").mapInArrow(run, "digest binary, grams binary")

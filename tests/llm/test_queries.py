@@ -50,8 +50,8 @@ def test_pipeline(spark, con):
         assert docs.columns == columns and 0 < docs.count() <= before
         before = docs.count()
     texts = docs.select("doc_id", "text").collect()
-    sets = [set(zip(*(w[k:] for k in range(4)))) for w in ((r.text or "").encode().lower().split() for r in texts)]
-    assert not any(100 * len(a & b) >= 85 * len(a | b) for k, a in enumerate(sets) for b in sets[:k] if a and b)
+    sets = [set(zip(*(w[k:] for k in range(5)))) for w in ((r.text or "").encode().lower().split() for r in texts)]
+    assert not any(100 * len(a & b) >= 80 * len(a | b) for k, a in enumerate(sets) for b in sets[:k] if a and b)
     pieces = corpus_pipeline.packing(spark, docs, SF).toPandas()
     assert set(pieces["doc_id"]) == {r.doc_id for r in texts}
     totals = pieces.groupby("doc_id").agg(got=("length", "sum"), want=("doc_tokens", "first"))
@@ -72,6 +72,46 @@ def test_near_duplicates_of_five_words_and_null_ids(spark):
     assert len(unnamed) == 2 and None in unnamed and any(t and t.startswith(alone) for t in unnamed)
 
 
+def _ids_with_other_texts():
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    return a, b, [(1, a), (1, b), (2, b + " x"), (3, a + " x"), (2, "c d e f g"), (None, a), (4, None), (1, a), (None, "q r s t u v")]
+
+
+def test_links_of_ids_that_repeat_with_other_texts(spark):
+    from fareweave.llm.overlap_join import jaccard_components
+
+    a, b, rows = _ids_with_other_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_components(docs).select("doc_id", "component_id", "group_id", "n_shingles").collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == sorted(
+        [(1, 1), (1, 1), (2, 1), (3, 1), (2, 2), (None, 1), (4, 4), (1, 1), (None, None)], key=repr)
+    groups = {}
+    for r in got:
+        groups.setdefault(r.group_id, []).append(r.doc_id)
+    assert sorted(map(len, groups.values())) == [1, 1, 1, 2, 4]
+
+
+def test_near_duplicates_keep_other_texts_of_an_id_and_columns_of_any_name(spark):
+    a, b, rows = _ids_with_other_texts()
+    docs = spark.createDataFrame([(*r, "s", k, "p", "key") for k, r in enumerate(rows)],
+                                 "doc_id long, text string, score string, _row int, predicted string, text_key string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=repr) == sorted(
+        [(1, a), (1, b), (2, "c d e f g"), (4, None), (None, "q r s t u v")], key=repr)
+    assert all((r.score, r.predicted, r.text_key) == ("s", "p", "key") for r in got.collect())
+
+
+@pytest.mark.parametrize("stage", ["language", "quality"])
+def test_stages_leave_columns_of_their_own_names_alone(spark, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    wide = docs.selectExpr("*", "'mine' as score", "'mine' as predicted", "'mine' as lang_pred", "7 as rejected")
+    run = dict(corpus_pipeline.STAGES)[stage]
+    got, plain = run(spark, wide, SF), run(spark, docs, SF)
+    assert got.schema == wide.schema and 0 < got.count() == plain.count()
+    assert got.where("score = 'mine' and predicted = 'mine' and lang_pred = 'mine' and rejected = 7").count() == plain.count()
+
+
 def test_near_duplicates_match_brute_force(spark, con):
     rows = con.execute("SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL").fetchall()
     sets = {}
