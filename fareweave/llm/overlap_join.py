@@ -1,7 +1,7 @@
 """Exact Jaccard join of documents on word n-grams by T-occurrence search (DivideSkip), and its components.
 
-1. A document becomes its set of 64-bit n-gram hashes; equal sets are one class, named by a number from the set's
-   digest (checked to be its own), whatever ids its documents have. Ids come back in at the end.
+1. A document becomes its set of 64-bit n-gram hashes; equal sets are one class, named by its smallest id, or by a
+   number from the set's digest where that id also comes with other sets (or is null). Ids come back in at the end.
 2. *Routing.* Two sets of sizes a <= b with Jaccard >= t differ in at most H = (a + b)(1 - t)/(1 + t) elements. The
    n-gram universe is cut by a hash into H + 1 + spare parts (H taken for the size class of a): at least
    spare + 1 parts are equal in both sets, so two linked sets share the digest of a non-empty part. A set with
@@ -296,13 +296,25 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(shingle_rows(docs, "doc_id", "text", words, percent), "shingles")
-    classes = materialize(rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.first("shared").alias("shared")), "classes")
-    name = _class_name(classes)
-    classes = classes.withColumn("id", name)
-    several = small_or_plain(classes.where("rows > 1").select("id"))
-    held = rows.where(F.col("digest").isNotNull()).select(name.alias("id"), "parts")
-    one = held.join(several, "id", "left_anti").union(held.join(several, "id", "left_semi").dropDuplicates(["id"]))
+    # ids whose rows hold different sets, and null: their classes can't be named by id
+    odd = materialize(rows.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"),
+                                                 F.count_if(F.col("digest").isNull()).alias("empty")).where(
+        F.col("doc_id").isNull() | (F.col("low") != F.col("high")) | (F.col("low").isNotNull() & (F.col("empty") > 0))
+    ).select(F.col("doc_id").alias("odd_id")), "odd")
+    odd = small_or_plain(odd)
+    is_odd = F.col("doc_id").eqNullSafe(F.col("odd_id"))
+    classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.first("shared").alias("shared"))
+    classes = materialize(classes.join(odd, F.col("class_id").eqNullSafe(F.col("odd_id")), "left").select(
+        "digest", "class_id", "rows", "shared", (F.col("odd_id").isNotNull() | F.col("class_id").isNull()).alias("odd")), "classes")
+    classes = classes.withColumn("id", _class_name(classes))
+    by_digest = classes.where("odd").select("digest", "id")
+    copies = rows.join(classes.where("rows > 1").select("digest", "class_id"), "digest").where(
+        F.col("doc_id") != F.col("class_id")).select("doc_id")
+    copies = materialize(copies, "copies")
+    plain = rows.where("n_shingles > 0").join(odd, is_odd, "left_anti").join(small_or_plain(copies), "doc_id", "left_anti")
+    named_apart = rows.join(odd, is_odd, "left_semi").join(by_digest, "digest").dropDuplicates(["id"])
+    one = plain.select(F.col("doc_id").alias("id"), "parts").union(named_apart.select("id", "parts"))
     parts = one.select("id", F.explode("parts").alias("cell"))
     cells = materialize(_met(parts), "met")
     # a set that shares too few parts leaves
@@ -312,9 +324,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     cells = materialize(_met(cells.withColumn("bit", F.col("cell").bitwiseAND(F.lit(1))).join(
         enough, ["id", "bit"], "left_semi").select("id", "cell")), "cells")
     pairs = materialize(cells.where(F.col("id") != F.col("centre")).select("id", "centre").distinct(), "pairs")
-    wanted = materialize(cells.select("id").distinct().join(classes, "id").select("class_id").distinct(), "wanted")
-    asked = docs.join(small_or_plain(wanted), F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
-    sets = materialize(_sets(asked, words).select(name.alias("id"), "grams").dropDuplicates(["id"]), "sets")
+    wanted = materialize(cells.select("id").distinct(), "wanted")
+    held = small_or_plain(wanted)
+    asked = docs.join(odd, is_odd, "left_anti").join(held, docs["doc_id"] == held["id"], "left_semi")
+    apart = _sets(docs.join(odd, is_odd, "left_semi"), words).join(by_digest, "digest").join(held, "id", "left_semi")
+    sets = materialize(_sets(asked, words).select(F.col("doc_id").alias("id"), "grams").union(
+        apart.select("id", "grams")).dropDuplicates(["id"]), "sets")
 
     first = pairs.groupBy("id").agg(F.min("centre").alias("centre"))
     links = materialize(_star_links(first, sets, percent), "links")
@@ -335,9 +350,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def _class_name(classes: DataFrame) -> Column:
-    """A number for each digest, no two alike: a 64-bit hash, with the first seed that has no collision."""
+    """A number for each class, no two alike: its smallest id where that names no other set, else a 64-bit hash of its
+    digest, with the first seed that has no collision."""
     for seed in range(1000):
-        name = F.xxhash64("digest", F.lit(seed))
+        name = F.when(F.col("odd"), F.xxhash64("digest", F.lit(seed))).otherwise(F.col("class_id"))
         if classes.groupBy(name.alias("id")).count().where("count > 1").isEmpty():
             return name
     raise RuntimeError("no seed gives every set a name of its own")
@@ -351,15 +367,17 @@ def _met(parts: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """``digest, grams`` (the sorted hashes as bytes) of the documents that have words."""
+    """``doc_id, digest, grams`` (the sorted hashes as bytes) of the documents that have words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                found = [shingle_set(t, words).tobytes() for t in batch.column(0).slice(at, 1000).to_pylist()]
-                grams = [g for g in found if g]
-                yield pa.RecordBatch.from_arrays([pa.array([xxh3_128_digest(g) for g in grams], pa.binary()),
-                                                  pa.array(grams, pa.binary())], ["digest", "grams"])
+                part = batch.slice(at, 1000)
+                grams = [shingle_set(t, words).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([xxh3_128_digest(g) for g in grams], pa.binary()),
+                     pa.array(grams, pa.binary())], ["doc_id", "digest", "grams"])
 
-    return docs.select("text").mapInArrow(run, "digest binary, grams binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, grams binary").where(
+        F.octet_length("grams") > 0)
