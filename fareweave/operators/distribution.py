@@ -213,10 +213,10 @@ def kernel_density(df: DataFrame, value: str, by: str, bins: int, lo: float, hi:
     is ``bins`` counts, whatever its size, and the convolution is ``bins²`` products. The bandwidth is Scott's,
     σ·n^(−1/5), from the group's own values; a group without spread is one bin wide.
     """
-    v = F.col(value).cast("double")
-    v = F.least(v, F.lit(float(upper))) if upper is not None else v
+    given = F.col(value).cast("double")
+    v = F.least(given, F.lit(float(upper))) if upper is not None else given
     width = (hi - lo) / bins
-    rows = df.filter(v.isNotNull() & F.col(by).isNotNull()).select(by, v.alias("_v"))
+    rows = df.filter(given.isNotNull() & F.col(by).isNotNull()).select(by, v.alias("_v"))
     rows = rows.withColumn("_bin", F.greatest(F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1)), F.lit(0)))
     counts = rows.groupBy(by, "_bin").agg(F.count(F.lit(1)).alias("_c"))
     spread = rows.groupBy(by).agg(F.stddev_samp("_v").alias("_s"), F.count(F.lit(1)).alias("_n"))
