@@ -1,7 +1,7 @@
 """Exact Jaccard join of documents on word n-grams by T-occurrence search (DivideSkip), and its components.
 
 1. A document becomes its set of 64-bit n-gram hashes; equal sets are one class, named by its smallest id, or by a
-   number from the set's digest where that id also comes with other sets (or is null). Ids come back in at the end.
+   number from the set's digest where that id has several rows (or is null). Ids come back in at the end.
 2. *Routing.* Two sets of sizes a <= b with Jaccard >= t differ in at most H = (a + b)(1 - t)/(1 + t) elements. The
    n-gram universe is cut by a hash into H + 1 + spare parts (H taken for the size class of a): at least
    spare + 1 parts are equal in both sets, so two linked sets share the digest of a non-empty part. A set with
@@ -296,11 +296,9 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(shingle_rows(docs, "doc_id", "text", words, percent), "shingles")
-    # ids whose rows hold different sets, and null: their classes can't be named by id
-    odd = materialize(rows.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"),
-                                                 F.count_if(F.col("digest").isNull()).alias("empty")).where(
-        F.col("doc_id").isNull() | (F.col("low") != F.col("high")) | (F.col("low").isNotNull() & (F.col("empty") > 0))
-    ).select(F.col("doc_id").alias("odd_id")), "odd")
+    # ids of several rows, which may hold different sets, and null: no class is named by them
+    odd = materialize(rows.groupBy("doc_id").count().where(F.col("doc_id").isNull() | (F.col("count") > 1)).select(
+        F.col("doc_id").alias("odd_id")), "odd")
     odd = small_or_plain(odd)
     is_odd = F.col("doc_id").eqNullSafe(F.col("odd_id"))
     classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
@@ -329,7 +327,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     asked = docs.join(odd, is_odd, "left_anti").join(held, docs["doc_id"] == held["id"], "left_semi")
     apart = _sets(docs.join(odd, is_odd, "left_semi"), words).join(by_digest, "digest").join(held, "id", "left_semi")
     sets = materialize(_sets(asked, words).select(F.col("doc_id").alias("id"), "grams").union(
-        apart.select("id", "grams")).dropDuplicates(["id"]), "sets")
+        apart.select("id", "grams").dropDuplicates(["id"])), "sets")
 
     first = pairs.groupBy("id").agg(F.min("centre").alias("centre"))
     links = materialize(_star_links(first, sets, percent), "links")
@@ -350,7 +348,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def _class_name(classes: DataFrame) -> Column:
-    """A number for each class, no two alike: its smallest id where that names no other set, else a 64-bit hash of its
+    """A number for each class, no two alike: its smallest id where that has one row, else a 64-bit hash of its
     digest, with the first seed that has no collision."""
     for seed in range(1000):
         name = F.when(F.col("odd"), F.xxhash64("digest", F.lit(seed))).otherwise(F.col("class_id"))
