@@ -24,7 +24,6 @@ def _vectors(seed, n=300, d=6):
 
 @pytest.mark.parametrize("cell,block", [(4096, 2048), (40, 16)])
 def test_range_join_matches_brute_force(spark, monkeypatch, cell, block):
-    monkeypatch.setattr(metric_range_join, "CELL_ROWS", cell)
     monkeypatch.setattr(metric_range_join, "BLOCK_ROWS", block)
     rows = _vectors(1)
     x = np.array([v for _, v in rows])
@@ -35,12 +34,55 @@ def test_range_join_matches_brute_force(spark, monkeypatch, cell, block):
     for _ in rows:
         label = np.array([min([label[i], *label[hit[i]]]) for i in range(len(rows))])
     df = spark.createDataFrame(rows + EDGES, "vec_id long, embedding array<float>").selectExpr("*", "1 as n_links", "2 as id")
-    got = {r.vec_id: tuple(r)[1:] for r in range_join(df).collect()}
+    got = {r.vec_id: tuple(r)[1:] for r in range_join(df, cell_rows=cell).collect()}
     assert {k: got[k] for k, _ in rows} == {
         k: (int(hit[k].sum()), int(label[k]), bool(label[k] == k)) for k, _ in rows}
     assert all(got[k] == (0, k, True) for k, _ in EDGES if k is not None) and got[None] == (0, None, False)
 
 
+def _links(rows, c=0.9):
+    """Links and component of each row by loops; a row is a vertex, whatever its id."""
+    u = [[x / max(map(abs, v)) for x in v] for _, v in rows]
+    u = [np.array(v) / np.linalg.norm(v) for v in u]
+    to = [[j for j in range(len(rows)) if j != i and u[i] @ u[j] >= c] for i in range(len(rows))]
+    label = [k for k, _ in rows]
+    for _ in rows:
+        label = [min([label[i], *(label[j] for j in to[i])]) for i in range(len(rows))]
+    return sorted((k, len(to[i]), label[i], label[i] == k) for i, (k, _) in enumerate(rows))
+
+
+def test_range_join_ids_that_repeat_with_other_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [1.0, 0.02]), (4, [0.01, 1.0]), (5, [1.0, 0.0]),
+            (5, [-1.0, 0.5]), (6, [-1.0, 0.5]), (0, [-1.0, 0.51]), (7, [-1.0, -1.0]), (7, [-1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in range_join(df).collect()) == _links(rows)
+
+
+def test_range_join_very_large_and_small_components(spark):
+    rows = [(1, [1e200, 0.4843e200]), (2, [1e200, 0.0]), (3, [1e-200, 0.0]), (4, [5e-324, 0.0]), (5, [0.0, 1e300]),
+            (6, [1.7e308, 1.7e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in range_join(df).collect()) == _links(rows)
+
+
+def test_spanning_links_connect_what_a_block_connects():
+    rng = np.random.default_rng(5)
+    for share in (0.02, 0.1, 0.9):
+        hit = rng.random((40, 30)) < share
+        left, right = np.arange(40), np.arange(100, 130)
+        a, b = metric_range_join._spanning(hit, left, right)
+        assert len(a) < 70 and all(hit[i, j - 100] for i, j in zip(a, b))
+
+        def groups(pairs):
+            name = {x: x for x in [*left, *right]}
+            for _ in name:
+                for i, j in pairs:
+                    name[i] = name[j] = min(name[i], name[j])
+            return name
+
+        assert groups(list(zip(a, b))) == groups([(i, j + 100) for i, j in zip(*np.nonzero(hit))])
+
+
 def test_range_join_empty(spark):
     assert range_join(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
