@@ -64,6 +64,20 @@ def key_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tup
         yield held_key, pd.concat(held, ignore_index=True)
 
 
+def key_pieces(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Consecutive rows of one key within a batch, of a partition that is sorted by ``keys``: a large group comes in
+    several pieces, so that no more than a batch is held."""
+    for batch in batches:
+        if batch.empty:
+            continue
+        batch = batch.reset_index(drop=True)
+        changed = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
+        changed[0] = True
+        starts = changed.nonzero()[0].tolist() + [len(batch)]
+        for a, b in zip(starts, starts[1:]):
+            yield tuple(batch[k].iat[a] for k in keys), batch.iloc[a:b]
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``(node, component)`` for every end of ``edges``: the smallest node reachable.
 

@@ -87,14 +87,14 @@ def test_range_join_empty(spark):
     assert range_join(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-@pytest.mark.parametrize("part", [4096, 20])
-def test_top_inner_products_match_brute_force(spark, monkeypatch, part):
-    monkeypatch.setattr(pivot_topk, "PART_ROWS", part)
+@pytest.mark.parametrize("pivots,cell,part,share", [(256, 4096, 4096, 4096), (256, 20, 8, 3), (2, 20, 8, 4096)])
+def test_top_inner_products_match_brute_force(spark, monkeypatch, pivots, cell, part, share):
     monkeypatch.setattr(pivot_topk, "STEP", 8)
+    monkeypatch.setattr(pivot_topk, "VISIT_ROWS", share)
     rows = _vectors(2)
     df = spark.createDataFrame(rows + EDGES, "vec_id long, embedding array<float>").selectExpr("*", "1 as score", "2 as rank")
     got = {}
-    for r in top_inner_products(df, df.where("vec_id % 20 = 0")).collect():
+    for r in top_inner_products(df, df.where("vec_id % 20 = 0"), max_pivots=pivots, cell_rows=cell, part_rows=part).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     z = {k: np.floor(1024 * np.array(v)) for k, v in rows}
     for q in range(0, len(rows), 20):
@@ -103,6 +103,41 @@ def test_top_inner_products_match_brute_force(spark, monkeypatch, part):
     assert set(got) == set(range(0, len(rows), 20))
 
 
+def _counted(monkeypatch):
+    """The numbers of visits of each round."""
+    counts, plan = [], pivot_topk._plan
+
+    def counting(*args):
+        out = plan(*args)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(pivot_topk, "_plan", counting)
+    return counts
+
+
+def test_rings_that_the_bound_excludes_are_not_visited(spark, monkeypatch):
+    counts = _counted(monkeypatch)
+    rng = np.random.default_rng(3)
+    angle = rng.random(2000) * 3.1
+    rows = [(k, [float(np.cos(a)), float(np.sin(a))]) for k, a in enumerate(angle)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_inner_products(df, df.where("vec_id % 20 = 0"), max_pivots=1, part_rows=50).count()
+    assert got == 1000 and counts[0] == 100 and sum(counts) < 100 * 40 / 4  # 40 rings of one pivot
+
+
+def test_ties_at_one_distance_are_cut_by_hash(spark, monkeypatch):
+    counts = _counted(monkeypatch)
+    rows = [(k, [1.0, 0.0]) for k in range(300)] + [(k, [0.0, 0.5]) for k in range(300, 340)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in top_inner_products(df, df.where("vec_id % 20 = 0"), part_rows=10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 300, 20):
+        assert sorted(got[q]) == list(enumerate([k for k in range(12) if k != q][:10], 1))
+    assert sorted(got[300]) == list(enumerate(range(301, 311), 1)) and counts[1] > 17
+
+
 def test_top_inner_products_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 0.0]), (20, [1.0])], "vec_id long, embedding array<float>")
     got = sorted(tuple(r) for r in top_inner_products(df, df.where("vec_id % 20 = 0")).collect())
