@@ -44,7 +44,7 @@ class Annuli:
         self.ids, self.rows, self.distance, self.longest = ids[order], rows[order], distance[order], longest
 
     def search(self, own: int, query: np.ndarray, at: float, k: int, bound: float) -> list[tuple[int, int]]:
-        """The best ``(score, id)`` for ``query``, whose distance to the pivot is ``at``, if they can reach ``bound``."""
+        """The best ``(score, id)`` for ``query``, whose distance to the pivot is ``at``, of those that reach ``bound``."""
         square = float(query @ query) + self.longest
         best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
         low = high = int(np.searchsorted(self.distance, at))
@@ -53,7 +53,7 @@ class Annuli:
             down = low > 0 and at - self.distance[low - 1] <= reach
             up = high < len(self.ids) and self.distance[high] - at <= reach
             if not down and not up:
-                return [(int(s), int(i)) for s, i in zip(best_s, best_i)]
+                return [(int(s), int(i)) for s, i in zip(best_s, best_i) if s >= bound]
             if down and (not up or at - self.distance[low - 1] <= self.distance[high] - at):
                 a, b = max(0, low - STEP), low
                 low = a
