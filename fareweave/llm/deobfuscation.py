@@ -1,7 +1,10 @@
 """Toxicity of restored text: obfuscated words are decoded under a character model, then scored.
 
-The character model counts 4-grams over all documents. A word with one reading is taken as it is; words written with
-leet characters, separators, repetition or spaces between their letters are decoded by Viterbi. Words and word
+The character model counts 4-grams over all documents. Letters without a doubled one have one reading; all other
+tokens that can hold a word, and runs of neighbouring tokens of up to three characters with any white space between
+them, are decoded by Viterbi without a beam. The restored words count beside the words as they are written. When
+texts are scored, a token is decoded only if evidence can come out of its lattice (an exact test on letters that are
+folded, see ``folded``). Words and word
 beginnings that tell toxic from other labelled texts are learned from a bounded, documented sample by greedy cover:
 the one that explains the most of what toxic texts have left to explain is taken next, so words that merely occur
 together with toxic ones are not. The score is the posterior of the evidence in a text.
@@ -9,7 +12,7 @@ together with toxic ones are not. The score is the posterior of the evidence in
 
 from __future__ import annotations
 
-from collections import Counter
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .char_lattice import (GRAMS, CharModel, Decoder, count_grams, needs_decoding, plain_words, spaced_runs)
+from .char_lattice import (GRAMS, SHORT, CharModel, Decoder, count_grams, folded, has_pair, needs_decoding,
+                           plain_words, short_runs)
 from .features import bounded_sample
 
 #: Labelled rows per class that evidence is learned from.
@@ -68,16 +72,23 @@ def char_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 class Reader:
     """The restored words of texts; each distinct token is read once while it stays in the cache."""
 
-    def __init__(self, cost: np.ndarray, value) -> None:
+    def __init__(self, cost: np.ndarray, value, wanted: list[str] | None = None) -> None:
+        """With ``wanted`` (words or their beginnings) only tokens that can hold one of them are decoded."""
         self.decoder, self.value = Decoder(cost.reshape(-1)), value
         self.tokens: dict[str, object] = {}
+        self.able = None
+        if wanted is not None:
+            stems = sorted({f for w in wanted if (f := folded(w))})
+            self.able = re.compile("|".join(map(re.escape, stems)) or r"(?!)")
+
+    def decoded(self, core: str) -> list[str]:
+        if self.able is not None and not self.able.search(folded(core)) and not has_pair(core):
+            return []
+        return self.decoder.decode(core).split()
 
     def words(self, token: str) -> list[str]:
-        found = plain_words(token)
-        if found is None:
-            core = needs_decoding(token)
-            found = self.decoder.decode(core).split() + [w for w in (plain_words(p) or [] for p in (token, core)) for w in w]
-        return found
+        core = needs_decoding(token)
+        return plain_words(token) + (self.decoded(core) if core else [])
 
     def __call__(self, text: str | None) -> list:
         """``value(words)`` of every distinct token of the text, without the empty ones."""
@@ -87,21 +98,24 @@ class Reader:
             self.tokens.clear()
         text = text.lower()
         known, out = self.tokens, []
-        for token in set(text.split()).union(spaced_runs(text)):
+        for token in set(text.split()):
             try:
                 v = known[token]
             except KeyError:
                 v = known[token] = self.value(self.words(token))
             if v:
                 out.append(v)
+        for run in set(short_runs(text)):
+            if v := self.value([w for w in self.decoded(run) if len(w) > SHORT]):  # shorter words are tokens already
+                out.append(v)
         return out
 
 
-def _reader(key: str, cost: np.ndarray, value) -> Reader:
+def _reader(key: str, cost: np.ndarray, value, wanted: list[str]) -> Reader:
     """The worker's own reader for a model, kept between tasks."""
     if key not in _READERS:
         _READERS.clear()
-        _READERS[key] = Reader(cost, value)
+        _READERS[key] = Reader(cost, value, wanted)
     return _READERS[key]
 
 
@@ -187,7 +201,7 @@ def score_toxicity(docs: DataFrame, cost: np.ndarray, evidence: Evidence, *, id_
         return max((weights.get(f, 0.0) for f in _features(words)), default=0.0) if words else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = _reader(key, shared.value, value)
+        read = _reader(key, shared.value, value, [f.rstrip("*") for f in weights])
         for batch in batches:
             found = [read(t) for t in batch.column(1).to_pylist()]
             total = np.array([sum(f) if f else evidence.without for f in found])
