@@ -24,7 +24,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table of ``materialize`` from the shared folder once no plan that is still to run reads it."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remainder(id_col: str, n: int) -> Column:
@@ -98,7 +106,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             small_low.select("u", F.col("m").alias("v")))
-        pairs = materialize(small.where(F.col("u") != F.col("v")).distinct(), "cc")
+        last, pairs = pairs, materialize(small.where(F.col("u") != F.col("v")).distinct(), "cc")
+        discard(last)
         after = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if after == before:
             break

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import materialize, small_or_plain
+from .common import discard, materialize, small_or_plain
 from .html_tree import Node, Page, parse
 
 #: Distinct pages of a host from which entropy says something, the importance below which a path is removed, and
@@ -30,6 +30,9 @@ PRESENTATION = 0.2
 #: Hosts that must have a path before it tells something about other hosts, and the pages that this counts as there.
 MIN_HOSTS = 3
 PRIOR_PAGES = 3.0
+#: A path on at least one of so many pages of its host belongs to the host's template: a host has at most so many times
+#: the paths of a mean page of these. Other paths are looked up page by page.
+TEMPLATE_PAGES = 64
 #: Weight of a marked or outside branch, and the share of the site's text from which it isn't lowered: outside the
 #: article, marked by name, and both.
 LOWERED = 0.2
@@ -46,7 +49,7 @@ OTHER_NAMES = set(
 _NUMBER = re.compile(r"[-_]?\d+$")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
-NODE_SCHEMA = ("host string, page long, path long, content long, shape long, chars long, total long, marked int, "
+NODE_SCHEMA = ("host string, copy long, page long, path long, content long, shape long, chars long, total long, marked int, "
                "outside int")
 
 
@@ -105,12 +108,13 @@ def page_blocks(page: Page) -> tuple[list[tuple[str, tuple[int, ...]]], set[int]
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """One row per site, page and path: digests of the text under the path and of its shape, the characters under it
-    and of the whole page. ``page`` is the digest of the page's own text, so copies of a page count once."""
+    """One row per row of ``pages (host, copy, html)`` and path: digests of the text under the path and of its shape, the
+    characters under it and of the whole page. ``page`` is the digest of the page's own text, so copies of a page count
+    once; ``copy`` is passed on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for host, html in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
+            for host, copy, html in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2))):
                 page = parse(html or "")
                 blocks, marked, outside, own = page_blocks(page)
                 under: dict[int, list[str]] = {}
@@ -121,15 +125,15 @@ def style_nodes(pages: DataFrame) -> DataFrame:
                 total = sum(len(t) for t, _ in blocks)
                 for path, texts in under.items():
                     shape = xxh64_intdigest(repr(page.shapes.get(path, []))) >> 1
-                    rows.append((host, own, path, xxh64_intdigest("\n".join(texts)) >> 1, shape, sum(map(len, texts)),
+                    rows.append((host, copy, own, path, xxh64_intdigest("\n".join(texts)) >> 1, shape, sum(map(len, texts)),
                                  total, path in marked, path in outside))
-            cols = list(zip(*rows)) or [()] * 9
+            cols = list(zip(*rows)) or [()] * 10
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:7]),
-                 *(pa.array(map(int, c), pa.int32()) for c in cols[7:])],
+                [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:8]),
+                 *(pa.array(map(int, c), pa.int32()) for c in cols[8:])],
                 [c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
-    return pages.select("host", "html").mapInArrow(run, NODE_SCHEMA)
+    return pages.select("host", "copy", "html").mapInArrow(run, NODE_SCHEMA)
 
 
 def path_importance(nodes: DataFrame) -> DataFrame:
@@ -155,7 +159,7 @@ def path_importance(nodes: DataFrame) -> DataFrame:
 
 
 def low_paths(nodes: DataFrame, min_pages: int, min_importance: float) -> DataFrame:
-    """``host, path`` of the branches of low weighted importance.
+    """``host, path, pages`` of the branches of low weighted importance; ``pages`` have the path.
 
     A host with fewer than ``min_pages`` distinct pages mixes its own entropy with that of the hosts that have the
     path, unless the path holds most of its text; a path that too few hosts know is taken as important there.
@@ -176,7 +180,21 @@ def low_paths(nodes: DataFrame, min_pages: int, min_importance: float) -> DataFr
     marked, outside = F.col("marked") >= 0.5, F.col("outside") >= 0.5
     enough = F.when(marked & outside, BOTH_SHARE).when(marked, MARKED_SHARE).when(outside, OUTSIDE_SHARE).otherwise(0.0)
     weight = F.when(share < enough, LOWERED).otherwise(1.0)
-    return all_of.where(importance * weight < min_importance).select("host", "path")
+    return all_of.where(importance * weight < min_importance).select("host", "path", "pages")
+
+
+def removed_paths(nodes: DataFrame, low: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The low paths of each host's template as one list a host (``host, template``), and those of the other low paths
+    that a page has as one list a page (``host, copy, rare``). The first is bounded by ``TEMPLATE_PAGES``, the second
+    by the page's own paths; both are marked for broadcast by the number of paths in them."""
+    pages = nodes.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
+    low = materialize(low.join(pages, "host").select(
+        "host", "path", (F.col("pages") * TEMPLATE_PAGES >= F.col("host_pages")).alias("common")), "low")
+    rare = materialize(nodes.select("host", "copy", "path").join(
+        small_or_plain(low.where(~F.col("common")).select("host", "path")), ["host", "path"], "left_semi").distinct(), "rare")
+    common = low.where("common")
+    return (small_or_plain(common.groupBy("host").agg(F.collect_list("path").alias("template")), common.count()),
+            small_or_plain(rare.groupBy("host", "copy").agg(F.collect_list("path").alias("rare")), rare.count()))
 
 
 def host_of(url: str) -> F.Column:
@@ -195,17 +213,18 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     """
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(host_of(url_col), F.concat(F.lit("#"), F.xxhash64(html_col))).alias("host"),
-                        F.col(html_col).alias("html"))
-    low = materialize(low_paths(style_nodes(base), min_pages, min_importance), "low")
-    # a host's removed paths are few: template elements that are the same on its pages
-    removed = low.groupBy("host").agg(F.collect_list("path").alias("removed"))
-    joined = base.join(small_or_plain(removed), "host", "left").select("page_id", "url", "html", "removed")
+                        F.xxhash64(html_col).alias("copy"), F.col(html_col).alias("html"))
+    nodes = materialize(style_nodes(base), "page-nodes")
+    template, rare = removed_paths(nodes, low_paths(nodes, min_pages, min_importance))
+    discard(nodes)
+    joined = base.join(template, "host", "left").join(rare, ["host", "copy"], "left").select(
+        "page_id", "url", "html", "template", "rare")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for html, gone in zip(*(batch.column(k).to_pylist() for k in (2, 3))):
-                gone = set(gone or ())
+            for html, template, rare in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                gone = {*(template or ()), *(rare or ())}
                 texts.append("\n".join(t for t, paths in page_blocks(parse(html or ""))[0] if gone.isdisjoint(paths)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),

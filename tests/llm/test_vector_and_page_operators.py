@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 
-from fareweave.llm import metric_range_join, pivot_topk
+from fareweave.llm import metric_range_join, pivot_topk, site_style_tree
 from fareweave.llm.metric_range_join import range_join
 from fareweave.llm.pivot_topk import top_inner_products
-from fareweave.llm.site_style_tree import main_text
+from fareweave.llm.site_style_tree import main_text, path_importance, removed_paths, style_nodes
 
 NAN, INF = float("nan"), float("inf")
 EDGES = [(900, None), (901, []), (902, [0.0] * 6), (903, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (904, [NAN] * 6),
@@ -195,3 +199,45 @@ def test_main_text_from_the_whole_page(spark):
     assert "a long story of many words, number 5, told outside of it" in text[105]
     assert text[205] == "all that this page has to say is in here 5"
     assert text[316] == "what page 16 says at some length" and text[303] == "what page 3 says at some length"
+
+
+def test_path_importance_equals_a_plain_count(spark):
+    rng = random.Random(3)
+    rows = [(f"h{rng.randrange(3)}", rng.randrange(5), rng.randrange(12), rng.randrange(4), rng.randrange(3),
+             rng.randrange(2), 10, 40, 0, 0) for _ in range(300)]
+    first = {}
+    for host, _, page, path, content, shape, *_ in rows:  # of the copies of a page the smallest digest counts
+        held = first.setdefault((host, page, path), [content, shape])
+        held[:] = min(held[0], content), min(held[1], shape)
+    want = {}
+    for host, path in {(h, p) for h, _, p in first}:
+        values = [v for (h, _, p), v in first.items() if (h, p) == (host, path)]
+        n = len(values)
+        entropies = [-sum(c / n * math.log(c / n) for c in Counter(v[k] for v in values).values()) / math.log(n)
+                     if n > 1 else None for k in (0, 1)]
+        mixed = None if n == 1 else (1 - site_style_tree.PRESENTATION) * entropies[0] + site_style_tree.PRESENTATION * entropies[1]
+        want[host, path] = (n, mixed)
+    got = {(r.host, r.path): (r.pages, r.importance) for r in path_importance(spark.createDataFrame(rows, site_style_tree.NODE_SCHEMA)).collect()}
+    assert got.keys() == want.keys()
+    for key, (n, mixed) in want.items():
+        assert got[key][0] == n and got[key][1] == (mixed if mixed is None else pytest.approx(mixed, abs=1e-9))
+
+
+def test_removed_paths_that_few_pages_have(spark):
+    page = ("<body class='post-{n}'><nav><a>menu</a></nav><article><p>what page {k} says at some length</p></article>"
+            "<aside class='w-{n}'><p>buy {k}</p></aside><div class='ad a{n}'>also {k}</div></body>")
+    plain = page.replace(" class='post-{n}'", "")
+    names = ["".join(chr(97 + int(d)) for d in str(k)) for k in range(300)]  # digits are no part of a path
+    rows = [(k, "http://own.example/p", page.format(k=k, n=names[k])) for k in range(300)]
+    rows += [(1000 + k, "http://tpl.example/p", plain.format(k=k, n=names[k])) for k in range(300)]
+    rows += [(2000, "http://tpl.example/p", plain.format(k=7, n=names[7]))] * 5
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for found in main_text(df).collect():
+        k = 7 if found.page_id == 2000 else found.page_id % 1000
+        assert found.text == f"what page {k} says at some length"
+    nodes = style_nodes(df.selectExpr("url as host", "xxhash64(html) as copy", "html"))
+    template, rare = removed_paths(nodes, site_style_tree.low_paths(nodes, 8, 0.3))
+    per_page = nodes.groupBy("host").count().collect()
+    assert all(len(r.template) <= site_style_tree.TEMPLATE_PAGES * r["count"] / 300 for r in template.join(
+        spark.createDataFrame(per_page), "host").collect())
+    assert rare.count() == 600 and max(len(r.rare) for r in rare.collect()) < 20
