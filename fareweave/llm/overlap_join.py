@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import islice
 from math import log2
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, key_groups, materialize, small_or_plain
+from .common import connected_components, discard, key_pieces, materialize, small_or_plain
 
 #: Parts beyond the number of differences H: at least so many, and one for every so many differences.
 SPARE, SPARE_EACH = 3, 6
@@ -227,29 +228,56 @@ class Inverted:
         return out
 
 
-def _search_cells(rows: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` in cells given as rows ``cell, salt, id, grams, indexed, asks``: one cell part a group.
+class CellPart:
+    """The indexed rows of one cell part, which come first, and the answers to those that ask them."""
 
-    A group is held whole: its indexed rows, which the salt bounds, and the rows that ask them.
-    """
+    def __init__(self, threshold: Threshold) -> None:
+        self.threshold = threshold
+        self.pieces: list[pd.DataFrame] = []
+        self.index: Inverted | None = None
+
+    def indexed(self) -> Iterator[tuple[int, int]]:
+        """Index the rows so far; the links of those among them that ask."""
+        if self.pieces:
+            kept, self.pieces = pd.concat(self.pieces), []
+            self.ids = kept["id"].to_numpy()
+            self.index = Inverted([np.frombuffer(g, np.uint64) for g in kept["grams"]], self.threshold)
+            yield from self.answers(kept)
+
+    def answers(self, askers: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        if self.index is None:
+            return
+        for asker, grams, own in askers.loc[askers["asks"], ["id", "grams", "indexed"]].itertuples(index=False):
+            for k in self.index.search(np.frombuffer(grams, np.uint64), own):
+                if self.ids[k] != asker:
+                    yield asker, self.ids[k]
+
+
+def cell_links(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[tuple[int, int]]:
+    """Links of a partition's cell parts. Rows are sorted by ``cell, salt`` and, in a part, the indexed ones come first;
+    these are held (the salt bounds them), rows that only ask pass in pieces of a batch."""
+    threshold = Threshold(percent)
+    part, at = CellPart(threshold), None
+    for (cell, salt, indexed), piece in key_pieces(batches, ["cell", "salt", "indexed"]):
+        if (cell, salt) != at:
+            yield from part.indexed()
+            part, at = CellPart(threshold), (cell, salt)
+        if indexed:
+            part.pieces.append(piece)
+        else:
+            yield from part.indexed()
+            yield from part.answers(piece)
+    yield from part.indexed()
+
+
+def _search_cells(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` in cells given as rows ``cell, salt, id, grams, indexed, asks``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        threshold = Threshold(percent)
-        links: list[tuple[int, int]] = []
-        for (_, _), group in key_groups(batches, ["cell", "salt"]):
-            kept = group[group["indexed"]]
-            if kept.empty:
-                continue
-            ids = kept["id"].to_numpy()
-            index = Inverted([np.frombuffer(g, np.uint64) for g in kept["grams"]], threshold)
-            for asker, grams, own in group.loc[group["asks"], ["id", "grams", "indexed"]].itertuples(index=False):
-                links += [(asker, ids[k]) for k in index.search(np.frombuffer(grams, np.uint64), own) if ids[k] != asker]
-            if len(links) > 10_000:
-                yield pd.DataFrame(links, columns=["a", "b"])
-                links = []
-        if links:
-            yield pd.DataFrame(links, columns=["a", "b"])
-
-    spread = rows.repartition("cell", "salt").sortWithinPartitions("cell", "salt")
+        links = cell_links(batches, percent)
+        while some := list(islice(links, 10_000)):
+            yield pd.DataFrame(some, columns=["a", "b"])
+
+    spread = rows.repartition("cell", "salt").sortWithinPartitions("cell", "salt", F.desc("indexed"))
     return spread.select("cell", "salt", "id", "grams", "indexed", "asks").mapInPandas(run, "a long, b long")
 
 
