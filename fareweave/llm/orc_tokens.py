@@ -61,9 +61,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document in the files under ``path``."""
-    rows = spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_name"))
+    # by number: from 100,000 files on, names are not in order
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    rows = spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", number)
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    # one row a file; files are named in range order
+    # one row a file; files are numbered in range order
     before = F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select("file", F.coalesce(before, F.lit(0)).alias("before"))
     return rows.join(F.broadcast(offsets), "file").select(
