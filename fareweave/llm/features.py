@@ -7,11 +7,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Buckets of the n-gram hash; a fixed vector size, the same for every table.
 BUCKETS = 4096
+#: Classes that a sample can be drawn from.
+MAX_CLASSES = 10_000
 #: Repetition marks of a text.
 MARKS = 33
 
@@ -102,16 +104,30 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray, tf=np.log1p) -> np.ndarray:
     return x
 
 
-def bounded_sample(rows: DataFrame, class_col: str, key_col: str, per_class: int, seed: int) -> DataFrame:
-    """At most about ``per_class`` rows of each class, chosen by a hash of the key; adds ``weight`` = rows a sampled
-    row stands for. The number of classes is small (labels, languages)."""
-    sizes = {r[0]: r[1] for r in rows.groupBy(class_col).count().collect()}
+def bounded_sample(rows: DataFrame, class_col: str, key_col: str, per_class: int, seed: int,
+                   text_col: str | None = None) -> DataFrame:
+    """About ``per_class`` rows of each class, chosen by a hash of the key (of ``text_col`` where the key is null), and
+    never more than twice as many, those with the smallest hashes; adds ``weight`` = rows a sampled row stands for. With
+    ``text_col``, repeated rows of one key and text count once.
+
+    Classes are labels or languages: more than ``MAX_CLASSES`` of them are refused with a ValueError.
+    """
+    sizes = {r[0]: r[1] for r in rows.groupBy(class_col).count().limit(MAX_CLASSES + 1).collect()}
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} values of {class_col}: it doesn't name classes")
     if not sizes:
         return rows.withColumn("weight", F.lit(1.0)).limit(0)
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, per_class / n)))])
-    unit = F.pmod(F.xxhash64(F.lit(seed), F.col(key_col)), F.lit(1 << 30)) / float(1 << 30)
+    by_key = F.xxhash64(F.lit(seed), F.col(key_col))
+    tie = by_key if text_col is None else F.xxhash64(F.lit(seed), F.col(text_col))
+    chosen = by_key if text_col is None else F.when(F.col(key_col).isNull(), tie).otherwise(by_key)
+    unit = F.pmod(chosen, F.lit(1 << 30)) / float(1 << 30)
     p = F.element_at(share, F.col(class_col))
-    return rows.where(unit < p).withColumn("weight", 1.0 / p).limit(2 * per_class * len(sizes))
+    picked = rows.where(unit < p).withColumns({"weight": 1.0 / p, "_chosen": chosen, "_tie": tie})
+    if text_col is not None:
+        picked = picked.dropDuplicates([class_col, "_chosen", "_tie"])
+    order = F.row_number().over(Window.partitionBy(class_col).orderBy(unit, "_chosen", "_tie"))
+    return picked.withColumn("_order", order).where(F.col("_order") <= 2 * per_class).drop("_order", "_chosen", "_tie")
 
 
 def count_rows(rows: DataFrame, text_col: str, keep: list[str], counts: Callable[[str | None], np.ndarray]

@@ -80,8 +80,8 @@ def fit_centroids(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str
     if not n:
         return None
     idf = inverse_frequencies(df, n)
-    sample, counts = count_rows(bounded_sample(rows, lang_col, id_col, per_language, seed=4), text_col, [lang_col],
-                                letter_counts)
+    sample, counts = count_rows(bounded_sample(rows, lang_col, id_col, per_language, seed=4, text_col=text_col), text_col,
+                                [lang_col], letter_counts)
     vectors, languages, bounds = [], [], []
     for lang, at in sample.groupby(lang_col).indices.items():
         x = tf_idf(dense([counts[k] for k in at], BUCKETS), idf, TF)

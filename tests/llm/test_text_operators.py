@@ -5,9 +5,13 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import shutil
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -16,8 +20,10 @@ from tokenizers import Tokenizer
 
 from fareweave.llm import bpe_recursive, char_lattice, deobfuscation, overlap_join
 from fareweave.llm.common import connected_components
+from fareweave.llm.features import bounded_sample
 from fareweave.llm.language_centroids import fit_centroids, predict_language
 from fareweave.llm.orc_tokens import read_documents, read_tokens, token_files, write_tokens
+from fareweave.llm.overlap_join import Threshold, cell_links
 from fareweave.llm.quality_neighbours import fit_neighbours, score_quality
 from fareweave.llm.vector_packing import pack_documents, pack_window
 from fareweave.session import scratch_path
@@ -339,3 +345,58 @@ def test_toxicity(spark, odd, empty):
     assert deobfuscation.score_toxicity(empty, cost, evidence).count() == 0
     none, nothing = deobfuscation.fit(empty, labels.limit(0))
     assert deobfuscation.score_toxicity(odd, none, nothing).count() == odd.count()
+
+
+def test_orc_offsets_follow_the_number_of_the_file(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some words here").alias("text"))
+    path, many = (scratch_path(spark, f"test-orc-{random.random()}") for _ in range(2))
+    write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), files=2)
+    names = sorted(f for f in os.listdir(path) if f.endswith(".orc"))
+    os.makedirs(many)
+    for name, number in zip(names, ("99999", "100000")):
+        shutil.copy(os.path.join(path, name), os.path.join(many, name.replace(name.split("-")[1], number, 1)))
+    ordered = read_tokens(spark, many).orderBy("start").select("doc_id").collect()
+    assert [r[0] for r in ordered] == list(range(3000))
+
+
+def test_sample_of_rows_without_ids(spark):
+    rows = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("xx").alias("lang"))
+    copies = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("copy").alias("text"), F.lit("xx").alias("lang"))
+    named = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("n"), "id").alias("text"), F.lit("yy").alias("lang"))
+    for seed in range(6):
+        got = bounded_sample(rows.union(copies).union(named), "lang", "doc_id", 200, seed, text_col="text").toPandas()
+        sizes = got.groupby("lang").size()
+        assert 60 <= sizes["xx"] <= 160 and 150 <= sizes["yy"] <= 250 and got["text"].is_unique
+    assert list(got.columns) == ["doc_id", "text", "lang", "weight"]
+    assert bounded_sample(named.limit(0), "lang", "doc_id", 200, 1).count() == 0
+
+
+def test_asking_rows_pass_in_pieces():
+    rng, threshold = random.Random(5), Threshold(50)
+    sets = [np.unique(np.array([rng.randrange(14) for _ in range(rng.randrange(1, 9))], np.uint64)) for _ in range(400)]
+    rows = [(cell, salt, k, s.tobytes(), cell < 3 and k % 5 == salt, k % 2 == 0 or k % 5 != salt)
+            for cell in (1, 2, 3) for salt in (0, 1) for k, s in enumerate(sets)]
+    rows.sort(key=lambda r: (r[0], r[1], not r[4]))
+    table = pd.DataFrame(rows, columns=["cell", "salt", "id", "grams", "indexed", "asks"])
+    batches = (table.iloc[k:k + 50].copy() for k in range(0, len(table), 50))
+    want = Counter((r[2], o[2]) for r in rows for o in rows if r[:2] == o[:2] and r[5] and o[4] and r[2] != o[2]
+                   and len(np.intersect1d(sets[r[2]], sets[o[2]])) >= threshold.needed(len(sets[r[2]]), len(sets[o[2]])))
+    assert Counter((int(a), int(b)) for a, b in cell_links(batches, 50)) == want
+
+
+def test_memory_of_a_part_does_not_grow_with_its_askers():
+    rng = np.random.default_rng(1)
+    columns = ["cell", "salt", "id", "grams", "indexed", "asks"]
+    kept = np.sort(rng.integers(0, 1 << 60, 1000, np.uint64))
+
+    def batches():  # 160 MB in all
+        yield pd.DataFrame([(1, 0, 0, kept.tobytes(), True, False)], columns=columns)
+        for k in range(200):
+            sets = [kept if k == j == 7 else np.sort(rng.integers(0, 1 << 60, 1000, np.uint64)) for j in range(100)]
+            yield pd.DataFrame([(1, 0, 1 + 100 * k + j, s.tobytes(), False, True) for j, s in enumerate(sets)], columns=columns)
+
+    tracemalloc.start()
+    links = list(cell_links(batches(), 85))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links == [(708, 0)] and peak < 20 << 20
