@@ -323,13 +323,14 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     them, and repeated rows are each returned. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = materialize(shingle_rows(docs, "doc_id", "text", words, percent), "shingles")
+    shingles = materialize(shingle_rows(docs, "doc_id", "text", words, percent), "shingles")
+    rows = materialize(shingles.select("doc_id", "text_key", "n_shingles", "digest"), "rows")
     # ids of several rows, which may hold different sets, and null: no class is named by them
     odd = materialize(rows.groupBy("doc_id").count().where(F.col("doc_id").isNull() | (F.col("count") > 1)).select(
         F.col("doc_id").alias("odd_id")), "odd")
     odd = small_or_plain(odd)
     is_odd = F.col("doc_id").eqNullSafe(F.col("odd_id"))
-    classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+    classes = shingles.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.first("shared").alias("shared"))
     classes = materialize(classes.join(odd, F.col("class_id").eqNullSafe(F.col("odd_id")), "left").select(
         "digest", "class_id", "rows", "shared", (F.col("odd_id").isNotNull() | F.col("class_id").isNull()).alias("odd")), "classes")
@@ -338,19 +339,22 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     copies = rows.join(classes.where("rows > 1").select("digest", "class_id"), "digest").where(
         F.col("doc_id") != F.col("class_id")).select("doc_id")
     copies = materialize(copies, "copies")
-    plain = rows.where("n_shingles > 0").join(odd, is_odd, "left_anti").join(small_or_plain(copies), "doc_id", "left_anti")
-    named_apart = rows.join(odd, is_odd, "left_semi").join(by_digest, "digest").dropDuplicates(["id"])
+    plain = shingles.where("n_shingles > 0").join(odd, is_odd, "left_anti").join(small_or_plain(copies), "doc_id", "left_anti")
+    named_apart = shingles.join(odd, is_odd, "left_semi").join(by_digest, "digest").dropDuplicates(["id"])
     one = plain.select(F.col("doc_id").alias("id"), "parts").union(named_apart.select("id", "parts"))
     parts = one.select("id", F.explode("parts").alias("cell"))
-    cells = materialize(_met(parts), "met")
+    met = materialize(_met(parts), "met")
+    discard(shingles)
     # a set that shares too few parts leaves
-    enough = cells.groupBy("id", F.col("cell").bitwiseAND(F.lit(1)).alias("bit")).count().join(
+    enough = met.groupBy("id", F.col("cell").bitwiseAND(F.lit(1)).alias("bit")).count().join(
         classes.select("id", "shared"), "id").where(
         F.col("count") >= F.get("shared", F.col("bit").cast("int"))).select("id", "bit").distinct()
-    cells = materialize(_met(cells.withColumn("bit", F.col("cell").bitwiseAND(F.lit(1))).join(
+    cells = materialize(_met(met.withColumn("bit", F.col("cell").bitwiseAND(F.lit(1))).join(
         enough, ["id", "bit"], "left_semi").select("id", "cell")), "cells")
+    discard(met)
     pairs = materialize(cells.where(F.col("id") != F.col("centre")).select("id", "centre").distinct(), "pairs")
     wanted = materialize(cells.select("id").distinct(), "wanted")
+    discard(cells)
     held = small_or_plain(wanted)
     asked = docs.join(odd, is_odd, "left_anti").join(held, docs["doc_id"] == held["id"], "left_semi")
     apart = _sets(docs.join(odd, is_odd, "left_semi"), words).join(by_digest, "digest").join(held, "id", "left_semi")
@@ -362,6 +366,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     known = materialize(connected_components(links, "a", "b"), "components")
     blocks = connected_components(pairs, "id", "centre").select(F.col("node").alias("id"), F.col("component").alias("block"))
     rest = materialize(_rest_links(blocks, known.withColumnRenamed("node", "id"), sets, percent), "rest")
+    discard(sets)
     known = connected_components(
         rest.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
     grouped = classes.join(known, classes["id"] == known["node"], "left").select(
