@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as S
-from ..functions.numeric import r4
+from ..functions.numeric import r4, r4_ieee
 from ..operators import aggregate as A
 from ..operators import clean as C
 from ..operators import distribution as D
@@ -825,7 +825,7 @@ def ml_ols_competition(spark, sf):
     """Median fare ~ carriers + distance; coefficients, R²."""
     r = A.route_competition(market_clean(spark, sf))
     o = RG.ols2(r, "median_fare", "carriers", "mean_distance", ("coef_carriers", "coef_distance"))
-    return o.select(*[r4(c).alias(c) for c in ("coef_carriers", "coef_distance", "intercept", "r2")], "n")
+    return o.select(*[r4_ieee(c).alias(c) for c in ("coef_carriers", "coef_distance", "intercept", "r2")], "n")
 
 
 @register("ml_ols_single", f"""with r as ({ROUTE_COMP_SQL})
@@ -852,5 +852,5 @@ def ml_ols_log(spark, sf):
     r = A.route_competition(market_clean(spark, sf)).withColumn("y", F.ln("median_fare"))
     o = RG.ols2(r, "y", "carriers", "mean_distance", ("coef_carriers", "coef_distance"))
     o = o.withColumn("pct_effect", (F.exp("coef_carriers") - 1) * 100)
-    return o.select(*[r4(c).alias(c) for c in ("coef_carriers", "coef_distance", "intercept", "r2",
-                                                "pct_effect")], "n")
+    return o.select(*[r4_ieee(c).alias(c) for c in ("coef_carriers", "coef_distance", "intercept", "r2",
+                                                     "pct_effect")], "n")
