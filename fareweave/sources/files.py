@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as S
+from .landing import ROW_GROUP_BYTES, open_writers
 
 # market columns as written by the fixture export, in file order
 MARKET_FIELDS = [
@@ -45,8 +46,9 @@ def write_market_csv(market: DataFrame, path: str, bad_every: int | None = None)
         cols = [fare.alias("MktFare") if c == "MktFare" else F.col(c).cast("string").alias(c)
                 for c, _ in MARKET_FIELDS]
     out = market.select(*cols, F.lit(None).cast("string").alias(PHANTOM), "Year", "Quarter")
-    (out.write.mode("overwrite").partitionBy("Year", "Quarter").option("header", True)
-     .option("emptyValue", "").option("nullValue", "").csv(path))
+    with open_writers(market.sparkSession):
+        (out.write.mode("overwrite").partitionBy("Year", "Quarter").option("header", True)
+         .option("emptyValue", "").option("nullValue", "").csv(path))
 
 
 def read_market_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -80,8 +82,9 @@ def drop_phantom(df: DataFrame) -> DataFrame:
 def write_quarters_parquet(df: DataFrame, path: str) -> None:
     """Typed Parquet per quarter; only the quarters present in ``df`` are
     replaced (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").partitionBy("Year", "Quarter").option("compression", "snappy")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    with open_writers(df.sparkSession):
+        (df.write.mode("overwrite").partitionBy("Year", "Quarter").option("compression", "snappy")
+         .option("parquet.block.size", ROW_GROUP_BYTES).option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def quarter_frame(spark: SparkSession, start: tuple[int, int], end: tuple[int, int]) -> DataFrame:
