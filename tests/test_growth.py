@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import functions as F
+
 from fareweave.functions.numeric import r4_ieee
 from fareweave.operators import regression
+from fareweave.plans.registry import QUERIES, load_all
+from fareweave.sources import fixtures as fx
+from fareweave.sources import landing, responses
+
+from .conftest import SF_SMALL
 
 
 def test_constant_regressor_gives_nan(spark):
@@ -22,3 +29,36 @@ def test_constant_answer_and_empty_frame(spark):
     assert r.coef_x1 == 0 and r.coef_x2 == 0 and r.intercept == 3 and math.isnan(r.r2)
     empty = regression.ols2(df.limit(0), "y", "x1", "x2").first()
     assert empty.coef_x1 is None and empty.r2 is None and empty.n == 0
+
+
+def _journeys(spark):
+    return spark.createDataFrame([("a", "2024-02-01", "2024-03-01", 250.0, 700, 1, "Brand#1, KIND", "LHR -> DXB -> SGN")], """itinerary_id
+        string, collected_at string, search_date string, price_raw double, duration_minutes int, stop_count int, carrier_names string,
+        segment_route string""").withColumn("search_date", F.to_date("search_date"))
+
+
+def test_responses_are_parsed_once(spark):
+    """A filter on the status must not be pushed below the parse, where it would parse (and build) the text again."""
+    deals = responses.parse_roundtrip(responses.roundtrip_documents(_journeys(spark)))
+    plan = deals._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    r = deals.first()
+    assert (r.out_transit_airports, r.ret_transit_airports, r.out_transit_countries) == (["DXB"], ["DXB"], ["AE"])
+    assert (r.flight_id, r.total_duration_min, r.total_stops, r.trip_length_days) == ("a", 1445, 2, 7)
+
+
+def test_partitioned_write_sorts_nothing(spark, tmp_path):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    with landing.open_writers(spark):
+        assert int(spark.conf.get(key)) == landing.OPEN_FILES
+        spark.range(1000).select("id", (F.col("id") % 100).alias("day")).write.partitionBy("day").parquet(str(tmp_path / "t"))
+    assert spark.conf.get(key, None) == before
+    assert spark.read.parquet(str(tmp_path / "t")).agg(F.count("*"), F.sum("id")).first()[:] == (1000, 499500)
+
+
+def test_open_days_and_asked_years_are_there(spark):
+    load_all()
+    days = QUERIES["st_lowest_per_day"](spark, SF_SMALL).agg(F.max("date")).first()[0]
+    assert days == fx.calendar(spark, SF_SMALL).agg(F.max("collected_date")).first()[0]
+    assert QUERIES["src_csv_years_quarters"](spark, SF_SMALL).where("Year between 1992 and 1999").count() == 32
