@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import r4_ieee
+from fareweave.llm.common import materialize
 from fareweave.operators import regression
 from fareweave.plans.registry import QUERIES, load_all
 from fareweave.sources import fixtures as fx
@@ -62,3 +64,21 @@ def test_open_days_and_asked_years_are_there(spark):
     days = QUERIES["st_lowest_per_day"](spark, SF_SMALL).agg(F.max("date")).first()[0]
     assert days == fx.calendar(spark, SF_SMALL).agg(F.max("collected_date")).first()[0]
     assert QUERIES["src_csv_years_quarters"](spark, SF_SMALL).where("Year between 1992 and 1999").count() == 32
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """Many steps of an operator must not hold all their shuffles on disk at once."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held() -> set[str]:
+        files = disk.getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = held(), spark.conf.get(key, None)
+    got = materialize(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "test")
+    deadline = time.time() + 10
+    while held() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not held() - before and spark.conf.get(key, None) == setting
+    assert got.count() == 100 and got.agg(F.sum("count")).first()[0] == 10_000
