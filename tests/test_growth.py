@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import r4_ieee
@@ -82,3 +83,21 @@ def test_a_written_step_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not held() - before and spark.conf.get(key, None) == setting
     assert got.count() == 100 and got.agg(F.sum("count")).first()[0] == 10_000
+
+
+def test_range_join_goes_in_rounds(spark, monkeypatch):
+    """No round shuffles more than a few copies of the vectors, however many blocks there are; results are as in one round."""
+    from fareweave.llm import metric_range_join as MR
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(20, 4))
+    rows = [(k, [float(x) for x in base[k % 20] + rng.normal(scale=0.2, size=4)]) for k in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    whole = sorted(tuple(r) for r in MR.range_join(df).collect())
+    names, written = [], MR.materialize
+    monkeypatch.setattr(MR, "materialize", lambda d, name: names.append((name, d)) or written(d, name))
+    monkeypatch.setattr(MR, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(MR, "TILE_ROWS", 7)
+    assert sorted(tuple(r) for r in MR.range_join(df, cell_rows=50).collect()) == whole
+    assert sum(name == "partners" for name, _ in names) >= 4
+    assert all(dict(d.dtypes)["vec"] == "array<float>" for name, d in names if name in ("vectors", "classes", "placed"))
