@@ -101,3 +101,39 @@ def test_range_join_goes_in_rounds(spark, monkeypatch):
     assert sorted(tuple(r) for r in MR.range_join(df, cell_rows=50).collect()) == whole
     assert sum(name == "partners" for name, _ in names) >= 4
     assert all(dict(d.dtypes)["vec"] == "array<float>" for name, d in names if name in ("vectors", "classes", "placed"))
+
+
+def test_parse_reads_only_what_is_asked_for(spark):
+    """The same rows as from the whole response, junk and fields of another kind included, by a narrow schema."""
+    good = responses.roundtrip_documents(_journeys(spark))
+    odd = spark.createDataFrame([("junk",), ('{"status": true}',), ('{"status": true, "data": {"itineraries": [{"id": "b", '
+                                 '"legs": [{"departure": "2024-03-01T10:00:00", "origin": "x"}]}]}}',)], "json string")
+    docs = good.union(odd)
+    whole = responses.parse_roundtrip(docs)
+    for leg in responses.LEG_FIELDS:
+        some = responses.parse_roundtrip(docs, legs=[leg])
+        names = ["flight_id", "price_gbp", f"out_{leg}", f"ret_{leg}", "total_stops", "trip_length_days"]
+        assert sorted(some.select(*names).collect(), key=str) == sorted(whole.select(*names).collect(), key=str), leg
+    few = responses.narrow(responses.SEARCH_RESPONSE, ["status", "data.itineraries.legs.segments.operatingCarrier.iataCode"])
+    assert few.simpleString() == ("struct<status:boolean,data:struct<itineraries:array<struct<legs:array<struct<segments:"
+                                  "array<struct<operatingCarrier:struct<iataCode:string>>>>>>>>>")
+    columns = ["itinerary_id", "departure", "seg0_origin", "seg0_duration", "seg1_flight"]
+    flat = responses.parse_flat(docs, columns).select(*columns)
+    assert sorted(flat.collect(), key=str) == sorted(responses.flat_itineraries(responses.parse_search(docs)).select(
+        *columns).collect(), key=str)
+
+
+def test_csv_export_writes_no_view(spark, tmp_path, monkeypatch):
+    from fareweave.plans import source_plans
+
+    def no_view(*_):
+        raise AssertionError("the export needs no stored view")
+
+    def land(spark, sf, kind, write):
+        write(str(tmp_path / kind))
+        return str(tmp_path / kind)
+
+    monkeypatch.setattr(fx, "stored", no_view)
+    monkeypatch.setattr(source_plans, "land_once", land)
+    path = source_plans.market_csv(spark, SF_SMALL)
+    assert spark.read.option("header", True).csv(path).count() == fx.market(spark, SF_SMALL).count()
