@@ -40,6 +40,8 @@ SPARE, SPARE_EACH = 3, 6
 CLASS_STEPS = 2
 #: Sets indexed together in one task; larger groups are split.
 INDEX_ROWS = 2000
+#: Tables of parts, cells and links have at most one file for so many documents.
+DOCS_A_FILE = 1000
 #: DivideSkip's weight of a binary probe against a heap step.
 PROBE_WEIGHT = 0.0085
 
@@ -325,35 +327,36 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shingles = materialize(shingle_rows(docs, "doc_id", "text", words, percent), "shingles")
     rows = materialize(shingles.select("doc_id", "text_key", "n_shingles", "digest"), "rows")
+    n = rows.count()
     # ids of several rows, which may hold different sets, and null: no class is named by them
     odd = materialize(rows.groupBy("doc_id").count().where(F.col("doc_id").isNull() | (F.col("count") > 1)).select(
-        F.col("doc_id").alias("odd_id")), "odd")
+        F.col("doc_id").alias("odd_id")), "odd", n)
     odd = small_or_plain(odd)
     is_odd = F.col("doc_id").eqNullSafe(F.col("odd_id"))
     classes = shingles.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.first("shared").alias("shared"))
     classes = materialize(classes.join(odd, F.col("class_id").eqNullSafe(F.col("odd_id")), "left").select(
-        "digest", "class_id", "rows", "shared", (F.col("odd_id").isNotNull() | F.col("class_id").isNull()).alias("odd")), "classes")
+        "digest", "class_id", "rows", "shared", (F.col("odd_id").isNotNull() | F.col("class_id").isNull()).alias("odd")), "classes", n)
     classes = classes.withColumn("id", _class_name(classes))
     by_digest = classes.where("odd").select("digest", "id")
     copies = rows.join(classes.where("rows > 1").select("digest", "class_id"), "digest").where(
         F.col("doc_id") != F.col("class_id")).select("doc_id")
-    copies = materialize(copies, "copies")
+    copies = materialize(copies, "copies", n)
     plain = shingles.where("n_shingles > 0").join(odd, is_odd, "left_anti").join(small_or_plain(copies), "doc_id", "left_anti")
     named_apart = shingles.join(odd, is_odd, "left_semi").join(by_digest, "digest").dropDuplicates(["id"])
     one = plain.select(F.col("doc_id").alias("id"), "parts").union(named_apart.select("id", "parts"))
     parts = one.select("id", F.explode("parts").alias("cell"))
-    met = materialize(_met(parts), "met")
+    met = materialize(_met(parts), "met", n, DOCS_A_FILE)
     discard(shingles)
     # a set that shares too few parts leaves
     enough = met.groupBy("id", F.col("cell").bitwiseAND(F.lit(1)).alias("bit")).count().join(
         classes.select("id", "shared"), "id").where(
         F.col("count") >= F.get("shared", F.col("bit").cast("int"))).select("id", "bit").distinct()
     cells = materialize(_met(met.withColumn("bit", F.col("cell").bitwiseAND(F.lit(1))).join(
-        enough, ["id", "bit"], "left_semi").select("id", "cell")), "cells")
+        enough, ["id", "bit"], "left_semi").select("id", "cell")), "cells", n, DOCS_A_FILE)
     discard(met)
-    pairs = materialize(cells.where(F.col("id") != F.col("centre")).select("id", "centre").distinct(), "pairs")
-    wanted = materialize(cells.select("id").distinct(), "wanted")
+    pairs = materialize(cells.where(F.col("id") != F.col("centre")).select("id", "centre").distinct(), "pairs", cells.count())
+    wanted = materialize(cells.select("id").distinct(), "wanted", n)
     discard(cells)
     held = small_or_plain(wanted)
     asked = docs.join(odd, is_odd, "left_anti").join(held, docs["doc_id"] == held["id"], "left_semi")
@@ -362,10 +365,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         apart.select("id", "grams").dropDuplicates(["id"])), "sets")
 
     first = pairs.groupBy("id").agg(F.min("centre").alias("centre"))
-    links = materialize(_star_links(first, sets, percent), "links")
-    known = materialize(connected_components(links, "a", "b"), "components")
+    links = materialize(_star_links(first, sets, percent), "links", n, DOCS_A_FILE)
+    known = materialize(connected_components(links, "a", "b"), "components", n)
     blocks = connected_components(pairs, "id", "centre").select(F.col("node").alias("id"), F.col("component").alias("block"))
-    rest = materialize(_rest_links(blocks, known.withColumnRenamed("node", "id"), sets, percent), "rest")
+    rest = materialize(_rest_links(blocks, known.withColumnRenamed("node", "id"), sets, percent), "rest", n, DOCS_A_FILE)
     discard(sets)
     known = connected_components(
         rest.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import r4_ieee
-from fareweave.llm.common import materialize
+from fareweave.llm.common import connected_components, materialize
 from fareweave.operators import regression
 from fareweave.plans.registry import QUERIES, load_all
 from fareweave.sources import fixtures as fx
@@ -137,3 +137,22 @@ def test_csv_export_writes_no_view(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(source_plans, "land_once", land)
     path = source_plans.market_csv(spark, SF_SMALL)
     assert spark.read.option("header", True).csv(path).count() == fx.market(spark, SF_SMALL).count()
+
+
+def test_small_tables_are_few_files(spark):
+    """However many partitions a step has: a file a partition cost a process for each change of its rights, and an executor's
+    memory was counted twice while one started."""
+    keys = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        rows = materialize(spark.range(0, 40_000, 1, 60), "test", 40_000)
+        assert len(rows.inputFiles()) == 3 and rows.count() == 40_000
+        found = connected_components(spark.range(0, 2_000, 1, 60).select(
+            F.col("id").alias("a"), (F.col("id") % 100).alias("b")), "a", "b")
+        assert len(found.inputFiles()) == 1
+        assert found.count() == 2_000 and found.where("component != node % 100").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
