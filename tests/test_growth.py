@@ -156,3 +156,22 @@ def test_small_tables_are_few_files(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_coupons_are_not_shuffled_for_their_customers(spark):
+    """Customers join the orders before the much larger line items do."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        plan = fx.market(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(key, before)
+    at = next(k for k, line in enumerate(plan) if "hashpartitioning(o_custkey" in line)
+    depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
+    below = []
+    for line in plan[at + 1:]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        below.append(line)
+    assert any("o_orderkey" in line for line in below) and not any("l_orderkey" in line for line in below)
