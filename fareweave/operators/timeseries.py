@@ -44,10 +44,11 @@ def series_window(series: Sequence[str] = SERIES, order: str = "collected_date")
     return Window.partitionBy(*series).orderBy(order)
 
 
-def group_mean(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
-    """Mean of ``value`` per ``by`` joined back to every row (skew-safe)."""
+def group_mean(df: DataFrame, by: str, value: str, name: str, few: bool = False) -> DataFrame:
+    """Mean of ``value`` per ``by`` joined back to every row (skew-safe). ``few`` says that the groups are few: their
+    means are broadcast and the rows stay where they are, not shuffled to one partition per group."""
     means = df.groupBy(by).agg(F.avg(value).alias(name))
-    return df.join(means, by, "left")
+    return df.join(F.broadcast(means) if few else means, by, "left")
 
 
 def add_lag_features(df: DataFrame, series: Sequence[str] = SERIES, order: str = "collected_date",
@@ -69,7 +70,8 @@ def add_lag_features(df: DataFrame, series: Sequence[str] = SERIES, order: str =
             "_route_mean"))
         out = out.join(days, ["route", order], "left")
     else:
-        out = group_mean(out, "route", price, "_route_mean")
+        # rows dealt by route would stay so in the windows and the files that follow: a task per route, however many rows
+        out = group_mean(out, "route", price, "_route_mean", few=True)
     for c in ("price_lag1", "price_lag7", "price_roll3"):
         out = out.withColumn(c, F.coalesce(F.col(c), F.col("_route_mean")))
     return out.withColumn("price_change", F.coalesce(F.col("price_change"), F.lit(0.0))).drop("_route_mean")

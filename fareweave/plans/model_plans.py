@@ -35,7 +35,7 @@ def price_model(spark: SparkSession, sf: str) -> StoredModel:
     def fit(s: dict):
         train, _ = split(spark, sf)
         return MD.price_pipeline(s["features"], seed=s["seed"], max_iter=s["max_iter"],
-                                 max_bins=MD.bins_for(train)).fit(train)
+                                 max_bins=MD.bins_for(train)).fit(MD.fit_rows(train, s["features"], "price"))
     return fit_once(spark, sf, "price", settings, fit)
 
 
@@ -47,7 +47,7 @@ def wait_model(spark: SparkSession, sf: str) -> StoredModel:
     def fit(s: dict):
         train, _ = split(spark, sf)
         return MD.wait_pipeline(s["features"], seed=s["seed"], max_iter=s["max_iter"],
-                                max_bins=MD.bins_for(train)).fit(train)
+                                max_bins=MD.bins_for(train)).fit(MD.fit_rows(train, s["features"], "should_wait"))
     return fit_once(spark, sf, "wait", settings, fit)
 
 
