@@ -26,7 +26,7 @@ next fronts (a bounded loop of plan extensions).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,15 +89,17 @@ def peel_fronts(df: DataFrame, group: Sequence[str], k: int, price: str = "price
 # --- any objectives: partitioned skyline --------------------------------------
 
 def skyline(df: DataFrame, group: Sequence[str], objectives: Sequence[str], maximise: Sequence[str] = (),
-            buckets: int = 16) -> DataFrame:
+            buckets: int = 16, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows of ``df`` that no row of their group dominates: better or equal in all ``objectives`` (numbers or dates; small
     is better, but for those in ``maximise``) and better in one. Equal rows all stay; rows with a null or NaN objective
     can't be compared and are left out; null group keys are a group.
 
-    Rows collapse to distinct points (map side). Each group's points are dealt over ``buckets`` by hash, every bucket
-    finds its own skyline, and what survives is compared once more per group, so a hot group is worked by many tasks
-    and only local survivors meet. Each task reads its points sorted, where a point can only be dominated by one
-    before it, and holds no more than the skyline so far: there is no join of points with points.
+    Every task that reads rows first drops the points that others of its own dominate (``_candidates``), so that few are
+    shuffled. Each group's points are dealt over ``buckets`` by hash, every bucket finds its own skyline, and what
+    survives is compared once more per group, so a hot group is worked by many tasks and only local survivors meet. Each
+    task reads its points sorted, where a point can only be dominated by one before it, and holds no more than the
+    skyline so far: there is no join of points with points. ``keep`` may write the skyline's points and give them back,
+    so that the rows are joined to a table of known size.
     """
     group, objectives = list(group), list(objectives)
     names = [f"_o{k}" for k in range(len(objectives))]
@@ -115,17 +117,102 @@ def skyline(df: DataFrame, group: Sequence[str], objectives: Sequence[str], maxi
         known = known & F.col(n).isNotNull() & ~F.isnan(n)
     rows = rows.filter(known)
     one = F.struct(*keys) if keys else F.lit(0)
-    points = rows.select(*keys, *names, F.xxhash64(one).alias("_key")).distinct()
+    points = _candidates(rows.select(*keys, *names), keys, names)
+    points = points.select("*", F.xxhash64(one).alias("_key")).distinct()
     points = points.withColumn("_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
     local = _local_skylines(points, [*keys, "_key", "_bucket"], keys, names)
     whole = _local_skylines(local.withColumn("_bucket", F.lit(0)), [*keys, "_key", "_bucket"], keys, names)
     front = whole.drop("_key", "_bucket")
+    if keep is not None:
+        front = keep(front)
     on = F.lit(True)
     for c in [*keys, *names]:
         on = on & rows[c].eqNullSafe(front[c])
     return rows.join(front, on, "left_semi").select(*df.columns)
 
 
+#: Points a task holds at most per group, and of all its groups, before it passes them on.
+GROUP_POINTS, TASK_POINTS = 4096, 200_000
+
+
+def _undominated(points, window):
+    """Mask of the ``points`` that no point of ``window`` is at least as good as. Pieces of the window: most points fall to
+    its first ones."""
+    import numpy as np
+
+    left = np.arange(len(points))
+    for first in range(0, len(window), 64):
+        part, rest = window[first:first + 64], points[left]
+        beaten = part[:, 0] <= rest[:, :1]
+        for k in range(1, points.shape[1]):
+            beaten &= part[:, k] <= rest[:, k:k + 1]
+        left = left[~beaten.any(axis=1)]
+    alive = np.zeros(len(points), bool)
+    alive[left] = True
+    return alive
+
+
+def _skyline_of(points):
+    """The distinct points of an array that no other of it dominates, sorted."""
+    import numpy as np
+
+    points, window = np.unique(points, axis=0), points[:0]
+    for first in range(0, len(points), 256):  # none dominates one before it
+        block = points[first:first + 256]
+        block = block[_undominated(block, window)]
+        at_least = (block[None, :, :] <= block[:, None, :]).all(axis=2)
+        window = np.concatenate([window, block[~np.tril(at_least, -1).any(axis=1)]])
+    return window
+
+
+def _candidates(rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``rows`` (``keys`` and the numbers ``names``) without repeated points and without most that another row of the same
+    task and group dominates. A task holds at most ``TASK_POINTS`` points and ``GROUP_POINTS`` of a group; beyond that it
+    passes on what it has and begins anew, so some dominated points may come through, but none is lost."""
+    import numpy as np
+    import pyarrow as pa
+
+    keys, names, group_points, task_points = list(keys), list(names), GROUP_POINTS, TASK_POINTS
+
+    def run(batches):
+        held, fresh, schema = {}, {}, None  # per group: its skyline so far; points not yet compared with each other
+
+        def out(tag):
+            points = _skyline_of(np.concatenate([held.pop(tag), *fresh.pop(tag)]))
+            columns = [pa.array([v] * len(points), schema.field(c).type) for c, v in zip(keys, tag)]
+            return pa.RecordBatch.from_arrays([*columns, *(pa.array(points[:, k]) for k in range(len(names)))],
+                                              [*keys, *names])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            schema = batch.schema
+            codes = np.zeros(batch.num_rows, np.int64)
+            for c in keys:
+                column = batch.column(c).dictionary_encode(null_encoding="encode")
+                codes = np.unique(codes * len(column.dictionary) + column.indices.to_numpy(), return_inverse=True)[1]
+            values = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            order = np.argsort(codes, kind="stable")
+            starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+            tags = batch.select(keys).take(pa.array(order[starts])).to_pylist()
+            for tag, at in zip(tags, np.split(order, starts[1:])):
+                tag = tuple(tag.values())
+                window = held.setdefault(tag, values[:0])
+                new = fresh.setdefault(tag, [])
+                new.append(values[at[_undominated(values[at], window)]])
+                if sum(map(len, new)) > max(256, len(window)):
+                    held[tag], fresh[tag] = _skyline_of(np.concatenate([window, *new])), []
+                    if len(held[tag]) > group_points:
+                        yield out(tag)
+            if sum(map(len, held.values())) + sum(len(a) for new in fresh.values() for a in new) > task_points:
+                for tag in list(held):
+                    yield out(tag)
+        for tag in list(held):
+            yield out(tag)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _local_skylines(points: DataFrame, by: Sequence[str], keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """The skyline of each ``by`` group of distinct points."""
     import numpy as np

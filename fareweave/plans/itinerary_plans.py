@@ -428,9 +428,11 @@ and q.origin_code = p.origin_code and q.dest_code = p.dest_code and q.collected_
           views=("itineraries", "itin_trim"))
 def sky_pareto_objectives(spark, sf):
     """Four objectives over all dates of a route's snapshot: price, duration and stops small, departure late."""
+    def landed(front: DataFrame) -> DataFrame:
+        return spark.read.schema(front.schema).parquet(land_parquet(spark, sf, "sky_objectives", lambda: front))
     return SK.skyline(trimmed(spark, sf), ["origin_code", "dest_code", "collected_at"],
                       ["price_raw", "duration_minutes", "stop_count", "search_date"],
-                      maximise=["search_date"]).select("itinerary_id")
+                      maximise=["search_date"], keep=landed).select("itinerary_id")
 
 
 # --- sets, projections, links, text ----------------------------------------------------------

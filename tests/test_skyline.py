@@ -47,6 +47,25 @@ def test_skyline_without_a_group_and_of_an_empty_table(spark):
     assert SK.skyline(df.limit(0), ["a"], ["b"]).count() == 0
 
 
+@pytest.mark.parametrize("held", [(1, 3), (2, 10_000), (4096, 200_000)])
+def test_few_points_are_shuffled_and_none_is_lost(spark, monkeypatch, held):
+    """Tasks drop what their own rows dominate; with any bound on what they hold, the skyline is the same."""
+    monkeypatch.setattr(SK, "GROUP_POINTS", held[0])
+    monkeypatch.setattr(SK, "TASK_POINTS", held[1])
+    data = [r for r in rows(5, 3_000) if usable(r, (2, 3, 4, 5))]
+    pts = {(r[1], float(r[2]), float(r[3]), float(r[4]), -float(r[5].toordinal())) for r in data}
+    want = {p for p in pts if not any(q[0] == p[0] and beats(q[1:], p[1:]) for q in pts)}
+    df = spark.createDataFrame(data, SCHEMA).repartition(2)
+    points = df.selectExpr("g", "price_raw as p", "cast(duration_minutes as double) as m", "cast(stop_count as double) as s",
+                           "cast(-unix_date(d) - 719163 as double) as d")
+    kept = {tuple(r) for r in SK._candidates(points, ["g"], ["p", "m", "s", "d"]).collect()}
+    assert want <= kept <= pts
+    if held[0] == 4096:
+        assert len(kept) < len(pts) / 4
+    sky = SK.skyline(df, ["g"], ["price_raw", "duration_minutes", "stop_count", "d"], maximise=["d"])
+    assert {(r.g, r.price_raw, r.duration_minutes, r.stop_count, -r.d.toordinal()) for r in sky.collect()} == want
+
+
 def test_front_number_of_every_row(spark):
     data = [r for r in rows(2) if r[2] is None or r[2] == r[2]]
     left = {r[0]: (r[1], (r[2], r[3], r[4])) for r in data if usable(r, (2, 3, 4))}
