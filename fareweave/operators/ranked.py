@@ -90,6 +90,9 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[f
     x = df.filter(F.col(value).isNotNull() & _all_not_null(by))
     counts = (x.select(*by, F.col(value).cast("double").alias("_v")).groupBy(*by, "_v")
               .agg(F.count(F.lit(1)).alias("_c")).withColumn("_bucket", _value_bucket(F.col("_v"))))
+    # no bucket is null; said here, or the join below infers it for one of its two sides, whose counts then differ in plan
+    # from the other's and are scanned, counted and shuffled again
+    counts = counts.filter(F.col("_bucket").isNotNull())
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     hist = counts.groupBy(*by, "_bucket").agg(F.sum("_c").alias("_in")).select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import r4_ieee
 from fareweave.llm.common import connected_components, materialize
-from fareweave.operators import models, regression, timeseries
+from fareweave.operators import models, ranked, regression, timeseries
 from fareweave.plans.registry import QUERIES, load_all
 from fareweave.sources import fixtures as fx
 from fareweave.sources import landing, responses
@@ -193,3 +193,21 @@ def test_training_rows_are_not_dealt_by_route(spark):
             spark.conf.set(k, v)
     assert fit.columns == [*models.PRICE_FEATURES, "price"]
     assert held[0] == spark.sparkContext.defaultParallelism and held[2] - held[1] <= 1
+
+
+def test_quantiles_count_their_values_once(spark):
+    """The histogram and the search in its buckets read one shuffle of the counts, not one each."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") > 2, (F.col("id") * 7 % 101).cast(
+            "double")).alias("v")).union(spark.createDataFrame([(1, float("nan")), (2, 0.0), (2, -5.0)], "g long, v double"))
+        found = ranked.group_quantiles(df, ["g"], "v", [0.0, 0.5, 0.95])
+        got = {r.g: tuple(r)[1:] for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "ReusedExchange" in plan
+    want = df.groupBy("g").agg(F.percentile("v", [0.0, 0.5, 0.95]).alias("q")).collect()
+    assert got == {r.g: tuple(r.q) for r in want} and got[2][0] == -5.0
