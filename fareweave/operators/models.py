@@ -86,12 +86,6 @@ def wait_pipeline(features: Sequence[str] = CLF_FEATURES, label: str = "should_w
     return Pipeline(stages=[idx, vec, gbt])
 
 
-def fit_rows(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """The columns a fit reads, dealt evenly over all cores whatever the files of the training table: boosting passes
-    over its rows some 250 times, and each pass ends with its largest task."""
-    return train.select(*features, label).repartition(train.sparkSession.sparkContext.defaultParallelism)
-
-
 def bins_for(df: DataFrame, col: str = "route") -> int:
     """Bins that hold every route and the one for unseen routes."""
     return max(64, df.agg(F.count_distinct(col)).first()[0] + 2)
