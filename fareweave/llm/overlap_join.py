@@ -394,7 +394,9 @@ def _class_name(classes: DataFrame) -> Column:
 
 
 def _met(parts: DataFrame) -> DataFrame:
-    """``id, cell, centre`` for the cells with two members and more; the centre is the smallest."""
+    """``id, cell, centre`` for the cells with two members and more; the centre is the smallest. The rows are shuffled
+    by cell once, and that shuffle is read for the centres and again for the members."""
+    parts = parts.repartition("cell")
     centres = parts.groupBy("cell").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where(
         F.col("centre") < F.col("last")).select("cell", "centre")
     return parts.join(centres, "cell").select("id", "cell", "centre").distinct()

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import re
 import time
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import r4_ieee
+from fareweave.llm import overlap_join
 from fareweave.llm.common import connected_components, materialize
 from fareweave.operators import ranked, regression, timeseries
 from fareweave.plans.registry import QUERIES, load_all
@@ -208,3 +210,22 @@ def test_quantiles_count_their_values_once(spark):
     assert "ReusedExchange" in plan
     want = df.groupBy("g").agg(F.percentile("v", [0.0, 0.5, 0.95]).alias("q")).collect()
     assert got == {r.g: tuple(r.q) for r in want} and got[2][0] == -5.0
+
+
+def test_cell_members_are_shuffled_once(spark):
+    """The pairs of set and cell are the largest shuffle of the near duplicates: the centres and the members read one."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        parts = spark.createDataFrame([(k % 40, k % 7 + 100 * (k % 3)) for k in range(400)] + [(99, -1)], "id long, cell long")
+        met = overlap_join._met(parts)
+        got = sorted(tuple(r) for r in met.collect())
+        plan = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(key, before)
+    by_cell = {}
+    for k, cell in {tuple(r) for r in parts.collect()}:
+        by_cell.setdefault(cell, set()).add(k)
+    assert got == sorted((k, cell, min(ids)) for cell, ids in by_cell.items() if len(ids) > 1 for k in ids)
+    assert len(re.findall(r"- Exchange hashpartitioning\(cell", plan)) == 1, plan
