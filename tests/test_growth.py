@@ -229,3 +229,26 @@ def test_cell_members_are_shuffled_once(spark):
         by_cell.setdefault(cell, set()).add(k)
     assert got == sorted((k, cell, min(ids)) for cell, ids in by_cell.items() if len(ids) > 1 for k in ids)
     assert len(re.findall(r"- Exchange hashpartitioning\(cell", plan)) == 1, plan
+
+
+def test_deals_are_written_whole(spark, tmp_path, monkeypatch):
+    """All fields of a deal, those that are null too, and the metadata block, by either of the two queries."""
+    from fareweave.plans import itinerary_plans as IP
+    from fareweave.plans import source_plans as SP
+
+    def land(spark, sf, kind, write):
+        if not (tmp_path / kind).exists():
+            write(str(tmp_path / kind))
+        return str(tmp_path / kind)
+
+    odd = spark.createDataFrame([('{"status": true, "data": {"itineraries": [{"id": "b"}]}}',)], "json string")
+    monkeypatch.setattr(IP, "land_once", land, raising=False)
+    monkeypatch.setattr(landing, "land_once", land)
+    monkeypatch.setattr(IP, "roundtrip_docs", lambda *_: responses.roundtrip_documents(_journeys(spark)).union(odd))
+    assert sorted(IP.snk_deals_json(spark, SF_SMALL).collect(), key=str)[0][:4] == ("a", 250.0, "LHR", "SGN")
+    (at,) = tmp_path.iterdir()
+    told = {(r.out_origin, r["count"], r.cheapest, r.average) for r in spark.read.json(str(at / "metadata")).collect()}
+    assert told == {("LHR", 1, 250.0, 250.0), (None, 1, 0.0, 0.0)}
+    lines = [r.value for r in spark.read.text(str(at / "flights")).collect()]
+    assert len(lines) == 2 and all(line.count("out_layover_hours") == 1 and '"ret_departure_date"' in line for line in lines)
+    assert ("LHR", "SGN", 1, 250.0, 250.0) in {tuple(r) for r in SP.src_deals_json(spark, SF_SMALL).collect()}
