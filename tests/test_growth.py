@@ -231,6 +231,24 @@ def test_cell_members_are_shuffled_once(spark):
     assert len(re.findall(r"- Exchange hashpartitioning\(cell", plan)) == 1, plan
 
 
+def test_cheapest_deals_parse_only_what_they_tell(spark, monkeypatch):
+    """And the pairs of a leg's segments are made once, whatever is told of them."""
+    from fareweave.plans import itinerary_plans as IP
+
+    asked = []
+    deals = IP.deals
+    monkeypatch.setattr(IP, "deals", lambda spark, sf, *legs: asked.append(set(legs)) or deals(spark, sf, *legs))
+    monkeypatch.setattr(IP, "land_parquet", lambda spark, sf, kind, build: build() and f"{SF_SMALL}/lineitem.parquet")
+    IP.topk_deals(spark, SF_SMALL)
+    IP.fn_deal_line(spark, SF_SMALL)
+    IP.fn_deal_card(spark, SF_SMALL)
+    assert all(legs and "transit_countries" not in legs for legs in asked) and len(asked) == 3
+    assert asked[0] == {"origin", "destination"} and not asked[1] & {"arrival", "flight_numbers", "layover_hours"}
+    docs = responses.roundtrip_documents(_journeys(spark))
+    plan = responses.parse_roundtrip(docs, legs=responses.TRANSITS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(it#") <= 2, plan
+
+
 def test_deals_are_written_whole(spark, tmp_path, monkeypatch):
     """All fields of a deal, those that are null too, and the metadata block, by either of the two queries."""
     from fareweave.plans import itinerary_plans as IP
